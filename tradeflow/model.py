@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeflow.operators import (
     account_performance,
-    labelled_bars,
+    label_bars,
     minute_bars,
     rank_accounts,
     rollup_day_tier_trend,
     rollup_regime_symbol,
     silver_trades,
+    vol_thresholds,
 )
 from tradeflow.operators.bars import bar_features
 from tradeflow.sources.fixtures import account_book_from_events, trades_from_events, trades_raw_from_events
@@ -58,9 +59,15 @@ class TradeModel:
     def features(self) -> DataFrame:
         return bar_features(self.bars)
 
+    @cached_property
+    def thresholds(self) -> DataFrame:
+        return vol_thresholds(self.features)
+
     @cached_property
     def labelled_bars(self) -> DataFrame:
-        return labelled_bars(self.trades)
+        # Bars need only (symbol, ts, mid_price): build them from the raw flow,
+        # never through the priced trades (whose joins Catalyst cannot drop).
+        return label_bars(self.features, self.thresholds)
 
     @cached_property
     def silver(self) -> DataFrame:

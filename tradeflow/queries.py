@@ -120,7 +120,7 @@ def q_bar_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_vol_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    return _r(vol_thresholds(m.features), 8, "vol_lo", "vol_hi")
+    return _r(m.thresholds, 8, "vol_lo", "vol_hi")
 
 
 def q_bar_regimes(spark: SparkSession, sf: str) -> DataFrame:

@@ -90,3 +90,15 @@ DAY_TIER_TREND_SCHEMA = StructType([
     StructField("total_pnl", DoubleType()),
     StructField("gross_notional", DoubleType()),
 ])
+
+FEATURE_SCHEMA = StructType([
+    StructField("symbol", StringType()),
+    StructField("ts_min", TimestampType()),
+    StructField("mid_min", DoubleType()),
+    StructField("prev_mid", DoubleType()),
+    StructField("log_return", DoubleType()),
+    StructField("sma_20", DoubleType()),
+    StructField("sma_60", DoubleType()),
+    StructField("vol_20", DoubleType()),
+    StructField("trade_date", DateType()),
+])
