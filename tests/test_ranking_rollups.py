@@ -103,3 +103,27 @@ def test_results_do_not_depend_on_input_partitioning(spark, tmp_path):
         events.repartition(n).write.parquet(str(d / "events.parquet"))
         again = sorted(tuple(r) for r in QUERIES["account_ranking"](spark, str(d)).collect())
         assert again == base
+
+
+def test_split_ranking_equals_window_ranking(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for g in ["hot"] * 3000 + ["cold"] * 40 + ["tiny"] * 2:
+        pnl = None if rnd.random() < 0.01 else float(rnd.randint(-50, 50))  # many ties, some NULLs
+        rows.append((f"A{len(rows):05d}", "retail", "high", g, 1, pnl, 1.0, 0.1))
+    perf = spark.createDataFrame(
+        rows,
+        "account_id string, tier string, vol_regime string, symbol string, n_trades long, "
+        "total_pnl double, gross_notional double, total_fees double",
+    )
+    cols = ["account_id", "pnl_rank", "pnl_row_num", "cumulative_pnl"]
+    plain = {r[0]: tuple(r[1:]) for r in rank_accounts(perf, split_buckets=None).select(*cols).collect()}
+    for buckets in (2, 16, 64):
+        split = {r[0]: tuple(r[1:]) for r in rank_accounts(perf, split_buckets=buckets).select(*cols).collect()}
+        assert split.keys() == plain.keys()
+        for k, (rank, rn, cum) in plain.items():
+            s_rank, s_rn, s_cum = split[k]
+            assert (s_rank, s_rn) == (rank, rn), k
+            assert (cum is None and s_cum is None) or abs(cum - s_cum) < 1e-6, k

@@ -20,10 +20,12 @@ from tradeflow.operators import (
     rank_accounts,
     rollup_day_tier_trend,
     rollup_regime_symbol,
-    silver_trades,
     vol_thresholds,
 )
 from tradeflow.operators.bars import bar_features
+from tradeflow.operators.economics import priced_labelled_trades
+from tradeflow.operators.regimes import bar_table
+from tradeflow.plans.lineage import materialize
 from tradeflow.sources.fixtures import account_book_from_events, trades_from_events, trades_raw_from_events
 
 
@@ -53,7 +55,9 @@ class TradeModel:
 
     @cached_property
     def bars(self) -> DataFrame:
-        return minute_bars(self.raw)
+        # The one pass over the trade flow for bars: features (twice: ordinals
+        # and windows), thresholds, labels and the markout all read this copy.
+        return materialize(minute_bars(self.raw), "minute_bars")
 
     @cached_property
     def features(self) -> DataFrame:
@@ -69,9 +73,15 @@ class TradeModel:
         # never through the priced trades (whose joins Catalyst cannot drop).
         return label_bars(self.features, self.thresholds)
 
+    @cached_property
+    def bar_attrs(self) -> DataFrame:
+        return bar_table(self.bars, features=self.features)
+
     @cached_property
     def silver(self) -> DataFrame:
-        return silver_trades(self.trades, self.labelled_bars)
+        # One join of the trade flow with the bar table (labels + forward mid);
+        # equal to attaching labels to the priced trades.
+        return priced_labelled_trades(self.raw, self.accounts, self.bar_attrs)
 
     @cached_property
     def gold_a(self) -> DataFrame:
@@ -79,7 +89,8 @@ class TradeModel:
 
     @cached_property
     def perf(self) -> DataFrame:
-        return account_performance(self.silver)
+        # read by the split ranking's quantile pass, local ranks and offsets
+        return materialize(account_performance(self.silver), "account_performance")
 
     @cached_property
     def gold_b(self) -> DataFrame:

@@ -107,6 +107,38 @@ def storage_precision(df: DataFrame, places: dict[str, int] | None = None) -> Da
     return df.withColumns({c: round_half_up(c, n) for c, n in places.items() if c in df.columns})
 
 
+def costed_flow(raw: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Raw order flow -> account tier, fee, spread, fill, notional and fee amount."""
+    return (
+        raw.transform(lambda d: attach_account(d, accounts))
+        .transform(with_fee_schedule)
+        .transform(with_spread)
+        .transform(with_fill_price)
+        .transform(with_costs)
+    )
+
+
+def priced_labelled_trades(raw: DataFrame, accounts: DataFrame, bar_attrs: DataFrame) -> DataFrame:
+    """Silver in one pass over the trade flow: costs, markout PnL and regime labels.
+
+    ``bar_attrs`` is ``regimes.bar_table`` (labels + ``fwd_mid`` per bar), so the
+    trades meet the bars in a single equi-join on (symbol, ts_min).  Equal to
+    ``attach_labels(priced_trades(raw, accounts), labelled_bars)``.
+    """
+    from tradeflow.operators.regimes import BAR_LABEL_COLUMNS
+
+    pnl = markout_pnl(side_sign("side"), F.col("fwd_mid"), F.col("fill_price"),
+                      F.col("quantity"), F.col("fee_amount"))
+    silver_cols = TRADE_COLUMNS + ["ts_min"] + BAR_LABEL_COLUMNS[2:] + ["net_pnl"]
+    return (
+        costed_flow(raw, accounts)
+        .withColumn("ts_min", F.date_trunc("minute", F.col("ts")))
+        .join(bar_attrs.select(*BAR_LABEL_COLUMNS, "fwd_mid"), on=["symbol", "ts_min"], how="left")
+        .withColumns({"realized_pnl": pnl, "net_pnl": pnl})
+        .select(*silver_cols)
+    )
+
+
 def priced_trades(raw: DataFrame, accounts: DataFrame, horizon_minutes: int = MARKOUT_MINUTES) -> DataFrame:
     """Raw order flow + account book -> full trade rows in the raw schema.
 
@@ -115,12 +147,6 @@ def priced_trades(raw: DataFrame, accounts: DataFrame, horizon_minutes: int = MA
     """
     from tradeflow.operators.bars import minute_bars
 
-    priced = (
-        raw.transform(lambda d: attach_account(d, accounts))
-        .transform(with_fee_schedule)
-        .transform(with_spread)
-        .transform(with_fill_price)
-        .transform(with_costs)
-    )
+    priced = costed_flow(raw, accounts)
     bars = minute_bars(raw)
     return with_markout_pnl(priced, bars, horizon_minutes).select(*TRADE_COLUMNS)

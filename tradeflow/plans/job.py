@@ -31,6 +31,7 @@ from tradeflow.operators import (
     rollup_regime_symbol,
     vol_thresholds,
 )
+from tradeflow.plans.lineage import materialize
 from tradeflow.schema import BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
 from tradeflow.sources import read_layer, read_trades_csv
@@ -121,7 +122,7 @@ def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Silver -> the three gold tables."""
     silver = read_layer(spark, layout.silver, SILVER_SCHEMA)
     gold_a = rollup_regime_symbol(silver)
-    gold_b = rank_accounts(account_performance(silver))
+    gold_b = rank_accounts(materialize(account_performance(silver), "account_performance"))
     gold_c = rollup_day_tier_trend(silver)
     write_layer(gold_a, layout.gold_regime, ["vol_regime"])
     write_layer(gold_b, layout.gold_ranking, ["vol_regime", "symbol"])
