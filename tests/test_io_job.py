@@ -56,7 +56,7 @@ def test_job_round_trip_from_csv(spark, scratch_dir):
 def test_job_layers_match_the_plans(spark, scratch_dir):
     root = os.path.join(scratch_dir, "wh")
     report = run_job(spark, root, events_dir=SF0001)
-    assert set(report.seconds) == {"bronze", "features", "silver", "gold"}
+    assert set(report.seconds) == {"bronze", "bars", "features", "silver", "gold"}
     layout = Layout(root)
     silver = read_layer(spark, layout.silver, SILVER_SCHEMA)
     bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)

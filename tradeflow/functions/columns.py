@@ -16,12 +16,15 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_up(c: str | Column, places: int, scale: int = 8) -> Column:
+def round_half_up(c: str | Column, places: int, scale: int = 18) -> Column:
     """Round to ``places`` decimals, half away from zero, engine-neutrally.
 
-    ``round(double, n)`` treats values that print as exact halves (0.145)
-    differently across engines; going through ``decimal(38, scale)`` first pins
-    the value, then HALF_UP rounding is exact.  Returns a double.
+    Rounds the value as it prints (its shortest decimal form), not its binary
+    expansion: 0.145 -> 0.15 and 18.681210495 -> 18.681210 at 6 places.  The
+    cast to ``decimal(38, 18)`` parses the printed form exactly (no second
+    rounding at a coarser scale), then HALF_UP rounding is exact.  Money
+    magnitudes up to 1e20 fit; ANSI mode raises beyond that rather than
+    returning a wrong number.  Returns a double.
     """
     return F.round(col_of(c).cast(f"decimal(38,{scale})"), places).cast("double")
 

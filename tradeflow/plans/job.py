@@ -1,4 +1,4 @@
-"""The layered batch job (S6): raw -> bronze -> bar features -> silver -> gold.
+"""The layered batch job (S6): raw -> bronze -> bars -> features -> silver -> gold.
 
 Each layer is written as partitioned Parquet and the next stage re-reads it
 with its declared schema, so every layer is also a lineage cut: a lost
@@ -32,7 +32,7 @@ from tradeflow.operators import (
     vol_thresholds,
 )
 from tradeflow.plans.lineage import materialize
-from tradeflow.schema import BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
+from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
 from tradeflow.sources import read_layer, read_trades_csv
 from tradeflow.sources.fixtures import trades_from_events
@@ -55,6 +55,10 @@ class Layout:
     def quarantine(self) -> str:
         return self._p("warehouse", "quarantine_trades")
 
+    @property
+    def bars(self) -> str:
+        return self._p("warehouse", "minute_bars")
+
     @property
     def features(self) -> str:
         return self._p("warehouse", "bar_features")
@@ -103,10 +107,17 @@ def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: s
         raise ValueError("give csv or events_dir")
 
 
-def build_features(spark: SparkSession, layout: Layout) -> None:
-    """Bronze -> minute bars -> rolling features, stored once (partitioned by day)."""
+def build_bars(spark: SparkSession, layout: Layout) -> None:
+    """Bronze -> minute bars: the only pass over the trade volume before silver."""
     bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)
-    feats = bar_features(minute_bars(bronze)).withColumn("trade_date", F.to_date("ts_min"))
+    bars = minute_bars(bronze).withColumn("trade_date", F.to_date("ts_min"))
+    write_layer(bars, layout.bars, ["trade_date"], sort_by=["symbol", "ts_min"])
+
+
+def build_features(spark: SparkSession, layout: Layout) -> None:
+    """Minute bars -> rolling features, stored once (read by thresholds and labels)."""
+    bars = read_layer(spark, layout.bars, BAR_LAYER_SCHEMA).drop("trade_date")
+    feats = bar_features(bars).withColumn("trade_date", F.to_date("ts_min"))
     write_layer(feats, layout.features, ["trade_date"], sort_by=["symbol", "ts_min"])
 
 
@@ -136,6 +147,7 @@ def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir:
     report = JobReport()
     stages = [
         ("bronze", lambda: ingest_bronze(spark, layout, report, csv=csv, events_dir=events_dir)),
+        ("bars", lambda: build_bars(spark, layout)),
         ("features", lambda: build_features(spark, layout)),
         ("silver", lambda: build_silver(spark, layout)),
         ("gold", lambda: build_gold(spark, layout)),

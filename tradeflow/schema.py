@@ -102,3 +102,5 @@ FEATURE_SCHEMA = StructType([
     StructField("vol_20", DoubleType()),
     StructField("trade_date", DateType()),
 ])
+
+BAR_LAYER_SCHEMA = StructType(BAR_SCHEMA.fields + [StructField("trade_date", DateType())])
