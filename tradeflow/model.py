@@ -23,10 +23,10 @@ from tradeflow.operators import (
     vol_thresholds,
 )
 from tradeflow.operators.bars import bar_features
-from tradeflow.operators.economics import priced_labelled_trades
+from tradeflow.operators.economics import priced_labelled_trades, priced_trades
 from tradeflow.operators.regimes import bar_table
 from tradeflow.plans.lineage import materialize
-from tradeflow.sources.fixtures import account_book_from_events, trades_from_events, trades_raw_from_events
+from tradeflow.sources.fixtures import account_book_from_events, trades_raw_from_events
 
 
 class TradeModel:
@@ -51,7 +51,7 @@ class TradeModel:
 
     @cached_property
     def trades(self) -> DataFrame:
-        return trades_from_events(self.events)
+        return priced_trades(self.raw, self.accounts, bars=self.bars)
 
     @cached_property
     def bars(self) -> DataFrame:

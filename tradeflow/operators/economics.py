@@ -139,14 +139,16 @@ def priced_labelled_trades(raw: DataFrame, accounts: DataFrame, bar_attrs: DataF
     )
 
 
-def priced_trades(raw: DataFrame, accounts: DataFrame, horizon_minutes: int = MARKOUT_MINUTES) -> DataFrame:
+def priced_trades(raw: DataFrame, accounts: DataFrame, horizon_minutes: int = MARKOUT_MINUTES,
+                  bars: DataFrame | None = None) -> DataFrame:
     """Raw order flow + account book -> full trade rows in the raw schema.
 
-    The minute bars for the markout are built from the raw flow (only
-    symbol, ts and mid_price are read), so pricing never waits on itself.
+    The minute bars for the markout come from the raw flow (only symbol, ts
+    and mid_price are read), so pricing never waits on itself; pass already
+    built ``bars`` to avoid aggregating the flow again.
     """
     from tradeflow.operators.bars import minute_bars
 
     priced = costed_flow(raw, accounts)
-    bars = minute_bars(raw)
+    bars = bars if bars is not None else minute_bars(raw)
     return with_markout_pnl(priced, bars, horizon_minutes).select(*TRADE_COLUMNS)
