@@ -43,7 +43,7 @@ LAYER_QUERIES = {
     "layer_q4_moving_daily_pnl": lambda w: moving_daily_pnl(w.silver, Q4_SYMBOL),
     "layer_q5_tier_dominance": lambda w: tier_dominance(w.gold_b, REGIME),
     "layer_top3_per_regime_symbol": lambda w: top_n_per_group(
-        w.gold_b.drop("pnl_rank"), ["vol_regime", "symbol"], [F.col("total_pnl").desc()], 3),
+        w.gold_b.drop("pnl_rank"), ["vol_regime", "symbol"], [F.col("total_pnl").desc_nulls_last()], 3),
 }
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -111,9 +111,9 @@ PERF = """perf AS (
 
 GOLD_B = """gold_b AS (
   SELECT *,
-         dense_rank() OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC) AS pnl_rank,
-         row_number() OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC, account_id ASC) AS pnl_row_num,
-         sum(total_pnl) OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC, account_id ASC
+         dense_rank() OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC NULLS LAST) AS pnl_rank,
+         row_number() OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC NULLS LAST, account_id ASC NULLS FIRST) AS pnl_row_num,
+         sum(total_pnl) OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC NULLS LAST, account_id ASC NULLS FIRST
                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_pnl
   FROM perf)"""
 
@@ -237,7 +237,7 @@ FROM gold_b WHERE vol_regime = 'high' GROUP BY tier"""),
     "top3_per_regime_symbol": with_("perf", f"""
 , ranked AS (
   SELECT account_id, tier, vol_regime, symbol, total_pnl,
-         dense_rank() OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC) AS pnl_rank
+         dense_rank() OVER (PARTITION BY vol_regime, symbol ORDER BY total_pnl DESC NULLS LAST) AS pnl_rank
   FROM perf)
 SELECT account_id, tier, vol_regime, symbol, {r('total_pnl', 2)} AS total_pnl, pnl_rank
 FROM ranked WHERE pnl_rank <= 3"""),

@@ -104,3 +104,17 @@ def test_thresholds_split_bars_into_terciles(spark):
         n = r["low"] + r["medium"] + r["high"]
         assert abs(r["low"] - 0.33 * n) <= 2
         assert abs(r["low"] + r["medium"] - 0.66 * n) <= 2
+
+
+def test_approx_thresholds_equal_exact_discrete_percentiles(spark):
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    feats = bar_features(minute_bars(trades_raw_from_events(events)))
+    approx = {r.symbol: (r.vol_lo, r.vol_hi) for r in vol_thresholds(feats).collect()}
+    exact = {
+        r.symbol: (r.lo, r.hi)
+        for r in feats.filter(F.col("vol_20").isNotNull()).groupBy("symbol").agg(
+            F.expr("percentile_disc(0.33) WITHIN GROUP (ORDER BY vol_20)").alias("lo"),
+            F.expr("percentile_disc(0.66) WITHIN GROUP (ORDER BY vol_20)").alias("hi"),
+        ).collect()
+    }
+    assert approx == exact

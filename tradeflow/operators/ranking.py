@@ -30,8 +30,8 @@ def rank_accounts(perf: DataFrame, keys: Sequence[str] = RANK_KEYS, value: str =
     """
     if split_buckets is not None:
         return _rank_split(perf, list(keys), value, tiebreak, split_buckets)
-    w_rank = Window.partitionBy(*keys).orderBy(F.col(value).desc())
-    w_row = Window.partitionBy(*keys).orderBy(F.col(value).desc(), F.col(tiebreak).asc())
+    w_rank = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
+    w_row = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last(), F.col(tiebreak).asc_nulls_first())
     return perf.select(
         "*",
         F.dense_rank().over(w_rank).cast("long").alias("pnl_rank"),
@@ -64,8 +64,8 @@ def _rank_split(perf: DataFrame, keys: list[str], value: str, tiebreak: str, buc
     staged = perf.join(bounds, on=keys, how="left").withColumn("_bucket", bucket).drop("_bounds")
 
     part = [*keys, "_bucket"]
-    w_dense = Window.partitionBy(*part).orderBy(v.desc())
-    w_row = Window.partitionBy(*part).orderBy(v.desc(), F.col(tiebreak).asc())
+    w_dense = Window.partitionBy(*part).orderBy(v.desc_nulls_last())
+    w_row = Window.partitionBy(*part).orderBy(v.desc_nulls_last(), F.col(tiebreak).asc_nulls_first())
     local = staged.select(
         "*",
         F.dense_rank().over(w_dense).alias("_dr"),
@@ -116,6 +116,7 @@ def top_in_regime(ranking: DataFrame, regime: str = "high", max_rank: int = 5) -
     return (
         ranking.filter((F.col("vol_regime") == regime) & (F.col("pnl_rank") <= max_rank))
         .select("account_id", "tier", "symbol", "total_pnl", "pnl_rank")
+        .orderBy("symbol", "pnl_rank", "account_id")
     )
 
 

@@ -72,6 +72,7 @@ def pnl_by_tier_regime(silver: DataFrame) -> DataFrame:
             round_half_up(F.avg("net_pnl"), 4).alias("avg_pnl"),
             round_half_up(F.sum("fee_amount"), 2).alias("fees_paid"),
         )
+        .orderBy("tier", "vol_regime")
     )
 
 
@@ -94,6 +95,7 @@ def tier_dominance(ranking: DataFrame, regime: str = "high") -> DataFrame:
             round_half_up(F.sum("total_pnl"), 2).alias("total_pnl"),
             round_half_up(F.try_divide(F.sum("total_pnl"), F.sum("n_trades")), 4).alias("pnl_per_trade"),
         )
+        .orderBy(F.col("total_pnl").desc_nulls_last(), F.col("tier"))
     )
 
 

@@ -38,7 +38,7 @@ def day_over_day(silver: DataFrame, symbols: Sequence[str], start: str, end: str
         round_half_up("_pnl", 2).alias("pnl"),
         round_half_up(prev, 2).alias("prev_day_pnl"),
         round_half_up(F.col("_pnl") - prev, 2).alias("day_change"),
-    )
+    ).orderBy("symbol", "trade_date")
 
 
 def moving_daily_pnl(silver: DataFrame, symbol: str, days: int = 7, n: int | None = 15) -> DataFrame:

@@ -192,7 +192,7 @@ def q_tier_dominance(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_top3_per_regime_symbol(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    df = top_n_per_group(m.perf, ["vol_regime", "symbol"], [F.col("total_pnl").desc()], 3)
+    df = top_n_per_group(m.perf, ["vol_regime", "symbol"], [F.col("total_pnl").desc_nulls_last()], 3)
     return _r(df.select("account_id", "tier", "vol_regime", "symbol", "total_pnl", "pnl_rank"), 2, "total_pnl")
 
 
