@@ -118,3 +118,25 @@ def test_approx_thresholds_equal_exact_discrete_percentiles(spark):
         ).collect()
     }
     assert approx == exact
+
+
+def test_bar_ordinals_are_contiguous_per_symbol_with_a_hot_symbol(spark):
+    from pyspark.sql import Window
+
+    from tradeflow.operators import bar_ordinals
+
+    # one hot symbol with bars on every minute of 3 days, two sparse ones
+    hot = spark.range(0, 3 * 1440).select(
+        F.lit("HOT").alias("symbol"),
+        (F.lit(T0).cast("timestamp") + F.make_interval(mins=F.col("id").cast("int"))).alias("ts_min"),
+        F.lit(1.0).alias("mid_min"))
+    cold = spark.range(0, 3 * 1440, 97).select(
+        F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("symbol"),
+        (F.lit(T0).cast("timestamp") + F.make_interval(mins=F.col("id").cast("int"))).alias("ts_min"),
+        F.lit(2.0).alias("mid_min"))
+    bars = hot.unionByName(cold)
+    numbered = bar_ordinals(bars)
+    w = Window.partitionBy("symbol").orderBy("ts_min")
+    wrong = numbered.withColumn("_expect", F.row_number().over(w) - 1).filter(F.col("_idx") != F.col("_expect"))
+    assert numbered.count() == bars.count()
+    assert wrong.count() == 0
