@@ -115,3 +115,34 @@ def test_filters_and_projection_reach_the_scan(spark):
     assert schemas
     for schema in schemas:
         assert "props" not in schema and "value" not in schema
+
+
+def test_upsert_rewrites_only_touched_days(spark, scratch_dir):
+    from tradeflow.plans.job import upsert_bronze
+    from tradeflow.sources.fixtures import trades_from_events
+
+    root = os.path.join(scratch_dir, "wh")
+    layout = Layout(root)
+    trades = trades_from_events(spark.read.parquet(f"{SF0001}/events.parquet"))
+    write_layer(trades, layout.bronze, ["trade_date"], sort_by=["ts"])
+    before = {d: sorted(os.listdir(os.path.join(layout.bronze, d)))
+              for d in os.listdir(layout.bronze) if d.startswith("trade_date=")}
+    n_before = spark.read.parquet(layout.bronze).count()
+    ids = [r.trade_id for r in trades.filter(F.col("trade_date") == F.lit("2024-01-10").cast("date"))
+           .orderBy("trade_id").limit(2).collect()]
+    # one correction in place, one trade moved to 2024-01-12, one brand-new trade on 2024-01-12
+    corrected = trades.filter(F.col("trade_id") == ids[0]).withColumn("realized_pnl", F.lit(123.0))
+    moved = (trades.filter(F.col("trade_id") == ids[1])
+             .withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 DAYS"))
+             .withColumn("trade_date", F.lit("2024-01-12").cast("date")))
+    new = (trades.filter(F.col("trade_id") == ids[1]).withColumn("trade_id", F.lit("T9999999"))
+           .withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 DAYS"))
+           .withColumn("trade_date", F.lit("2024-01-12").cast("date")))
+    upsert_bronze(spark, layout, corrected.unionByName(moved).unionByName(new))
+    after = spark.read.parquet(layout.bronze)
+    assert after.count() == n_before + 1
+    assert after.filter(F.col("trade_id") == ids[0]).first().realized_pnl == 123.0
+    assert [str(r.trade_date) for r in after.filter(F.col("trade_id") == ids[1]).collect()] == ["2024-01-12"]
+    for d, files in before.items():
+        if d not in ("trade_date=2024-01-10", "trade_date=2024-01-12"):
+            assert sorted(os.listdir(os.path.join(layout.bronze, d))) == files, d

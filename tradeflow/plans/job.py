@@ -7,6 +7,7 @@ once although both the thresholds and the labels read them.
 
     python -m tradeflow.plans.job --root /data/tradeflow --csv /landing/trades/*.csv
     python -m tradeflow.plans.job --root /data/tradeflow --events /root/testdata/sf0.1
+    python -m tradeflow.plans.job --root /data/tradeflow --late /landing/late/*.csv
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import sys
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeflow.operators import (
@@ -107,6 +108,30 @@ def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: s
         raise ValueError("give csv or events_dir")
 
 
+def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame) -> None:
+    """Late or corrected trades into bronze, rewriting only the days they touch.
+
+    Touched days are the late rows' days plus the days currently holding any
+    of their trade ids (a corrected timestamp can move a trade to another
+    day).  Per trade id the late row wins (a window over at most two rows per
+    id, so no hot group); the result is staged in the shared checkpoint folder
+    and written with dynamic partition overwrite, leaving every other day's
+    files as they are.  Downstream layers are rebuilt from bronze as usual.
+    """
+    bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)
+    late = late.select(*BRONZE_SCHEMA.fieldNames())
+    moved_from = bronze.join(late.select("trade_id"), "trade_id", "left_semi").select("trade_date")
+    touched = late.select("trade_date").unionByName(moved_from).distinct()
+    current = bronze.join(touched, "trade_date", "left_semi").withColumn("_late", F.lit(0))
+    merged = current.unionByName(late.withColumn("_late", F.lit(1)))
+    w = Window.partitionBy("trade_id").orderBy(F.col("_late").desc())
+    latest = merged.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_late")
+    staged = materialize(latest, "bronze_upsert")
+    if staged is latest:
+        raise RuntimeError("upsert needs spark.checkpoint.dir to stage the rewritten days")
+    write_layer(staged, layout.bronze, ["trade_date"], sort_by=["ts"], dynamic=True)
+
+
 def build_bars(spark: SparkSession, layout: Layout) -> None:
     """Bronze -> minute bars: the only pass over the trade volume before silver."""
     bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)
@@ -142,11 +167,25 @@ def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
             "daily_pnl_by_tier_trend": gold_c}
 
 
-def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir: str | None = None) -> JobReport:
+def upsert_late_csv(spark: SparkSession, layout: Layout, report: JobReport, late_csv: str) -> None:
+    """Typed read of a late-trades CSV (bad rows quarantined) and upsert into bronze."""
+    ingest = read_trades_csv(spark, late_csv)
+    upsert_bronze(spark, layout, ingest.good.withColumn("trade_date", F.to_date("trade_date")))
+    ingest.bad.write.mode("append").parquet(layout.quarantine)
+    report.counts.update({"late": ingest.counts()["good"], "late_quarantined": ingest.counts()["bad"]})
+
+
+def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir: str | None = None,
+            late_csv: str | None = None) -> JobReport:
+    """Run every stage; with ``late_csv`` the bronze stage is an upsert instead of a load."""
     layout = Layout(root)
     report = JobReport()
+    if late_csv is not None:
+        bronze_stage = lambda: upsert_late_csv(spark, layout, report, late_csv)
+    else:
+        bronze_stage = lambda: ingest_bronze(spark, layout, report, csv=csv, events_dir=events_dir)
     stages = [
-        ("bronze", lambda: ingest_bronze(spark, layout, report, csv=csv, events_dir=events_dir)),
+        ("bronze", bronze_stage),
         ("bars", lambda: build_bars(spark, layout)),
         ("features", lambda: build_features(spark, layout)),
         ("silver", lambda: build_silver(spark, layout)),
@@ -167,10 +206,11 @@ def main(argv: list[str] | None = None) -> int:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="headered trades CSV (file, folder or glob)")
     src.add_argument("--events", help="folder holding events.parquet (fixture adapter)")
+    src.add_argument("--late", help="CSV of late/corrected trades to upsert into an existing bronze")
     args = p.parse_args(argv)
     spark = make_session("tradeflow-job")
     t0 = time.perf_counter()
-    report = run_job(spark, args.root, csv=args.csv, events_dir=args.events)
+    report = run_job(spark, args.root, csv=args.csv, events_dir=args.events, late_csv=args.late)
     print(f"[job] stages {report.seconds} counts {report.counts} total {time.perf_counter() - t0:.1f}s")
     spark.stop()
     return 0
