@@ -25,7 +25,7 @@ from tradeflow.operators import (
 from tradeflow.operators.bars import bar_features
 from tradeflow.operators.economics import priced_labelled_trades, priced_trades
 from tradeflow.operators.regimes import bar_table
-from tradeflow.plans.lineage import materialize
+from tradeflow.plans.lineage import materialize_counted
 from tradeflow.sources.fixtures import account_book_from_events, trades_raw_from_events
 
 
@@ -54,14 +54,19 @@ class TradeModel:
         return priced_trades(self.raw, self.accounts, bars=self.bars)
 
     @cached_property
-    def bars(self) -> DataFrame:
+    def _bars_stored(self) -> tuple[DataFrame, int | None]:
         # The one pass over the trade flow for bars: features (twice: ordinals
         # and windows), thresholds, labels and the markout all read this copy.
-        return materialize(minute_bars(self.raw), "minute_bars")
+        return materialize_counted(minute_bars(self.raw), "minute_bars")
+
+    @property
+    def bars(self) -> DataFrame:
+        return self._bars_stored[0]
 
     @cached_property
     def features(self) -> DataFrame:
-        return bar_features(self.bars)
+        # the stored bar count bounds every symbol's series
+        return bar_features(self.bars, rows_bound=self._bars_stored[1])
 
     @cached_property
     def thresholds(self) -> DataFrame:
@@ -88,13 +93,17 @@ class TradeModel:
         return rollup_regime_symbol(self.silver)
 
     @cached_property
-    def perf(self) -> DataFrame:
+    def _perf_stored(self) -> tuple[DataFrame, int | None]:
         # read by the split ranking's quantile pass, local ranks and offsets
-        return materialize(account_performance(self.silver), "account_performance")
+        return materialize_counted(account_performance(self.silver), "account_performance")
+
+    @property
+    def perf(self) -> DataFrame:
+        return self._perf_stored[0]
 
     @cached_property
     def gold_b(self) -> DataFrame:
-        return rank_accounts(self.perf)
+        return rank_accounts(self.perf, rows_bound=self._perf_stored[1])
 
     @cached_property
     def gold_c(self) -> DataFrame:

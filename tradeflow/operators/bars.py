@@ -79,13 +79,16 @@ def bar_ordinals(bars: DataFrame, block_seconds: int = DAY_SECONDS) -> DataFrame
 
 
 def bar_features(bars: DataFrame, fast: int = 20, slow: int = 60,
-                 chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 chunk_rows: int | None = DEFAULT_CHUNK_ROWS, rows_bound: int | None = None) -> DataFrame:
     """prev_mid, log_return, sma_{fast}, sma_{slow}, vol_{fast}.
 
     ``chunk_rows=None`` gives the plain per-symbol window; otherwise the
-    chunked exact form (see module docstring).
+    chunked exact form (see module docstring).  ``rows_bound`` is a proven
+    upper bound on the rows of ``bars`` (e.g. the count of a stored bar
+    layer): when it is within ``chunk_rows`` no symbol can exceed a chunk, the
+    plain window is already bounded, and the numbering passes are skipped.
     """
-    if chunk_rows is None:
+    if chunk_rows is None or (rows_bound is not None and rows_bound <= chunk_rows):
         return _features(bars, ["symbol"], "ts_min", fast, slow)
     lookback = max(slow - 1, fast)
     if chunk_rows < lookback:

@@ -32,7 +32,7 @@ from tradeflow.operators import (
     rollup_regime_symbol,
     vol_thresholds,
 )
-from tradeflow.plans.lineage import materialize
+from tradeflow.plans.lineage import materialize, materialize_counted
 from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
 from tradeflow.sources import read_layer, read_trades_csv
@@ -142,7 +142,7 @@ def build_bars(spark: SparkSession, layout: Layout) -> None:
 def build_features(spark: SparkSession, layout: Layout) -> None:
     """Minute bars -> rolling features, stored once (read by thresholds and labels)."""
     bars = read_layer(spark, layout.bars, BAR_LAYER_SCHEMA).drop("trade_date")
-    feats = bar_features(bars).withColumn("trade_date", F.to_date("ts_min"))
+    feats = bar_features(bars, rows_bound=bars.count()).withColumn("trade_date", F.to_date("ts_min"))
     write_layer(feats, layout.features, ["trade_date"], sort_by=["symbol", "ts_min"])
 
 
@@ -158,7 +158,8 @@ def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Silver -> the three gold tables."""
     silver = read_layer(spark, layout.silver, SILVER_SCHEMA)
     gold_a = rollup_regime_symbol(silver)
-    gold_b = rank_accounts(materialize(account_performance(silver), "account_performance"))
+    perf, perf_rows = materialize_counted(account_performance(silver), "account_performance")
+    gold_b = rank_accounts(perf, rows_bound=perf_rows)
     gold_c = rollup_day_tier_trend(silver)
     write_layer(gold_a, layout.gold_regime, ["vol_regime"])
     write_layer(gold_b, layout.gold_ranking, ["vol_regime", "symbol"])

@@ -31,3 +31,15 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{root.rstrip('/')}/tradeflow/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int | None]:
+    """``materialize`` plus the stored row count (read from Parquet footers).
+
+    The count is a proven size bound for choosing between a plain and a split
+    plan downstream; it is ``None`` when nothing could be stored.
+    """
+    stored = materialize(df, name)
+    if stored is df:
+        return df, None
+    return stored, stored.count()
