@@ -1,10 +1,13 @@
 """The trade model over the driver tables, as lazily built DataFrames.
 
 ``TradeModel(spark, sf_dir)`` wires the operators into the reference's
-layers - trades (bronze), labelled bars, silver, gold A/B/C - without
-materialising anything: each attribute is a plan that Catalyst optimises
-together with whatever query reads it.  The batch job (``plans.job``) runs
-the same chain but stores each layer and re-reads it.
+layers - trades (bronze), labelled bars, silver, gold A/B/C.  Each attribute
+is a plan that Catalyst optimises together with whatever query reads it,
+except the two results several branches read: the minute bars and the
+account performance table are computed once into the shared checkpoint
+folder (``plans.lineage``), and their stored row counts pick plain or split
+windows.  The batch job (``plans.job``) runs the same chain but stores every
+layer and re-reads it.
 """
 
 from __future__ import annotations
@@ -74,8 +77,8 @@ class TradeModel:
 
     @cached_property
     def labelled_bars(self) -> DataFrame:
-        # Bars need only (symbol, ts, mid_price): build them from the raw flow,
-        # never through the priced trades (whose joins Catalyst cannot drop).
+        # Bars come from the raw flow (symbol, ts, mid_price), never through the
+        # priced trades, whose joins Catalyst cannot drop.
         return label_bars(self.features, self.thresholds)
 
     @cached_property
