@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 
 def shared_checkpoint_dir(df: DataFrame) -> str | None:
     """The checkpoint folder the cluster configured, if any (never invented here)."""
-    sc = df.sparkSession.sparkContext
-    configured = sc.getCheckpointDir()
+    try:
+        configured = df.sparkSession.sparkContext.getCheckpointDir()
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        configured = None
     if configured:
         return configured
     return df.sparkSession.conf.get("spark.checkpoint.dir", None)
