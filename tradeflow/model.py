@@ -52,9 +52,14 @@ class TradeModel:
     def accounts(self) -> DataFrame:
         return account_book_from_events(self.events)
 
+    @cached_property
+    def flow(self) -> DataFrame:
+        # the order flow with its account tier, as the trades file carries it
+        return trades_raw_from_events(self.events, with_tier=True)
+
     @cached_property
     def trades(self) -> DataFrame:
-        return priced_trades(self.raw, self.accounts, bars=self.bars)
+        return priced_trades(self.flow, None, bars=self.bars)
 
     @cached_property
     def _bars_stored(self) -> tuple[DataFrame, int | None]:
@@ -83,13 +88,13 @@ class TradeModel:
 
     @cached_property
     def bar_attrs(self) -> DataFrame:
-        return bar_table(self.bars, features=self.features)
+        return bar_table(self.bars, rows_bound=self._bars_stored[1])
 
     @cached_property
     def silver(self) -> DataFrame:
         # One join of the trade flow with the bar table (labels + forward mid);
         # equal to attaching labels to the priced trades.
-        return priced_labelled_trades(self.raw, self.accounts, self.bar_attrs)
+        return priced_labelled_trades(self.flow, None, self.bar_attrs)
 
     @cached_property
     def gold_a(self) -> DataFrame:

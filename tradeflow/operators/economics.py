@@ -107,18 +107,22 @@ def storage_precision(df: DataFrame, places: dict[str, int] | None = None) -> Da
     return df.withColumns({c: round_half_up(c, n) for c, n in places.items() if c in df.columns})
 
 
-def costed_flow(raw: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Raw order flow -> account tier, fee, spread, fill, notional and fee amount."""
+def costed_flow(raw: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
+    """Raw order flow -> account tier, fee, spread, fill, notional and fee amount.
+
+    ``accounts`` is the account book to look tiers up in (J3); pass ``None``
+    when the flow already carries ``tier`` (as the trades file does).
+    """
+    flow = raw if accounts is None else attach_account(raw, accounts)
     return (
-        raw.transform(lambda d: attach_account(d, accounts))
-        .transform(with_fee_schedule)
+        flow.transform(with_fee_schedule)
         .transform(with_spread)
         .transform(with_fill_price)
         .transform(with_costs)
     )
 
 
-def priced_labelled_trades(raw: DataFrame, accounts: DataFrame, bar_attrs: DataFrame) -> DataFrame:
+def priced_labelled_trades(raw: DataFrame, accounts: DataFrame | None, bar_attrs: DataFrame) -> DataFrame:
     """Silver in one pass over the trade flow: costs, markout PnL and regime labels.
 
     ``bar_attrs`` is ``regimes.bar_table`` (labels + ``fwd_mid`` per bar), so the
@@ -139,7 +143,7 @@ def priced_labelled_trades(raw: DataFrame, accounts: DataFrame, bar_attrs: DataF
     )
 
 
-def priced_trades(raw: DataFrame, accounts: DataFrame, horizon_minutes: int = MARKOUT_MINUTES,
+def priced_trades(raw: DataFrame, accounts: DataFrame | None, horizon_minutes: int = MARKOUT_MINUTES,
                   bars: DataFrame | None = None) -> DataFrame:
     """Raw order flow + account book -> full trade rows in the raw schema.
 

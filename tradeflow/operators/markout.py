@@ -13,7 +13,7 @@ holds at most chunk/60 + minutes rows and the answer is exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeflow.functions import epoch_seconds
@@ -21,6 +21,16 @@ from tradeflow.functions import epoch_seconds
 DAY_SECONDS = 86400
 
 
+def forward_mid_over_symbol(minutes: int = 30, mid: str = "mid_min") -> Column:
+    """The forward mid as a window expression over each symbol's whole series.
+
+    For callers that already window bars by symbol alone (a proven-small bar
+    set): it reuses that partitioning, adding only a sort.
+    """
+    w = Window.partitionBy("symbol").orderBy(epoch_seconds("ts_min")).rangeBetween(0, int(minutes) * 60)
+    return F.last(mid).over(w)
+
+
 def forward_mid(bars: DataFrame, minutes: int = 30, chunk_seconds: int | None = DAY_SECONDS,
                 mid: str = "mid_min") -> DataFrame:
     """Add ``fwd_mid`` to (symbol, ts_min, mid) bars.
@@ -31,8 +41,7 @@ def forward_mid(bars: DataFrame, minutes: int = 30, chunk_seconds: int | None =
     horizon = int(minutes) * 60
     sec = epoch_seconds("ts_min")
     if chunk_seconds is None:
-        w = Window.partitionBy("symbol").orderBy(sec).rangeBetween(0, horizon)
-        return bars.withColumn("fwd_mid", F.last(mid).over(w))
+        return bars.withColumn("fwd_mid", forward_mid_over_symbol(minutes, mid))
     if chunk_seconds < horizon:
         raise ValueError("chunk_seconds must be at least the horizon")
     width = F.lit(int(chunk_seconds))

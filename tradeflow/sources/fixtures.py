@@ -10,9 +10,10 @@ intraday timestamps, so it stands in for the raw trades feed:
 * ``venue``      = by event_id % 3, ``side`` by event_id % 2
 * ``mid_price``  = 100 + value, ``quantity`` = 1 + props.k
 
-Account tiers come from an account book derived from the same table; fees,
-fills and the 30-minute markout PnL are computed by the economics operators,
-so the result has exactly the raw trade schema.
+Account tiers follow from the account (an account book derived from the same
+table, or the same rule as a projection); fees, fills and the 30-minute
+markout PnL are computed by the economics operators, so the result has
+exactly the raw trade schema.
 """
 
 from __future__ import annotations
@@ -41,9 +42,15 @@ def _account_id(idx: F.Column) -> F.Column:
     return F.concat(F.lit("ACC"), (F.lit(ACCOUNT_BASE) + idx).cast("string"))
 
 
-def trades_raw_from_events(events: DataFrame) -> DataFrame:
-    """Raw order flow: one row per event, before any pricing or accounting."""
+def trades_raw_from_events(events: DataFrame, with_tier: bool = False) -> DataFrame:
+    """Raw order flow: one row per event, before any pricing or accounting.
+
+    ``with_tier`` attaches the account tier by its rule, as the trades file
+    carries it - the same tiers a lookup in ``account_book_from_events`` gives,
+    as a projection instead of a join.
+    """
     eid = F.col("event_id")
+    extra = [_tier(_account_index()).alias("tier")] if with_tier else []
     return events.select(
         F.concat(F.lit("T"), (F.lit(TRADE_ID_BASE) + eid).cast("string")).alias("trade_id"),
         F.date_trunc("second", F.col("ts")).alias("ts"),
@@ -54,9 +61,17 @@ def trades_raw_from_events(events: DataFrame) -> DataFrame:
         (F.lit(1.0) + F.get_json_object("props", "$.k").cast("double")).alias("quantity"),
         (F.lit(MID_BASE) + F.col("value")).alias("mid_price"),
         F.col("ts").cast("date").alias("trade_date"),
+        *extra,
     )
 
 
+def _tier(idx: F.Column) -> F.Column:
+    tier = None
+    for bound, name in TIER_BOUNDS:
+        tier = F.when(idx < bound, name) if tier is None else tier.when(idx < bound, name)
+    return tier
+
+
 def account_book_from_events(events: DataFrame) -> DataFrame:
     """Account dimension (account_id, tier) derived from the users in ``events``.
 
@@ -64,19 +79,11 @@ def account_book_from_events(events: DataFrame) -> DataFrame:
     most one row per account per task whatever the event volume.
     """
     idx = _account_index()
-    tier = None
-    for bound, name in TIER_BOUNDS:
-        tier = F.when(idx < bound, name) if tier is None else tier.when(idx < bound, name)
-    return (
-        events.select(_account_id(idx).alias("account_id"), tier.alias("tier"))
-        .distinct()
-    )
+    return events.select(_account_id(idx).alias("account_id"), _tier(idx).alias("tier")).distinct()
 
 
 def trades_from_events(events: DataFrame, horizon_minutes: int = 30) -> DataFrame:
     """Full trade rows (raw 15-column schema, ``trade_date`` as DATE)."""
     from tradeflow.operators.economics import priced_trades
 
-    raw = trades_raw_from_events(events)
-    accounts = account_book_from_events(events)
-    return priced_trades(raw, accounts, horizon_minutes=horizon_minutes)
+    return priced_trades(trades_raw_from_events(events, with_tier=True), None, horizon_minutes=horizon_minutes)
