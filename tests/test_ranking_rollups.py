@@ -125,3 +125,19 @@ def test_split_ranking_equals_window_ranking(spark):
             s_rank, s_rn, s_cum = split[k]
             assert (s_rank, s_rn) == (rank, rn), k
             assert (cum is None and s_cum is None) or abs(cum - s_cum) < 1e-6, k
+
+
+def test_leaderboard_windows_share_one_exchange(spark, tmp_path):
+    from tradeflow.plans import explain_text
+
+    rows = [(f"A{i}", "prop", "high", "X", 1, float(i % 7), 1.0, 0.1) for i in range(50)]
+    path = str(tmp_path / "perf")
+    spark.createDataFrame(
+        rows,
+        "account_id string, tier string, vol_regime string, symbol string, n_trades long, "
+        "total_pnl double, gross_notional double, total_fees double",
+    ).write.parquet(path)
+    ranked = rank_accounts(spark.read.parquet(path), split_buckets=None)
+    tree = explain_text(ranked).split("\n\n")[0]
+    assert tree.count("Exchange (") == 1  # one shuffle by (vol_regime, symbol)
+    assert tree.count("Sort (") == 1  # the (pnl, account) sort also serves the dense rank

@@ -39,12 +39,15 @@ def rank_accounts(perf: DataFrame, keys: Sequence[str] = RANK_KEYS, value: str =
         return _rank_split(perf, list(keys), value, tiebreak, split_buckets)
     w_rank = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
     w_row = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last(), F.col(tiebreak).asc_nulls_first())
-    return perf.select(
+    # The finer ordering (value, then tie-breaker) is computed first: its sort
+    # also satisfies the dense rank's ordering, so one sort serves all three.
+    with_rows = perf.select(
         "*",
-        F.dense_rank().over(w_rank).cast("long").alias("pnl_rank"),
         F.row_number().over(w_row).cast("long").alias("pnl_row_num"),
         F.sum(value).over(w_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cumulative_pnl"),
     )
+    return with_rows.withColumn("pnl_rank", F.dense_rank().over(w_rank).cast("long")).select(
+        *perf.columns, "pnl_rank", "pnl_row_num", "cumulative_pnl")
 
 
 def _rank_split(perf: DataFrame, keys: list[str], value: str, tiebreak: str, buckets: int) -> DataFrame:
@@ -75,10 +78,9 @@ def _rank_split(perf: DataFrame, keys: list[str], value: str, tiebreak: str, buc
     w_row = Window.partitionBy(*part).orderBy(v.desc_nulls_last(), F.col(tiebreak).asc_nulls_first())
     local = staged.select(
         "*",
-        F.dense_rank().over(w_dense).alias("_dr"),
         F.row_number().over(w_row).alias("_rn"),
         F.sum(value).over(w_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
-    )
+    ).withColumn("_dr", F.dense_rank().over(w_dense))
 
     stats = staged.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"),
