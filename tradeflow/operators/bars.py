@@ -42,7 +42,14 @@ def minute_bars(trades: DataFrame, price: str = "mid_price", ts: str = "ts") ->
     )
 
 
-def _features(df: DataFrame, part_cols: list[str], order_col: str, fast: int, slow: int) -> DataFrame:
+def rolling_features(df: DataFrame, part_cols: list[str], order_col: str, fast: int = 20,
+                     slow: int = 60) -> DataFrame:
+    """The W1-W4 window columns over ``df`` partitioned by ``part_cols``.
+
+    Every function shares one (partition, order) specification, so Spark runs
+    them over a single sort; ``order_col`` must be an existing column for
+    other windows on the same order to reuse that sort too.
+    """
     w = Window.partitionBy(*part_cols).orderBy(order_col)
     w_fast = w.rowsBetween(-(fast - 1), 0)
     w_slow = w.rowsBetween(-(slow - 1), 0)
@@ -89,7 +96,7 @@ def bar_features(bars: DataFrame, fast: int = 20, slow: int = 60,
     plain window is already bounded, and the numbering passes are skipped.
     """
     if chunk_rows is None or (rows_bound is not None and rows_bound <= chunk_rows):
-        return _features(bars, ["symbol"], "ts_min", fast, slow)
+        return rolling_features(bars, ["symbol"], "ts_min", fast, slow)
     lookback = max(slow - 1, fast)
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least the look-back")
@@ -102,7 +109,7 @@ def bar_features(bars: DataFrame, fast: int = 20, slow: int = 60,
                   .otherwise(F.array(F.col("_block")))),
     )
     return (
-        _features(staged, ["symbol", "_part"], "_idx", fast, slow)
+        rolling_features(staged, ["symbol", "_part"], "_idx", fast, slow)
         .filter(F.col("_part") == F.col("_block"))
         .drop("_idx", "_block", "_part")
     )

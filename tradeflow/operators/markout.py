@@ -21,13 +21,15 @@ from tradeflow.functions import epoch_seconds
 DAY_SECONDS = 86400
 
 
-def forward_mid_over_symbol(minutes: int = 30, mid: str = "mid_min") -> Column:
+def forward_mid_over_symbol(minutes: int = 30, mid: str = "mid_min", order_col: str | None = None) -> Column:
     """The forward mid as a window expression over each symbol's whole series.
 
     For callers that already window bars by symbol alone (a proven-small bar
-    set): it reuses that partitioning, adding only a sort.
+    set): it reuses that partitioning; with ``order_col`` naming an existing
+    epoch-seconds column it reuses that sort as well.
     """
-    w = Window.partitionBy("symbol").orderBy(epoch_seconds("ts_min")).rangeBetween(0, int(minutes) * 60)
+    order = F.col(order_col) if order_col else epoch_seconds("ts_min")
+    w = Window.partitionBy("symbol").orderBy(order).rangeBetween(0, int(minutes) * 60)
     return F.last(mid).over(w)
 
 
