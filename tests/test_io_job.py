@@ -171,3 +171,16 @@ def test_csv_and_events_ingest_build_the_same_layers(spark, scratch_dir):
         b = rounded(spark.read.parquet(getattr(from_events, path))).select(*a.columns)
         assert a.count() == b.count()
         assert a.exceptAll(b).count() == 0, path
+
+
+def test_csv_rows_failing_expectations_are_quarantined(spark, scratch_dir):
+    bad_fee = GOOD2.replace("3.67888", "9.99").replace("T1000001", "T1000004")
+    path = os.path.join(scratch_dir, "raw.csv")
+    with open(path, "w") as f:
+        f.write("\n".join([HEADER, GOOD, GOOD2, bad_fee, BAD_TS]) + "\n")
+    root = os.path.join(scratch_dir, "wh")
+    report = run_job(spark, root, csv=path)
+    assert report.counts == {"ingested": 2, "quarantined": 1, "failed_fee_matches_schedule": 1}
+    layout = Layout(root)
+    failed = spark.read.parquet(layout.quarantine_expectations).collect()
+    assert [(r.trade_id, list(r.failed_rules)) for r in failed] == [("T1000004", ["fee_matches_schedule"])]

@@ -18,6 +18,7 @@ import sys
 import time
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ from tradeflow.operators import (
     rollup_regime_symbol,
     vol_thresholds,
 )
+from tradeflow.operators.quality import expectation_split
 from tradeflow.plans.lineage import materialize, materialize_counted
 from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
@@ -54,7 +56,13 @@ class Layout:
 
     @property
     def quarantine(self) -> str:
-        return self._p("warehouse", "quarantine_trades")
+        """Rows whose text did not parse (raw line kept)."""
+        return self._p("warehouse", "quarantine_trades", "parse")
+
+    @property
+    def quarantine_expectations(self) -> str:
+        """Typed rows that failed an expectation (``failed_rules`` kept)."""
+        return self._p("warehouse", "quarantine_trades", "expectations")
 
     @property
     def bars(self) -> str:
@@ -91,16 +99,30 @@ def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: s
                   events_dir: str | None = None) -> None:
     """Raw trades -> bronze (partitioned by trade_date, time-ordered files).
 
-    CSV input is typed with the declared schema; unparseable rows go to the
-    quarantine layer.  Row counts are observed during the writes (no extra
-    scan of the input).
+    CSV input is typed with the declared schema; rows that do not parse go to
+    the parse quarantine, typed rows failing an expectation (N2) to the
+    expectation quarantine, the rest to bronze.  The parsed rows are persisted
+    (disk, lineage kept) for the three writes, so the text is parsed once;
+    row counts are observed during the writes.
     """
     if csv is not None:
         ingest = read_trades_csv(spark, csv)
-        good = ingest.good.withColumn("trade_date", F.to_date("trade_date"))
-        write_layer(good, layout.bronze, ["trade_date"], sort_by=["ts"])
-        ingest.bad.write.mode("overwrite").parquet(layout.quarantine)
-        report.counts.update({"ingested": ingest.counts()["good"], "quarantined": ingest.counts()["bad"]})
+        ingest.parsed.persist(StorageLevel.DISK_ONLY)
+        try:
+            typed = ingest.good.withColumn("trade_date", F.to_date("trade_date"))
+            passed, failed, checks = expectation_split(typed)
+            write_layer(passed, layout.bronze, ["trade_date"], sort_by=["ts"])
+            failed.write.mode("overwrite").parquet(layout.quarantine_expectations)
+            ingest.bad.write.mode("overwrite").parquet(layout.quarantine)
+        finally:
+            ingest.parsed.unpersist()
+        seen = checks.get
+        report.counts.update({
+            "ingested": int(seen["n_rows"]) - int(seen["n_failed"]),
+            "quarantined": ingest.counts()["bad"],
+        })
+        report.counts.update({f"failed_{k}": int(v) for k, v in seen.items()
+                              if k not in ("n_rows", "n_failed") and v})
     elif events_dir is not None:
         events = spark.read.parquet(f"{events_dir.rstrip('/')}/events.parquet")
         write_layer(trades_from_events(events), layout.bronze, ["trade_date"], sort_by=["ts"])

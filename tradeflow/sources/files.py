@@ -22,8 +22,11 @@ class IngestReport:
 
     The counts come from ``DataFrame.observe`` and are only filled in once an
     action (normally the bronze write) has run, so ingest needs no extra scan.
+    ``good`` and ``bad`` both derive from ``parsed``: persist it around their
+    two writes and the input is parsed once.
     """
 
+    parsed: DataFrame
     good: DataFrame
     bad: DataFrame
     good_metrics: Observation
@@ -54,12 +57,13 @@ def read_trades_csv(spark: SparkSession, path: str, schema: StructType = TRADE_S
     for name in REQUIRED_TRADE_COLUMNS:
         if name in schema.fieldNames():
             missing = missing | F.col(name).isNull()
-    is_bad = F.col(CORRUPT_COL).isNotNull() | missing
+    parsed = raw.withColumn("_bad", F.col(CORRUPT_COL).isNotNull() | missing)
     good_obs = Observation("ingest_good")
     bad_obs = Observation("ingest_bad")
-    good = raw.filter(~is_bad).drop(CORRUPT_COL).observe(good_obs, F.count(F.lit(1)).alias("n_rows"))
-    bad = raw.filter(is_bad).observe(bad_obs, F.count(F.lit(1)).alias("n_rows"))
-    return IngestReport(good=good, bad=bad, good_metrics=good_obs, bad_metrics=bad_obs)
+    good = (parsed.filter(~F.col("_bad")).drop(CORRUPT_COL, "_bad")
+            .observe(good_obs, F.count(F.lit(1)).alias("n_rows")))
+    bad = parsed.filter(F.col("_bad")).drop("_bad").observe(bad_obs, F.count(F.lit(1)).alias("n_rows"))
+    return IngestReport(parsed=parsed, good=good, bad=bad, good_metrics=good_obs, bad_metrics=bad_obs)
 
 
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
