@@ -141,3 +141,19 @@ def test_leaderboard_windows_share_one_exchange(spark, tmp_path):
     tree = explain_text(ranked).split("\n\n")[0]
     assert tree.count("Exchange (") == 1  # one shuffle by (vol_regime, symbol)
     assert tree.count("Sort (") == 1  # the (pnl, account) sort also serves the dense rank
+
+
+def test_stored_chunked_and_split_paths_equal_the_plain_model(spark):
+    small = TradeModel(spark, SF001)
+    forced = TradeModel(spark, SF001, chunk_rows=500, one_task_rows=100)  # materialize, chunk, split
+    assert forced._bars_stored[1] == small.bars.count()  # stored count taken
+    cols = ["account_id", "vol_regime", "symbol", "pnl_rank", "pnl_row_num"]
+
+    def rows(m):
+        return sorted((*r[:5], round(r[5], 6), round(r[6], 6)) for r in
+                      m.gold_b.select(*cols, "total_pnl", "cumulative_pnl").collect())
+
+    assert rows(forced) == rows(small)
+    lab = ["symbol", "ts_min", "vol_regime", "trend_regime"]
+    assert sorted(tuple(r) for r in forced.bar_attrs.select(*lab).collect()) == \
+        sorted(tuple(r) for r in small.bar_attrs.select(*lab).collect())

@@ -3,10 +3,11 @@
 ``TradeModel(spark, sf_dir)`` wires the operators into the reference's
 layers - trades (bronze), labelled bars, silver, gold A/B/C.  Each attribute
 is a plan that Catalyst optimises together with whatever query reads it,
-except the two results several branches read: the minute bars and the
-account performance table are computed once into the shared checkpoint
-folder (``plans.lineage``), and their stored row counts pick plain or split
-windows.  The batch job (``plans.job``) runs the same chain but stores every
+except the two results several branches read at scale: the minute bars and
+the account performance table.  When the trade count (Parquet metadata)
+proves them small, plain windows are used and nothing is stored; otherwise
+they are computed once into the shared checkpoint folder (``plans.lineage``)
+and their stored row counts pick plain or split windows.  The batch job (``plans.job``) runs the same chain but stores every
 layer and re-reads it.
 """
 
@@ -25,17 +26,27 @@ from tradeflow.operators import (
     rollup_regime_symbol,
     vol_thresholds,
 )
-from tradeflow.operators.bars import bar_features
+from tradeflow.operators.bars import DEFAULT_CHUNK_ROWS, bar_features
 from tradeflow.operators.economics import priced_labelled_trades, priced_trades
+from tradeflow.operators.ranking import ONE_TASK_ROWS
 from tradeflow.operators.regimes import bar_table
 from tradeflow.plans.lineage import materialize_counted
 from tradeflow.sources.fixtures import account_book_from_events, trades_raw_from_events
 
 
 class TradeModel:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    #: bars per window partition before the features / markout are chunked
+    chunk_rows: int = DEFAULT_CHUNK_ROWS
+    #: ranking rows one task may take before groups are split by value range
+    one_task_rows: int = ONE_TASK_ROWS
+
+    def __init__(self, spark: SparkSession, sf_dir: str, **limits: int):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        for name, value in limits.items():
+            if name not in ("chunk_rows", "one_task_rows"):
+                raise TypeError(f"unknown limit {name}")
+            setattr(self, name, value)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -61,10 +72,20 @@ class TradeModel:
     def trades(self) -> DataFrame:
         return priced_trades(self.flow, None, bars=self.bars)
 
+    @cached_property
+    def flow_rows(self) -> int:
+        """Rows of the trade flow (Parquet metadata): a bound on bars and on
+        account-performance rows, since each trade adds at most one of each."""
+        return self.events.count()
+
     @cached_property
     def _bars_stored(self) -> tuple[DataFrame, int | None]:
-        # The one pass over the trade flow for bars: features (twice: ordinals
-        # and windows), thresholds, labels and the markout all read this copy.
+        # Few enough trades prove the bars fit one chunk: the plain plan reads
+        # them once per branch and Spark reuses the aggregate's exchange.
+        # Otherwise this is the one pass over the trade flow for bars: the
+        # chunked features, thresholds, labels and markout all read the copy.
+        if self.flow_rows <= self.chunk_rows:
+            return minute_bars(self.raw), self.flow_rows
         return materialize_counted(minute_bars(self.raw), "minute_bars")
 
     @property
@@ -74,7 +95,7 @@ class TradeModel:
     @cached_property
     def features(self) -> DataFrame:
         # the stored bar count bounds every symbol's series
-        return bar_features(self.bars, rows_bound=self._bars_stored[1])
+        return bar_features(self.bars, chunk_rows=self.chunk_rows, rows_bound=self._bars_stored[1])
 
     @cached_property
     def thresholds(self) -> DataFrame:
@@ -88,7 +109,7 @@ class TradeModel:
 
     @cached_property
     def bar_attrs(self) -> DataFrame:
-        return bar_table(self.bars, rows_bound=self._bars_stored[1])
+        return bar_table(self.bars, rows_bound=self._bars_stored[1], chunk_rows=self.chunk_rows)
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -102,7 +123,10 @@ class TradeModel:
 
     @cached_property
     def _perf_stored(self) -> tuple[DataFrame, int | None]:
-        # read by the split ranking's quantile pass, local ranks and offsets
+        # Within the one-task bound the plain ranking reads it once; otherwise
+        # the split ranking's quantile pass, local ranks and offsets read a copy.
+        if self.flow_rows <= self.one_task_rows:
+            return account_performance(self.silver), self.flow_rows
         return materialize_counted(account_performance(self.silver), "account_performance")
 
     @property
@@ -111,7 +135,7 @@ class TradeModel:
 
     @cached_property
     def gold_b(self) -> DataFrame:
-        return rank_accounts(self.perf, rows_bound=self._perf_stored[1])
+        return rank_accounts(self.perf, rows_bound=self._perf_stored[1], one_task_rows=self.one_task_rows)
 
     @cached_property
     def gold_c(self) -> DataFrame:

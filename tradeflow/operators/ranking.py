@@ -23,7 +23,7 @@ ONE_TASK_ROWS = 1_000_000
 
 def rank_accounts(perf: DataFrame, keys: Sequence[str] = RANK_KEYS, value: str = "total_pnl",
                   tiebreak: str = "account_id", split_buckets: int | None = SPLIT_BUCKETS,
-                  rows_bound: int | None = None) -> DataFrame:
+                  rows_bound: int | None = None, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """W5-W7 / gold B: dense rank, row number and running PnL, best first.
 
     ``split_buckets=None`` is the textbook window over each (regime, symbol)
@@ -31,10 +31,10 @@ def rank_accounts(perf: DataFrame, keys: Sequence[str] = RANK_KEYS, value: str =
     ranges so a hot group (one symbol holding a third of all accounts) is
     ranked by many tasks; the result is the same (see ``_rank_split``).
     ``rows_bound`` is a proven bound on the rows of ``perf`` (e.g. the count
-    of a stored table); within ``ONE_TASK_ROWS`` no group can be large and the
+    of a stored table); within ``one_task_rows`` no group can be large and the
     plain window is used.
     """
-    small = rows_bound is not None and rows_bound <= ONE_TASK_ROWS
+    small = rows_bound is not None and rows_bound <= one_task_rows
     if split_buckets is not None and not small:
         return _rank_split(perf, list(keys), value, tiebreak, split_buckets)
     w_rank = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
