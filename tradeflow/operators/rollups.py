@@ -113,3 +113,51 @@ def regime_share(silver: DataFrame) -> DataFrame:
 def counts_by(df: DataFrame, col: str, name: str = "n_rows") -> DataFrame:
     """Rows per value of ``col``."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(name))
+
+
+GOLD_SETS = {
+    "gold_a": ["vol_regime", "symbol"],
+    "perf": ["account_id", "tier", "vol_regime", "symbol"],
+    "gold_c": ["trade_date", "tier", "trend_regime"],
+}
+_GOLD_KEYS = ["vol_regime", "symbol", "account_id", "tier", "trade_date", "trend_regime"]
+
+
+def gold_rollups(silver: DataFrame) -> DataFrame:
+    """Gold A, account performance and gold C from ONE scan of silver.
+
+    A GROUPING SETS aggregate (one Expand, one partial + final aggregate) with
+    ``_set`` naming the grouping each row belongs to.  Each table's filter is
+    on one of its own grouping keys, so filtering the groups afterwards equals
+    filtering the trades first.  Split with ``gold_from_rollups``.
+    """
+    bit = {k: 1 << (len(_GOLD_KEYS) - 1 - i) for i, k in enumerate(_GOLD_KEYS)}
+    set_name = None
+    for name, keys in GOLD_SETS.items():
+        gid = sum(b for k, b in bit.items() if k not in keys)
+        cond = F.grouping_id() == gid
+        set_name = F.when(cond, name) if set_name is None else set_name.when(cond, name)
+    return silver.groupingSets(list(GOLD_SETS.values()), *_GOLD_KEYS).agg(
+        set_name.alias("_set"),
+        F.count(F.lit(1)).alias("n_trades"),
+        F.sum("notional").alias("gross_notional"),
+        F.sum("fee_amount").alias("total_fees"),
+        F.sum("net_pnl").alias("total_pnl"),
+        F.avg("net_pnl").alias("avg_pnl_per_trade"),
+        F.stddev_pop("net_pnl").alias("pnl_stddev"),
+    )
+
+
+def gold_from_rollups(rollups: DataFrame) -> dict[str, DataFrame]:
+    """The three tables, with the same columns as the single-table operators."""
+    part = {name: rollups.filter(F.col("_set") == name) for name in GOLD_SETS}
+    return {
+        "gold_a": labelled(part["gold_a"]).select(
+            "vol_regime", "symbol", "n_trades", "gross_notional", "total_fees", "total_pnl",
+            "avg_pnl_per_trade", "pnl_stddev"),
+        "perf": labelled(part["perf"]).select(
+            "account_id", "tier", "vol_regime", "symbol", "n_trades", "total_pnl", "gross_notional",
+            "total_fees"),
+        "gold_c": labelled(part["gold_c"], "trend_regime").select(
+            "trade_date", "tier", "trend_regime", "n_trades", "total_pnl", "gross_notional"),
+    }

@@ -13,7 +13,6 @@ once although both the thresholds and the labels read them.
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 import time
 from dataclasses import dataclass, field
@@ -23,22 +22,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeflow.operators import (
-    account_performance,
+    priced_trades,
     attach_labels,
     bar_features,
     label_bars,
     minute_bars,
     rank_accounts,
-    rollup_day_tier_trend,
-    rollup_regime_symbol,
     vol_thresholds,
 )
 from tradeflow.operators.quality import expectation_split
+from tradeflow.operators.rollups import gold_from_rollups, gold_rollups
 from tradeflow.plans.lineage import materialize, materialize_counted
 from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
 from tradeflow.sources import read_layer, read_trades_csv
-from tradeflow.sources.fixtures import trades_from_events
+from tradeflow.sources.fixtures import trades_raw_from_events
 
 
 @dataclass
@@ -93,6 +91,7 @@ class Layout:
 class JobReport:
     counts: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
+    bars_stored_by_ingest: bool = False
 
 
 def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: str | None = None,
@@ -124,8 +123,14 @@ def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: s
         report.counts.update({f"failed_{k}": int(v) for k, v in seen.items()
                               if k not in ("n_rows", "n_failed") and v})
     elif events_dir is not None:
+        # Pricing needs the minute bars (markout), so they are built here, once,
+        # and stored as the bars layer; bronze is priced against the stored copy.
         events = spark.read.parquet(f"{events_dir.rstrip('/')}/events.parquet")
-        write_layer(trades_from_events(events), layout.bronze, ["trade_date"], sort_by=["ts"])
+        flow = trades_raw_from_events(events, with_tier=True)
+        write_bars(minute_bars(flow), layout)
+        bars = read_layer(spark, layout.bars, BAR_LAYER_SCHEMA).drop("trade_date")
+        write_layer(priced_trades(flow, None, bars=bars), layout.bronze, ["trade_date"], sort_by=["ts"])
+        report.bars_stored_by_ingest = True
     else:
         raise ValueError("give csv or events_dir")
 
@@ -154,11 +159,19 @@ def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame) -> None:
     write_layer(staged, layout.bronze, ["trade_date"], sort_by=["ts"], dynamic=True)
 
 
-def build_bars(spark: SparkSession, layout: Layout) -> None:
-    """Bronze -> minute bars: the only pass over the trade volume before silver."""
-    bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)
-    bars = minute_bars(bronze).withColumn("trade_date", F.to_date("ts_min"))
-    write_layer(bars, layout.bars, ["trade_date"], sort_by=["symbol", "ts_min"])
+def write_bars(bars: DataFrame, layout: Layout) -> None:
+    write_layer(bars.withColumn("trade_date", F.to_date("ts_min")), layout.bars, ["trade_date"],
+                sort_by=["symbol", "ts_min"])
+
+
+def build_bars(spark: SparkSession, layout: Layout, report: JobReport | None = None) -> None:
+    """Bronze -> minute bars: the only pass over the trade volume before silver.
+
+    Skipped when the ingest already stored them (events input).
+    """
+    if report is not None and report.bars_stored_by_ingest:
+        return
+    write_bars(minute_bars(read_layer(spark, layout.bronze, BRONZE_SCHEMA)), layout)
 
 
 def build_features(spark: SparkSession, layout: Layout) -> None:
@@ -177,17 +190,20 @@ def build_silver(spark: SparkSession, layout: Layout) -> None:
 
 
 def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """Silver -> the three gold tables."""
+    """Silver -> the three gold tables from one GROUPING SETS pass over silver.
+
+    The aggregated result (small) is stored once in the checkpoint folder; the
+    three tables and the leaderboard's input are cut from it.
+    """
     silver = read_layer(spark, layout.silver, SILVER_SCHEMA)
-    gold_a = rollup_regime_symbol(silver)
-    perf, perf_rows = materialize_counted(account_performance(silver), "account_performance")
-    gold_b = rank_accounts(perf, rows_bound=perf_rows)
-    gold_c = rollup_day_tier_trend(silver)
-    write_layer(gold_a, layout.gold_regime, ["vol_regime"])
+    rollups, n_groups = materialize_counted(gold_rollups(silver), "gold_rollups")
+    gold = gold_from_rollups(rollups)
+    gold_b = rank_accounts(gold["perf"], rows_bound=n_groups)
+    write_layer(gold["gold_a"], layout.gold_regime, ["vol_regime"])
     write_layer(gold_b, layout.gold_ranking, ["vol_regime", "symbol"])
-    write_layer(gold_c, layout.gold_daily, ["trade_date"])
-    return {"agg_by_vol_regime": gold_a, "account_ranking_by_regime": gold_b,
-            "daily_pnl_by_tier_trend": gold_c}
+    write_layer(gold["gold_c"], layout.gold_daily, ["trade_date"])
+    return {"agg_by_vol_regime": gold["gold_a"], "account_ranking_by_regime": gold_b,
+            "daily_pnl_by_tier_trend": gold["gold_c"]}
 
 
 def upsert_late_csv(spark: SparkSession, layout: Layout, report: JobReport, late_csv: str) -> None:
@@ -209,7 +225,7 @@ def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir:
         bronze_stage = lambda: ingest_bronze(spark, layout, report, csv=csv, events_dir=events_dir)
     stages = [
         ("bronze", bronze_stage),
-        ("bars", lambda: build_bars(spark, layout)),
+        ("bars", lambda: build_bars(spark, layout, report)),
         ("features", lambda: build_features(spark, layout)),
         ("silver", lambda: build_silver(spark, layout)),
         ("gold", lambda: build_gold(spark, layout)),
