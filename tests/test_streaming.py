@@ -38,3 +38,16 @@ def test_stream_bars_equal_batch_bars(spark, scratch_dir):
     late = missing.filter(F.col("ts_min") < F.lit(max_ts) - F.expr("INTERVAL 3 MINUTES")).count()
     assert late == 0
     assert n_stream + missing.count() == batch.count()
+
+
+def test_default_stream_checkpoint_resumes_in_the_shared_folder(spark, scratch_dir):
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    source = os.path.join(scratch_dir, "landing")
+    trades_from_events(events).filter(F.col("trade_date") < F.lit("2024-01-10").cast("date")) \
+        .write.parquet(source + "/part=1")
+    sink = os.path.join(scratch_dir, "bars")
+    start_bar_stream(spark, source + "/*", sink).awaitTermination(240)
+    first = spark.read.parquet(sink).count()
+    # a second start with the same source and sink resumes: nothing is reprocessed
+    start_bar_stream(spark, source + "/*", sink).awaitTermination(240)
+    assert spark.read.parquet(sink).count() == first > 0

@@ -9,6 +9,8 @@ change.  Bars finalised by the stream equal the batch ``minute_bars``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,7 +48,9 @@ def start_bar_stream(spark: SparkSession, source: str, sink: str, checkpoint: st
         root = shared_checkpoint_dir(trades)
         if root is None:
             raise RuntimeError("no checkpoint location given and spark.checkpoint.dir is not set")
-        checkpoint = f"{root.rstrip('/')}/tradeflow-streams/bars-{abs(hash((source, sink)))}"
+        # stable across driver restarts (Python's hash() is salted per process)
+        key = hashlib.sha1(f"{source}|{sink}".encode()).hexdigest()[:16]
+        checkpoint = f"{root.rstrip('/')}/tradeflow-streams/bars-{key}"
     writer = (
         stream_minute_bars(trades, delay)
         .writeStream.outputMode("append")
