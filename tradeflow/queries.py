@@ -35,6 +35,7 @@ from tradeflow.operators import (
 )
 from tradeflow.operators.economics import (
     attach_account,
+    costed_flow,
     with_costs,
     with_fee_schedule,
     with_fill_price,
@@ -76,7 +77,8 @@ def q_trade_economics(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_round_quantity_bands(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    base = m.trades.withColumn("base_qty", F.col("quantity") / F.col("mid_price"))
+    # costs only: the markout join (which Catalyst cannot drop) is not needed here
+    base = costed_flow(m.flow).withColumn("base_qty", F.col("quantity") / F.col("mid_price"))
     df = base.select(
         "trade_id", "mid_price", "fill_price", "notional", "fee_amount",
         round_half_up("base_qty", 8).alias("base_qty"),
@@ -221,7 +223,8 @@ def q_cumulative_tier_pnl(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_counts_by_day(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    return m.trades.groupBy("trade_date").agg(
+    # one trade per flow row: count the flow, not the priced trades
+    return m.flow.groupBy("trade_date").agg(
         F.count(F.lit(1)).alias("n_trades"),
         F.count_distinct("account_id").alias("n_accounts"),
     )
