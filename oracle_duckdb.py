@@ -273,6 +273,26 @@ FROM cell"""),
     "counts_by_day": with_("trades", """
 SELECT trade_date, count(*) AS n_trades, count(DISTINCT account_id) AS n_accounts
 FROM trades GROUP BY trade_date"""),
+    "expectation_report": with_("trades", """
+, checks AS (
+  SELECT
+    coalesce(trade_id IS NOT NULL AND account_id IS NOT NULL, false) AS ids_present,
+    coalesce(ts IS NOT NULL AND trade_date IS NOT NULL, false) AS has_time,
+    coalesce(side IN ('BUY', 'SELL'), false) AS known_side,
+    coalesce(quantity > 0, false) AS positive_quantity,
+    coalesce(mid_price > 0 AND fill_price > 0, false) AS positive_prices,
+    coalesce(abs(notional - fill_price * quantity) <= 1e-6 * abs(fill_price * quantity) + 1e-4, false)
+      AS notional_is_fill_times_quantity,
+    coalesce(abs(fee_amount - notional * fee_bps / 10000e0) <= 1e-6 * abs(notional * fee_bps / 10000e0) + 1e-6, false)
+      AS fee_matches_schedule
+  FROM trades)
+SELECT 'ids_present' AS rule, count(*) FILTER (WHERE NOT ids_present) AS n_failed FROM checks
+UNION ALL SELECT 'has_time', count(*) FILTER (WHERE NOT has_time) FROM checks
+UNION ALL SELECT 'known_side', count(*) FILTER (WHERE NOT known_side) FROM checks
+UNION ALL SELECT 'positive_quantity', count(*) FILTER (WHERE NOT positive_quantity) FROM checks
+UNION ALL SELECT 'positive_prices', count(*) FILTER (WHERE NOT positive_prices) FROM checks
+UNION ALL SELECT 'notional_is_fill_times_quantity', count(*) FILTER (WHERE NOT notional_is_fill_times_quantity) FROM checks
+UNION ALL SELECT 'fee_matches_schedule', count(*) FILTER (WHERE NOT fee_matches_schedule) FROM checks"""),
     "null_safe_labels": with_("silver", """
 SELECT vol_regime, trend_regime, count(*) AS n_trades,
        count(*) FILTER (WHERE vol_20 IS NULL) AS n_null_vol,

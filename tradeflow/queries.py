@@ -33,6 +33,7 @@ from tradeflow.operators import (
     top_n_per_group,
     vol_thresholds,
 )
+from tradeflow.operators.quality import trade_expectations
 from tradeflow.operators.economics import (
     attach_account,
     costed_flow,
@@ -240,6 +241,14 @@ def q_null_safe_labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_expectation_report(spark: SparkSession, sf: str) -> DataFrame:
+    m = TradeModel(spark, sf)
+    rules = trade_expectations()
+    checked = m.trades.select(*[F.coalesce(rule, F.lit(False)).alias(name) for name, rule in rules.items()])
+    counts = checked.agg(*[F.count_if(~F.col(n)).alias(n) for n in rules])
+    return counts.unpivot([], list(rules), "rule", "n_failed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trade_economics": q_trade_economics,
     "round_quantity_bands": q_round_quantity_bands,
@@ -269,4 +278,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cumulative_tier_pnl": q_cumulative_tier_pnl,
     "counts_by_day": q_counts_by_day,
     "null_safe_labels": q_null_safe_labels,
+    "expectation_report": q_expectation_report,
 }
