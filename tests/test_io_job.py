@@ -18,9 +18,9 @@ from tradeflow.sources import read_layer, read_trades_csv
 from tests.conftest import SF0001
 
 HEADER = ",".join(TRADE_COLUMNS)
-GOOD = ("T1000000,2024-01-01 00:00:07,ACC1000,retail,BTC-USD,coinbase,BUY,0.5,42008.4,42000.0,"
+GOOD = ("T1000000,2024-01-01 00:00:07,ACC1000,retail,AAA-USD,coinbase,BUY,0.5,42008.4,42000.0,"
         "21004.2,25.0,52.5105,-60.1,2024-01-01")
-GOOD2 = ("T1000001,2024-01-02 00:01:07,ACC1001,prop,ETH-USD,kraken,SELL,2.0,2299.3,2300.0,"
+GOOD2 = ("T1000001,2024-01-02 00:01:07,ACC1001,prop,BBB-USD,kraken,SELL,2.0,2299.3,2300.0,"
          "4598.6,8.0,3.67888,1.5,2024-01-02")
 BAD_TS = GOOD.replace("2024-01-01 00:00:07", "bad").replace("T1000000", "T1000002")
 BAD_PX = GOOD2.replace("2299.3", "xx").replace("T1000001", "T1000003")
