@@ -16,6 +16,7 @@ import os
 import re
 import sys
 import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,6 +32,7 @@ from tradeflow.operators import (  # noqa: E402
     top_n_per_group,
 )
 from tradeflow.plans.job import run_job  # noqa: E402
+from tradeflow.plans.lineage import shared_checkpoint_dir  # noqa: E402
 from tradeflow.queries import Q3_END, Q3_START, Q3_SYMBOLS, Q4_SYMBOL, QUERIES, REGIME  # noqa: E402
 from tradeflow.session import make_session  # noqa: E402
 from tradeflow.warehouse import Warehouse  # noqa: E402
@@ -73,7 +75,11 @@ def main() -> int:
     if not sys.argv[1:]:
         # The layered job end to end (events -> bronze -> features -> silver -> gold),
         # then the analyst queries on the stored layers.
-        root = os.environ.get("BENCH_WAREHOUSE") or tempfile.mkdtemp(prefix="tradeflow-bench-")
+        root = os.environ.get("BENCH_WAREHOUSE")
+        if not root:
+            shared = shared_checkpoint_dir(spark.range(1))
+            root = (f"{shared.rstrip('/')}/tradeflow-bench-{uuid.uuid4().hex}" if shared
+                    else tempfile.mkdtemp(prefix="tradeflow-bench-"))
         t0 = time.perf_counter()
         run_job(spark, root, events_dir=SF_DIR)
         timings["job_pipeline"] = round(time.perf_counter() - t0, 3)
