@@ -51,3 +51,34 @@ def test_default_stream_checkpoint_resumes_in_the_shared_folder(spark, scratch_d
     # a second start with the same source and sink resumes: nothing is reprocessed
     start_bar_stream(spark, source + "/*", sink).awaitTermination(240)
     assert spark.read.parquet(sink).count() == first > 0
+
+
+def test_streamed_labels_equal_batch_labels(spark, scratch_dir):
+    from tradeflow.operators import bar_features, label_bars, vol_thresholds
+    from tradeflow.schema import BAR_LAYER_SCHEMA
+    from tradeflow.streaming import start_label_stream
+
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    trades = trades_from_events(events)
+    source = os.path.join(scratch_dir, "landing")
+    cut = F.lit("2024-01-15").cast("date")
+    trades.filter(F.col("trade_date") < cut).write.parquet(source + "/part=1")
+    trades.filter(F.col("trade_date") >= cut).write.parquet(source + "/part=2")
+    bars_dir = os.path.join(scratch_dir, "bars")
+    start_bar_stream(spark, source + "/*", bars_dir, checkpoint=os.path.join(scratch_dir, "c1")).awaitTermination(240)
+
+    stored = spark.read.schema(BAR_LAYER_SCHEMA).parquet(bars_dir).drop("trade_date")
+    feats = bar_features(stored)
+    thresholds = vol_thresholds(feats)
+    expected = label_bars(feats, thresholds).select("symbol", "ts_min", "vol_20", "vol_regime", "trend_regime")
+
+    out = os.path.join(scratch_dir, "labels")
+    n_files = sum(f.endswith(".parquet") for _, _, fs in os.walk(bars_dir) for f in fs)
+    q = start_label_stream(spark, bars_dir, thresholds, out, checkpoint=os.path.join(scratch_dir, "c2"),
+                           max_files_per_trigger=max(1, n_files // 3))  # about three micro-batches
+    q.awaitTermination(600)
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() > 1  # several micro-batches
+    got = got.select("symbol", "ts_min", "vol_20", "vol_regime", "trend_regime")
+    assert got.count() == expected.count()
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
