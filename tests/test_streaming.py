@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tradeflow.operators import minute_bars
@@ -53,7 +55,8 @@ def test_default_stream_checkpoint_resumes_in_the_shared_folder(spark, scratch_d
     assert spark.read.parquet(sink).count() == first > 0
 
 
-def test_streamed_labels_equal_batch_labels(spark, scratch_dir):
+@pytest.mark.parametrize("history_days", [None, 0, 2])
+def test_streamed_labels_equal_batch_labels(spark, scratch_dir, history_days):
     from tradeflow.operators import bar_features, label_bars, vol_thresholds
     from tradeflow.schema import BAR_LAYER_SCHEMA
     from tradeflow.streaming import start_label_stream
@@ -75,10 +78,30 @@ def test_streamed_labels_equal_batch_labels(spark, scratch_dir):
     out = os.path.join(scratch_dir, "labels")
     n_files = sum(f.endswith(".parquet") for _, _, fs in os.walk(bars_dir) for f in fs)
     q = start_label_stream(spark, bars_dir, thresholds, out, checkpoint=os.path.join(scratch_dir, "c2"),
-                           max_files_per_trigger=max(1, n_files // 3))  # about three micro-batches
+                           max_files_per_trigger=max(1, n_files // 3),  # about three micro-batches
+                           history_days=history_days)
     q.awaitTermination(600)
     got = spark.read.parquet(out)
     assert got.select("batch").distinct().count() > 1  # several micro-batches
     got = got.select("symbol", "ts_min", "vol_20", "vol_regime", "trend_regime")
     assert got.count() == expected.count()
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("history_days", [None, 1])
+def test_label_batch_with_pruned_history_is_exact(spark, history_days):
+    from tradeflow.operators import bar_features, label_bars, minute_bars, vol_thresholds
+    from tradeflow.sources.fixtures import trades_raw_from_events
+    from tradeflow.streaming import label_batch
+    from tests.conftest import SF001
+
+    bars = minute_bars(trades_raw_from_events(spark.read.parquet(f"{SF001}/events.parquet")))
+    store = bars.withColumn("trade_date", F.to_date("ts_min"))
+    feats = bar_features(bars)
+    thresholds = vol_thresholds(feats)
+    expected = label_bars(feats, thresholds).filter(F.to_date("ts_min") == F.lit("2024-01-20").cast("date"))
+    batch = store.filter(F.col("trade_date") == F.lit("2024-01-20").cast("date"))
+    got = label_batch(batch, store, thresholds, history_days=history_days)
+    cols = ["symbol", "ts_min", "vol_20", "sma_60", "vol_regime", "trend_regime"]
+    assert got.count() == expected.count() > 0
+    assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0

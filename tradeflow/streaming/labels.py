@@ -32,17 +32,9 @@ from tradeflow.schema import BAR_LAYER_SCHEMA
 BAR_COLUMNS = ["symbol", "ts_min", "mid_min"]
 
 
-def label_batch(batch: DataFrame, store: DataFrame, thresholds: DataFrame, lookback: int = 60,
-                fast: int = 20, slow: int = 60) -> DataFrame:
-    """Labelled rows of ``batch`` given the bar store (which holds every bar up to
-    the batch's last minute) and the stored ``thresholds``.
-
-    Per symbol the window rows are the stored bars from the ``lookback``-th bar
-    before the batch's first minute through its last minute: exactly what the
-    frames of the batch's bars read, even when a batch's minutes interleave
-    with another batch's.
-    """
-    keys = batch.select("symbol", "ts_min").withColumn("_own", F.lit(True))
+def _window_rows(keys: DataFrame, store: DataFrame, lookback: int) -> tuple[DataFrame, DataFrame]:
+    """Stored bars from the ``lookback``-th bar before each symbol's first batch
+    minute through its last, and per symbol how many earlier bars were found."""
     span = keys.groupBy("symbol").agg(F.min("ts_min").alias("_start"), F.max("ts_min").alias("_end"))
     stored = store.select(*BAR_COLUMNS).join(span, "symbol")
     w = Window.partitionBy("symbol").orderBy(F.col("ts_min").desc())
@@ -50,22 +42,52 @@ def label_batch(batch: DataFrame, store: DataFrame, thresholds: DataFrame, lookb
         stored.filter(F.col("ts_min") < F.col("_start"))
         .withColumn("_k", F.row_number().over(w))
         .filter(F.col("_k") <= lookback)
-        .groupBy("symbol").agg(F.min("ts_min").alias("_from"))
+        .groupBy("symbol").agg(F.min("ts_min").alias("_from"), F.count(F.lit(1)).alias("_n_before"))
     )
     rows = (
         stored.join(reach, "symbol", "left")
         .filter((F.col("ts_min") >= F.coalesce("_from", "_start")) & (F.col("ts_min") <= F.col("_end")))
         .select(*BAR_COLUMNS)
-        .join(keys, ["symbol", "ts_min"], "left")
-        .fillna(False, subset=["_own"])
     )
-    feats = rolling_features(rows, ["symbol"], "ts_min", fast, slow)
+    found = span.join(reach, "symbol", "left").select("symbol", F.coalesce("_n_before", F.lit(0)).alias("_n"))
+    return rows, found
+
+
+def label_batch(batch: DataFrame, store: DataFrame, thresholds: DataFrame, lookback: int = 60,
+                fast: int = 20, slow: int = 60, history_days: int | None = None) -> DataFrame:
+    """Labelled rows of ``batch`` given the bar store (which holds every bar up to
+    the batch's last minute) and the stored ``thresholds``.
+
+    Per symbol the window rows are the stored bars from the ``lookback``-th bar
+    before the batch's first minute through its last minute: exactly what the
+    frames of the batch's bars read, even when a batch's minutes interleave
+    with another batch's.  With ``history_days`` the store is first pruned to
+    the days from (first batch day - history_days) on (partition pruning on
+    ``trade_date``); symbols with fewer than ``lookback`` earlier bars in that
+    range are looked up again in the whole store, so the result stays exact.
+    """
+    keys = batch.select("symbol", "ts_min")
+    if history_days is None:
+        rows, _ = _window_rows(keys, store, lookback)
+    else:
+        first = batch.agg(F.min("ts_min")).first()[0]
+        if first is None:
+            rows, _ = _window_rows(keys, store, lookback)
+        else:
+            floor = F.date_sub(F.lit(first).cast("date"), int(history_days))
+            recent_rows, found = _window_rows(keys, store.filter(F.col("trade_date") >= floor), lookback)
+            short = found.filter(F.col("_n") < lookback).select("symbol")
+            full_rows, _ = _window_rows(keys.join(short, "symbol", "left_semi"), store, lookback)
+            rows = recent_rows.join(short, "symbol", "left_anti").unionByName(full_rows)
+    marked = rows.join(keys.withColumn("_own", F.lit(True)), ["symbol", "ts_min"], "left") \
+        .fillna(False, subset=["_own"])
+    feats = rolling_features(marked, ["symbol"], "ts_min", fast, slow)
     return label_bars(feats.filter("_own").drop("_own"), thresholds)
 
 
 def start_label_stream(spark: SparkSession, bars_source: str, thresholds: DataFrame, sink: str,
                        checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                       lookback: int = 60) -> StreamingQuery:
+                       lookback: int = 60, history_days: int | None = 2) -> StreamingQuery:
     """Stream bars stored under ``bars_source`` -> labelled bars appended under ``sink``."""
     stream = spark.readStream.schema(BAR_LAYER_SCHEMA)
     if max_files_per_trigger:
@@ -80,7 +102,7 @@ def start_label_stream(spark: SparkSession, bars_source: str, thresholds: DataFr
 
     def process(batch: DataFrame, batch_id: int) -> None:
         store = batch.sparkSession.read.schema(BAR_LAYER_SCHEMA).parquet(bars_source)
-        out = label_batch(batch, store, thresholds, lookback)
+        out = label_batch(batch, store, thresholds, lookback, history_days=history_days)
         # one folder per batch, overwritten on a retry: idempotent output
         out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
 
