@@ -55,9 +55,10 @@ def _rank_split(perf: DataFrame, keys: list[str], value: str, tiebreak: str, buc
 
     1. Per group, ``buckets - 1`` approximate quantiles of ``value`` (one
        partially aggregated pass; the table has one row per group).
-    2. Each row's bucket is the number of boundaries >= its value, so higher
-       values get lower buckets and equal values always share a bucket; NULL
-       values (last in DESC order) get the last bucket.
+    2. Each row's bucket is the number of boundaries >= its value (a CASE
+       over the sorted boundaries), so higher values get lower buckets and
+       equal values always share a bucket; NULL values (last in DESC order)
+       get the last bucket.
     3. Rank inside (group, bucket) with ordinary windows.
     4. Per (group, bucket): rows, distinct values (= max local dense rank) and
        value sum; running totals over the earlier buckets of the group come
@@ -69,8 +70,13 @@ def _rank_split(perf: DataFrame, keys: list[str], value: str, tiebreak: str, buc
     bounds = perf.groupBy(*keys).agg(
         F.percentile_approx(F.col(value), probs, SPLIT_ACCURACY).alias("_bounds"))
     v = F.col(value)
-    bucket = F.when(v.isNull(), F.lit(buckets)).otherwise(
-        F.size(F.filter("_bounds", lambda b: b >= v)))
+    # bucket = number of boundaries >= v; the boundaries ascend, so a CASE over
+    # them from the top gives it with plain (code-generated) comparisons
+    b = F.col("_bounds")
+    bucket = F.when(v.isNull(), F.lit(buckets))
+    for i in range(buckets - 2, -1, -1):
+        bucket = bucket.when(v > b[i], F.lit(buckets - 2 - i))
+    bucket = bucket.otherwise(F.lit(buckets - 1))
     staged = perf.join(bounds, on=keys, how="left").withColumn("_bucket", bucket).drop("_bounds")
 
     part = [*keys, "_bucket"]
