@@ -140,3 +140,12 @@ def test_bar_ordinals_are_contiguous_per_symbol_with_a_hot_symbol(spark):
     wrong = numbered.withColumn("_expect", F.row_number().over(w) - 1).filter(F.col("_idx") != F.col("_expect"))
     assert numbered.count() == bars.count()
     assert wrong.count() == 0
+
+
+def test_negative_and_null_prices_give_null_returns_not_errors(spark):
+    rows = collect_sorted(bar_features(bars_df(spark, [5.0, -1.0, None, 4.0, 8.0])), "ts_min")
+    assert [r["log_return"] for r in rows][:4] == [None, None, None, None]
+    assert rows[4]["log_return"] == pytest.approx(0.6931471805599453)
+    # averages skip the NULL mid; the first non-NULL return gives vol 0.0
+    assert rows[2]["sma_20"] == pytest.approx(2.0)
+    assert rows[4]["vol_20"] == 0.0
