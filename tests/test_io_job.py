@@ -184,3 +184,23 @@ def test_csv_rows_failing_expectations_are_quarantined(spark, scratch_dir):
     layout = Layout(root)
     failed = spark.read.parquet(layout.quarantine_expectations).collect()
     assert [(r.trade_id, list(r.failed_rules)) for r in failed] == [("T1000004", ["fee_matches_schedule"])]
+
+
+def test_job_with_late_csv_upserts_and_rebuilds(spark, scratch_dir):
+    root = os.path.join(scratch_dir, "wh")
+    run_job(spark, root, events_dir=SF0001)
+    layout = Layout(root)
+    row = spark.read.parquet(layout.bronze).filter(F.col("trade_id") == "T1000003").first()
+    fields = [row[c] for c in TRADE_COLUMNS]
+    fields[TRADE_COLUMNS.index("realized_pnl")] = 777.0
+    fields[TRADE_COLUMNS.index("ts")] = row.ts.strftime("%Y-%m-%d %H:%M:%S")
+    late = os.path.join(scratch_dir, "late.csv")
+    with open(late, "w") as f:
+        f.write(HEADER + "\n" + ",".join(str(v) for v in fields) + "\n")
+    report = run_job(spark, root, late_csv=late)
+    assert report.counts["late"] == 1 and report.counts["late_quarantined"] == 0
+    silver = spark.read.parquet(layout.silver)
+    assert silver.count() == 1000
+    assert silver.filter(F.col("trade_id") == "T1000003").first().net_pnl == 777.0
+    assert spark.read.parquet(layout.gold_ranking).agg(F.sum("n_trades")).first()[0] == \
+        silver.filter(F.col("vol_regime") != "unknown").count()
