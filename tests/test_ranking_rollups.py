@@ -171,3 +171,18 @@ def test_grouping_sets_rollups_equal_the_single_table_operators(spark):
     for name, ref in [("gold_a", m.gold_a), ("perf", m.perf), ("gold_c", m.gold_c)]:
         assert gold[name].columns == ref.columns
         assert rows(gold[name]) == rows(ref), name
+
+
+def test_public_silver_helper_equals_the_fused_model(spark):
+    from tradeflow.operators import silver_trades
+    from tradeflow.sources import dim_table
+
+    m = TradeModel(spark, SF0001)
+    cols = ["trade_id", "vol_regime", "trend_regime"]
+    helper = silver_trades(m.trades)  # bars -> chunked features -> labels -> join
+    assert sorted(map(tuple, helper.select(*cols).collect())) == sorted(map(tuple, m.silver.select(*cols).collect()))
+    pnl = helper.select("trade_id", F.round("net_pnl", 6).alias("p")).exceptAll(
+        m.silver.select("trade_id", F.round("net_pnl", 6).alias("p")))
+    assert pnl.count() == 0
+    tiers = dim_table(spark, [("retail", 25.0), ("prop", 8.0)], "tier string, fee_bps double")
+    assert tiers.count() == 2
