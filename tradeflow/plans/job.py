@@ -209,8 +209,12 @@ def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 def upsert_late_csv(spark: SparkSession, layout: Layout, report: JobReport, late_csv: str) -> None:
     """Typed read of a late-trades CSV (bad rows quarantined) and upsert into bronze."""
     ingest = read_trades_csv(spark, late_csv)
-    upsert_bronze(spark, layout, ingest.good.withColumn("trade_date", F.to_date("trade_date")))
-    ingest.bad.write.mode("append").parquet(layout.quarantine)
+    ingest.parsed.persist(StorageLevel.DISK_ONLY)  # two writes, one parse
+    try:
+        upsert_bronze(spark, layout, ingest.good.withColumn("trade_date", F.to_date("trade_date")))
+        ingest.bad.write.mode("append").parquet(layout.quarantine)
+    finally:
+        ingest.parsed.unpersist()
     report.counts.update({"late": ingest.counts()["good"], "late_quarantined": ingest.counts()["bad"]})
 
 
