@@ -59,6 +59,18 @@ def arrow_task(target: Callable, **params) -> Callable:
     return run
 
 
+def group_task(target: Callable, **params) -> Callable:
+    """An ``applyInArrow`` function that calls ``target(table, **params)`` on each group."""
+    module, name, root = target.__module__, target.__qualname__, ROOT
+
+    def run(table):
+        if root not in sys.path:
+            sys.path.append(root)
+        return getattr(importlib.import_module(module), name)(table, **params)
+
+    return run
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.llm.common import table
+from tradeflow.llm.jaccard_join import jaccard_components
+from tradeflow.llm.mixing import mix
+from tradeflow.llm.packing import pack
 from tradeflow.llm.quality_rules import quality_rules
+from tradeflow.llm.token_count import count_tokens
 from tradeflow.llm.url_filter import filter_urls
 
 # Fixed values of the URL filter contract: (verdict, host, path).
@@ -30,11 +35,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         q["n_repeat_words"].alias("n_repeat_words"), q["base_failed"].alias("base_failed"), q["kept"].alias("kept"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
+    "op10_mixing": op10_mixing,
 }
