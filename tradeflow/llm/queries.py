@@ -14,6 +14,7 @@ from tradeflow.llm.jaccard_join import jaccard_components
 from tradeflow.llm.license_scan import scan_licenses
 from tradeflow.llm.mixing import mix
 from tradeflow.llm.packing import pack
+from tradeflow.llm.pu_classifier import score_quality
 from tradeflow.llm.quality_rules import quality_rules
 from tradeflow.llm.token_count import count_tokens
 from tradeflow.llm.url_filter import filter_urls
@@ -71,6 +72,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
 }
