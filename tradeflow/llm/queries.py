@@ -13,6 +13,7 @@ from tradeflow.llm.common import table
 from tradeflow.llm.jaccard_join import jaccard_components
 from tradeflow.llm.license_scan import scan_licenses
 from tradeflow.llm.mixing import mix
+from tradeflow.llm.nn_descent import near_duplicates
 from tradeflow.llm.packing import pack
 from tradeflow.llm.pu_classifier import score_quality
 from tradeflow.llm.quality_rules import quality_rules
@@ -76,6 +77,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))[0]
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
 }
