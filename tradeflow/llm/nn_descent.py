@@ -52,6 +52,21 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors at unit length; null if empty, zero or not finite throughout."""
+    for batch in batches:
+        units = []
+        for raw in batch["raw"]:
+            v = raw.values.to_numpy(zero_copy_only=False).astype(float) if raw.is_valid else np.zeros(0)
+            peak = np.abs(v).max(initial=0.0)
+            if np.isfinite(v).all() and peak > 0:
+                v = v / peak + 0.0  # squares neither overflow nor vanish; no negative zero
+                units.append(v / np.sqrt(v @ v) + 0.0)
+            else:
+                units.append(None)
+        yield pa.RecordBatch.from_arrays([batch["key"], pa.array(units, pa.list_(pa.float64()))], names=["key", "vec"])
+
+
 def block_keys(batches: Iterator[pa.RecordBatch], tables: int, seed: int, bits: int) -> Iterator[pa.RecordBatch]:
     """A key of ``bits`` hyperplane sides for each table; vectors of one length a row."""
     for batch in batches:
@@ -143,7 +158,7 @@ def region_links(table: pa.Table, cosine: float) -> pa.Table:
                 parent[b] = a
                 if to[i + 1 + j] < 0:
                     to[i + 1 + j] = nodes[i]
-    return pa.table({"node": pa.array(nodes), "links": pa.array(linked @ copies), "to": pa.array(to)})
+    return pa.table({"node": pa.array(nodes), "links": pa.array((linked @ copies).astype(float)), "to": pa.array(to)})
 
 
 def audit_batches(batches: Iterator[pa.RecordBatch], queries, cosine: float) -> Iterator[pa.RecordBatch]:
@@ -209,18 +224,8 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     """(key, n_links, component_id, kept) for each row, and the audit: measured recall, rounds, links checked."""
     spark = rows.sparkSession
     base = rows.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("raw"))
-    usable = F.coalesce(F.size("raw") > 0, F.lit(False)) & F.forall(
-        F.coalesce("raw", F.array().cast("array<double>")), lambda v: F.coalesce(
-            ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), F.lit(False)))
-    # components are scaled by the largest first, so that squares neither overflow nor vanish
-    peak = F.array_max(F.transform("raw", lambda v: F.abs(v)))
-    base = base.withColumn("usable", usable).withColumn("peak", F.when(F.col("usable"), peak))
-    good = base.filter("usable and peak > 0").withColumn(
-        "vec", F.transform("raw", lambda v: v / F.col("peak") + F.lit(0.0)))
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v * v))
-    unit = good.withColumn("norm", norm).withColumn("vec", F.transform("vec", lambda v: v / F.col("norm")))
-    # a row's node is its vector's first row; equal vectors meet through a hash and the vector itself
-    classes = unit.groupBy("vec").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("first"))
+    base = stage(base.mapInArrow(arrow_task(unit_batches), "key long, vec array<double>"), "units")
+    classes = base.filter("vec is not null").groupBy("vec").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("first"))
     nodes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     pool = nodes.select("node", "vec", "copies")
 
@@ -254,8 +259,8 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
     known = named.join(names, "component").join(links, "node", "left").select(
         "vec", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
-    linked = unit.select("key", "vec").join(known, "vec").select("key", "n_links", "component_id")
-    alone = base.filter("not (usable and peak > 0)").select(
+    linked = base.join(known, "vec").select("key", "n_links", "component_id")
+    alone = base.filter("vec is null").select(
         "key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
     result = linked.unionByName(alone)
     return result.select(F.col("key").alias(key), "n_links", "component_id",
