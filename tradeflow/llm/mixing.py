@@ -107,3 +107,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, m
         copies = epochs + F.when(last > 0, 1).otherwise(0)
     return placed.select("doc_id", "source", "size", "source_size", "target",
                          (epochs * F.col("size") + last).cast("long").alias("taken"), copies.cast("int").alias("copies"), "key")
+
+
+def mix_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (whole documents), with all their columns."""
+    plan = mix(docs, cut="documents", **options).groupBy(F.col("doc_id").alias("__id")).agg(
+        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
+    # rows that share an id share its copies
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "text"))
+    rows = docs.withColumn("__number", number).join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
+    copies = F.floor(F.col("__copies") / F.col("__rows")) + F.when(
+        F.col("__number") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*docs.columns)
