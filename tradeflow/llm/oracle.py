@@ -1,5 +1,147 @@
-"""DuckDB SQL of the training-data queries that SQL can express."""
+"""DuckDB SQL of the training-data queries that SQL can express.
+
+Operators 3, 5 and 8 (tokenizer ids, embeddings graph), 7 (a fitted model) and
+9 (voting labels) are beyond SQL and are tested against brute force.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from tradeflow.llm.quality_rules import RULES, STOP_WORDS
+
+# A regular expression class of white space, and words by it.
+_SPACE = r"[ \t\n\x0b\f\r]"
+_WORDS = r"[^ \t\n\x0b\f\r]+"
+
+
+def _quality_sql() -> str:
+    stop = ", ".join(f"'{form}'" for w in STOP_WORDS for form in sorted({w, w.capitalize()}))
+    checks = []
+    for rule in RULES:
+        if rule.minimum is not None:
+            checks.append(f"{rule.metric} >= {rule.minimum}")
+        if rule.maximum is not None:
+            checks.append(f"{rule.metric} <= {rule.maximum}")
+    return f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text FROM documents
+    ), s AS (
+        SELECT *, regexp_extract_all(text, '{_WORDS}') AS words,
+            list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{_WORDS}')) AS lines
+        FROM d
+    ), w AS (
+        SELECT uid, i, list_aggregate(words[i:i + 7], 'string_agg', ' ') AS gram
+        FROM (SELECT uid, words, unnest(range(1, len(words) - 6)) AS i FROM s)
+    ), twice AS (
+        SELECT uid, i FROM (SELECT uid, i, count(*) OVER (PARTITION BY uid, gram) AS n FROM w) WHERE n > 1
+    ), r AS (
+        SELECT uid, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT uid, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY uid
+    ), m AS (
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+            CAST(length(regexp_replace(text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+            CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+            coalesce(n_repeat_words, 0) AS n_repeat_words, words, lines,
+            length(text) - length(replace(text, '!', '')) AS bangs
+        FROM s LEFT JOIN r USING (uid)
+    ), q AS (
+        SELECT *,
+            n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+            word_chars / greatest(n_words, 1) AS mean_word_chars,
+            n_symbols / greatest(n_words, 1) AS symbol_ratio,
+            len(list_filter(words, lambda x: x IN ({stop}))) / greatest(n_words, 1) AS stop_ratio,
+            bangs / greatest(n_words, 1) AS exclamation_ratio,
+            len(list_distinct(words)) / greatest(n_words, 1) AS distinct_ratio,
+            n_dup_lines / greatest(len(lines), 1) AS dup_line_ratio,
+            len(list_filter(lines, lambda x: rtrim(x, ' ') LIKE '%...')) / greatest(len(lines), 1) AS ellipsis_line_ratio
+        FROM m
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND {' AND '.join(checks)} AS kept
+    FROM q
+    """
+
+
+SQL: dict[str, str] = {
+    "op1_quality_rules": _quality_sql(),
+    "op2_chat_format": r"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(32 + length(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'))
+            + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id
+    """,
+    "op4_jaccard_join": rf"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '{_WORDS}') AS words
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS shingle
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+    ), n AS (
+        SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+    ), p AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+        FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+    ), l AS (
+        SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 80 * (a.n + b.n - shared)
+    ), reach(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM w
+        UNION
+        SELECT reach.doc_id, l.y FROM reach JOIN l ON reach.other = l.x
+    )
+    SELECT w.doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id
+    FROM w LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY ALL
+    """,
+    "op6_url_filter": r"""
+    WITH u AS (
+        SELECT page_id,
+            translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+        FROM pages
+    ), rules(verdict, h, p) AS (
+        VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+    ), fits AS (
+        SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
+        FROM u JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fits USING (page_id)
+    """,
+    "op10_mixing": rf"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORDS}')) AS BIGINT) AS size,
+            md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k
+        FROM documents
+    ), s AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+            CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight
+        FROM d GROUP BY source
+    ), o AS (
+        SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS DOUBLE) AS rest,
+            CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS others,
+            row_number() OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) AS place
+        FROM s WINDOW before AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), f AS (
+        SELECT min(place) AS place FROM o WHERE 3 * source_size * others > weight * rest
+    ), t AS (
+        SELECT o.source, o.source_size,
+            CASE WHEN f.place IS NULL OR o.place < f.place THEN CAST(3 * o.source_size AS DOUBLE) ELSE o.weight * free.rest / free.others END AS target
+        FROM o CROSS JOIN f LEFT JOIN o free ON free.place = f.place
+    ), r AS (
+        SELECT d.*, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS budget,
+            coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size, source_size, target,
+        CASE WHEN source_size = 0 THEN 0 ELSE CAST(budget // source_size * size
+            + greatest(least(budget - budget // source_size * source_size - ahead, size), 0) AS BIGINT) END AS taken
+    FROM r
+    """,
+}
