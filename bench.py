@@ -16,7 +16,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import uuid
 import time
 
@@ -25,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tradeflow.operators import (  # noqa: E402
+    account_performance,
     day_over_day,
     moving_daily_pnl,
     pnl_by_tier_regime,
@@ -48,7 +48,7 @@ LAYER_QUERIES = {
     "layer_q4_moving_daily_pnl": lambda w: moving_daily_pnl(w.silver, Q4_SYMBOL),
     "layer_q5_tier_dominance": lambda w: tier_dominance(w.gold_b, REGIME),
     "layer_top3_per_regime_symbol": lambda w: top_n_per_group(
-        w.gold_b.drop("pnl_rank"), ["vol_regime", "symbol"], [F.col("total_pnl").desc_nulls_last()], 3),
+        account_performance(w.silver), ["vol_regime", "symbol"], [F.col("total_pnl").desc_nulls_last()], 3),
 }
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -89,9 +89,7 @@ def main() -> int:
         # -> gold), then the analyst queries on the stored layers.
         root = os.environ.get("BENCH_WAREHOUSE")
         if not root:
-            shared = shared_checkpoint_dir(spark.range(1))
-            root = (f"{shared.rstrip('/')}/tradeflow-bench-{uuid.uuid4().hex}" if shared
-                    else tempfile.mkdtemp(prefix="tradeflow-bench-"))
+            root = f"{shared_checkpoint_dir(spark).rstrip('/')}/tradeflow-bench-{uuid.uuid4().hex}"
         timed(timings, "job_pipeline", lambda: run_job(spark, root, events_dir=SF_DIR))
         # the same trades as the reference's landing format (headered CSV), written
         # once from the events table (untimed), then the job from CSV: parse,

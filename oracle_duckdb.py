@@ -151,13 +151,16 @@ FROM costed"""),
     "round_quantity_bands": with_("trades", f"""
 SELECT trade_id, {r('mid_price', 6)} AS mid_price, {r('fill_price', 6)} AS fill_price,
        {r('notional', 4)} AS notional, {r('fee_amount', 6)} AS fee_amount,
+       {r('realized_pnl', 6)} AS realized_pnl,
        {r('quantity / mid_price', 8)} AS base_qty,
        CASE WHEN mid_price > 1000e0 THEN {r('quantity / mid_price', 4)}
             WHEN mid_price > 10e0 THEN {r('quantity / mid_price', 2)}
             ELSE {r('quantity / mid_price', 1)} END AS quantity_rounded
 FROM trades"""),
     "dimension_lookup": with_("costed", """
-SELECT trade_id, account_id, tier, fee_bps FROM costed"""),
+SELECT trade_id, account_id, tier, fee_bps,
+       CASE tier WHEN 'retail' THEN 500e0 WHEN 'prop' THEN 25000e0 WHEN 'market_maker' THEN 250000e0 END AS base_size
+FROM costed"""),
     "accounts_per_tier": with_("accts", """
 SELECT tier, count(*) AS n_accounts FROM accts GROUP BY tier"""),
     "mid_lookup": with_("bars", f"""
@@ -278,6 +281,7 @@ FROM trades GROUP BY trade_date"""),
   SELECT
     coalesce(trade_id IS NOT NULL AND account_id IS NOT NULL, false) AS ids_present,
     coalesce(ts IS NOT NULL AND trade_date IS NOT NULL, false) AS has_time,
+    coalesce(trade_date = CAST(ts AS DATE), false) AS date_is_day_of_time,
     coalesce(side IN ('BUY', 'SELL'), false) AS known_side,
     coalesce(quantity > 0, false) AS positive_quantity,
     coalesce(mid_price > 0 AND fill_price > 0, false) AS positive_prices,
@@ -288,6 +292,7 @@ FROM trades GROUP BY trade_date"""),
   FROM trades)
 SELECT 'ids_present' AS rule, count(*) FILTER (WHERE NOT ids_present) AS n_failed FROM checks
 UNION ALL SELECT 'has_time', count(*) FILTER (WHERE NOT has_time) FROM checks
+UNION ALL SELECT 'date_is_day_of_time', count(*) FILTER (WHERE NOT date_is_day_of_time) FROM checks
 UNION ALL SELECT 'known_side', count(*) FILTER (WHERE NOT known_side) FROM checks
 UNION ALL SELECT 'positive_quantity', count(*) FILTER (WHERE NOT positive_quantity) FROM checks
 UNION ALL SELECT 'positive_prices', count(*) FILTER (WHERE NOT positive_prices) FROM checks

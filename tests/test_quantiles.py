@@ -36,6 +36,6 @@ def test_exact_quantiles_with_ties_nulls_and_a_hot_group(spark):
 def test_exact_thresholds_equal_percentile_disc_on_driver_bars(spark):
     events = spark.read.parquet(f"{SF001}/events.parquet")
     feats = bar_features(minute_bars(trades_raw_from_events(events)))
-    exact = {r.symbol: (r.vol_lo, r.vol_hi) for r in vol_thresholds(feats, exact=True).collect()}
+    exact = {r.symbol: (r.vol_lo, r.vol_hi) for r in vol_thresholds(feats).collect()}
     disc = _disc(feats, "symbol", "vol_20", [0.33, 0.66])
     assert exact == {s: (disc[(s, 0.33)], disc[(s, 0.66)]) for s, _ in disc}

@@ -3,19 +3,21 @@
 ``TradeModel(spark, sf_dir)`` wires the operators into the reference's
 layers - trades (bronze), labelled bars, silver, gold A/B/C.  Each attribute
 is a plan that Catalyst optimises together with whatever query reads it,
-except the two results several branches read at scale: the minute bars and
-the account performance table.  When the trade count (Parquet metadata)
-proves them small, plain windows are used and nothing is stored; otherwise
-they are computed once into the shared checkpoint folder (``plans.lineage``)
-and their stored row counts pick plain or split windows.  The batch job (``plans.job``) runs the same chain but stores every
-layer and re-reads it.
+except three results that several branches read: the minute bars, the bar
+features and the ranking's input are computed once into the shared checkpoint
+folder (``plans.lineage``).  The same plans run at every size.  A query that
+reads a few symbols says so (``symbols``): a symbol's series does not depend
+on the others, so the filter sits below everything that is stored.  The batch
+job (``plans.job``) runs the same chain but stores every layer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradeflow.operators import (
     account_performance,
@@ -28,32 +30,26 @@ from tradeflow.operators import (
 )
 from tradeflow.operators.bars import DEFAULT_CHUNK_ROWS, bar_features
 from tradeflow.operators.economics import priced_labelled_trades, priced_trades
-from tradeflow.operators.ranking import ONE_TASK_ROWS
-from tradeflow.operators.regimes import bar_table
-from tradeflow.plans.lineage import materialize_counted
+from tradeflow.operators.markout import forward_mid
+from tradeflow.plans.lineage import materialize
 from tradeflow.sources.fixtures import account_book_from_events, trades_raw_from_events
 
 
 class TradeModel:
-    #: bars per window partition before the features / markout are chunked
-    chunk_rows: int = DEFAULT_CHUNK_ROWS
-    #: ranking rows one task may take before groups are split by value range
-    one_task_rows: int = ONE_TASK_ROWS
-
-    def __init__(self, spark: SparkSession, sf_dir: str, **limits: int):
+    def __init__(self, spark: SparkSession, sf_dir: str, symbols: Sequence[str] | None = None,
+                 chunk_rows: int = DEFAULT_CHUNK_ROWS):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        for name, value in limits.items():
-            if name not in ("chunk_rows", "one_task_rows"):
-                raise TypeError(f"unknown limit {name}")
-            setattr(self, name, value)
+        self.symbols = symbols
+        self.chunk_rows = chunk_rows
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events")
+        events = self.table("events")
+        return events if self.symbols is None else events.filter(F.col("event_type").isin(*self.symbols))
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -69,47 +65,35 @@ class TradeModel:
         return trades_raw_from_events(self.events, with_tier=True)
 
     @cached_property
-    def trades(self) -> DataFrame:
-        return priced_trades(self.flow, None, bars=self.bars)
-
-    @cached_property
-    def flow_rows(self) -> int:
-        """Rows of the trade flow (Parquet metadata): a bound on bars and on
-        account-performance rows, since each trade adds at most one of each."""
-        return self.events.count()
+    def bars(self) -> DataFrame:
+        return minute_bars(self.raw)
 
     @cached_property
-    def _bars_stored(self) -> tuple[DataFrame, int | None]:
-        # Few enough trades prove the bars fit one chunk: the plain plan reads
-        # them once per branch and Spark reuses the aggregate's exchange.
-        # Otherwise this is the one pass over the trade flow for bars: the
-        # chunked features, thresholds, labels and markout all read the copy.
-        if self.flow_rows <= self.chunk_rows:
-            return minute_bars(self.raw), self.flow_rows
-        return materialize_counted(minute_bars(self.raw), "minute_bars")
-
-    @property
-    def bars(self) -> DataFrame:
-        return self._bars_stored[0]
+    def trades(self) -> DataFrame:
+        return priced_trades(self.flow, None, bars=self.bars)
 
     @cached_property
     def features(self) -> DataFrame:
-        # the stored bar count bounds every symbol's series
-        return bar_features(self.bars, chunk_rows=self.chunk_rows, rows_bound=self._bars_stored[1])
+        # numbering reads the bars twice: one pass over the trade flow stores them
+        return bar_features(materialize(self.bars, "minute_bars"), chunk_rows=self.chunk_rows)
 
     @cached_property
-    def thresholds(self) -> DataFrame:
-        return vol_thresholds(self.features)
+    def _bar_inputs(self) -> DataFrame:
+        # read by the thresholds (twice) and by the labels
+        return materialize(forward_mid(self.features), "bar_features")
 
     @cached_property
-    def labelled_bars(self) -> DataFrame:
-        # Bars come from the raw flow (symbol, ts, mid_price), never through the
-        # priced trades, whose joins Catalyst cannot drop.
-        return label_bars(self.features, self.thresholds)
+    def thresholds(self) -> DataFrame:
+        return vol_thresholds(self._bar_inputs)
 
     @cached_property
     def bar_attrs(self) -> DataFrame:
-        return bar_table(self.bars, rows_bound=self._bars_stored[1], chunk_rows=self.chunk_rows)
+        """Labels and forward mid of every bar."""
+        return label_bars(self._bar_inputs, self.thresholds)
+
+    @property
+    def labelled_bars(self) -> DataFrame:
+        return self.bar_attrs.drop("fwd_mid")
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -122,20 +106,12 @@ class TradeModel:
         return rollup_regime_symbol(self.silver)
 
     @cached_property
-    def _perf_stored(self) -> tuple[DataFrame, int | None]:
-        # Within the one-task bound the plain ranking reads it once; otherwise
-        # the split ranking's quantile pass, local ranks and offsets read a copy.
-        if self.flow_rows <= self.one_task_rows:
-            return account_performance(self.silver), self.flow_rows
-        return materialize_counted(account_performance(self.silver), "account_performance")
-
-    @property
     def perf(self) -> DataFrame:
-        return self._perf_stored[0]
+        return account_performance(self.silver)
 
     @cached_property
     def gold_b(self) -> DataFrame:
-        return rank_accounts(self.perf, rows_bound=self._perf_stored[1], one_task_rows=self.one_task_rows)
+        return rank_accounts(self.perf)
 
     @cached_property
     def gold_c(self) -> DataFrame:

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tradeflow.functions import epoch_seconds, minute_of, ratio_log
 
 DAY_SECONDS = 86400
+# stands in for the day of a bar without a minute: before any day
+NO_DAY = -(1 << 40)
 DEFAULT_CHUNK_ROWS = 100_000
 
 
@@ -69,33 +71,34 @@ def bar_ordinals(bars: DataFrame, block_seconds: int = DAY_SECONDS) -> DataFrame
 
     Only a (symbol, day) count table is ever ordered per symbol; the bars
     themselves are numbered inside (symbol, day) groups of at most 1,440 rows.
+    A NULL symbol is a series of its own and a NULL minute its first bar: both
+    are numbered through non-null stand-ins, so that the offsets join is a
+    plain equality on the numbering window's own partitioning.
     """
-    day = F.floor(epoch_seconds("ts_min") / F.lit(block_seconds))
-    staged = bars.withColumn("_day", day)
-    counts = staged.groupBy("symbol", "_day").agg(F.count(F.lit(1)).alias("_n"))
-    w_days = Window.partitionBy("symbol").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "symbol", "_day", F.coalesce(F.sum("_n").over(w_days), F.lit(0)).alias("_offset")
-    )
-    w_in_day = Window.partitionBy("symbol", "_day").orderBy("ts_min")
+    day = F.coalesce(F.floor(epoch_seconds("ts_min") / F.lit(block_seconds)), F.lit(NO_DAY))
+    keys = ["_known", "_symbol", "_day"]
+    staged = bars.withColumns({"_known": F.col("symbol").isNotNull(), "_symbol": F.coalesce("symbol", F.lit("")), "_day": day})
+    counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    w_days = Window.partitionBy("_known", "_symbol").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(w_days), F.lit(0)).alias("_offset"))
+    w_in_day = Window.partitionBy(*keys).orderBy("ts_min")
     return (
-        staged.join(offsets, on=["symbol", "_day"], how="inner")
-        .withColumn("_idx", F.col("_offset") + F.row_number().over(w_in_day) - 1)
-        .drop("_day", "_offset")
+        staged.withColumn("_row", F.row_number().over(w_in_day))
+        .join(offsets, on=keys, how="inner")
+        .withColumn("_idx", F.col("_offset") + F.col("_row") - 1)
+        .drop(*keys, "_offset", "_row")
     )
 
 
 def bar_features(bars: DataFrame, fast: int = 20, slow: int = 60,
-                 chunk_rows: int | None = DEFAULT_CHUNK_ROWS, rows_bound: int | None = None) -> DataFrame:
+                 chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """prev_mid, log_return, sma_{fast}, sma_{slow}, vol_{fast}.
 
-    ``chunk_rows=None`` gives the plain per-symbol window; otherwise the
-    chunked exact form (see module docstring).  ``rows_bound`` is a proven
-    upper bound on the rows of ``bars`` (e.g. the count of a stored bar
-    layer): when it is within ``chunk_rows`` no symbol can exceed a chunk, the
-    plain window is already bounded, and the numbering passes are skipped.
+    The chunked exact form (see module docstring) at every size;
+    ``chunk_rows=None`` is the plain per-symbol window it must equal.  Other
+    columns of ``bars`` are passed through.
     """
-    if chunk_rows is None or (rows_bound is not None and rows_bound <= chunk_rows):
+    if chunk_rows is None:
         return rolling_features(bars, ["symbol"], "ts_min", fast, slow)
     lookback = max(slow - 1, fast)
     if chunk_rows < lookback:

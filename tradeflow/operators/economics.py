@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.functions import case_map, round_half_up, side_sign
+from tradeflow.functions import case_map, minute_of, round_half_up, side_sign
 from tradeflow.schema import TRADE_COLUMNS
 
 # Fixed values of the trade economics.
 FEE_BPS_BY_TIER = {"retail": 25.0, "prop": 8.0, "market_maker": 2.0}
+BASE_SIZE_BY_TIER = {"retail": 500.0, "prop": 25000.0, "market_maker": 250000.0}
 SPREAD_BPS_BY_VENUE = {"coinbase": 4.0, "binance": 2.0, "kraken": 6.0}
 TIERS = ["retail", "prop", "market_maker"]
 BPS = 10000.0
@@ -41,6 +42,11 @@ def with_fee_schedule(df: DataFrame, tier: str = "tier") -> DataFrame:
     return df.withColumn("fee_bps", case_map(tier, FEE_BPS_BY_TIER))
 
 
+def with_base_size(df: DataFrame, tier: str = "tier") -> DataFrame:
+    """Base order size (quote currency) by account tier."""
+    return df.withColumn("base_size", case_map(tier, BASE_SIZE_BY_TIER))
+
+
 def with_spread(df: DataFrame, venue: str = "venue") -> DataFrame:
     """C4: quoted spread in basis points by venue."""
     return df.withColumn("spread_bps", case_map(venue, SPREAD_BPS_BY_VENUE))
@@ -70,6 +76,15 @@ def markout_pnl(sign: Column, fwd: Column, fill: Column, qty: Column, fee: Colum
     return sign * (fwd - fill) * qty - fee
 
 
+def with_bar(trades: DataFrame, bars: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of each trade's minute bar, by (symbol, ts_min); every trade is kept.
+
+    ``bars`` holds a minute once, so the left join repeats no trade.
+    """
+    return trades.withColumn("ts_min", minute_of("ts")).join(
+        bars.select("symbol", "ts_min", *columns), on=["symbol", "ts_min"], how="left")
+
+
 def with_markout_pnl(df: DataFrame, bars: DataFrame, horizon_minutes: int = MARKOUT_MINUTES) -> DataFrame:
     """Realized PnL against the mid ``horizon_minutes`` later.
 
@@ -78,16 +93,8 @@ def with_markout_pnl(df: DataFrame, bars: DataFrame, horizon_minutes: int = MARK
     """
     from tradeflow.operators.markout import forward_mid
 
-    fwd = forward_mid(bars, minutes=horizon_minutes).select("symbol", "ts_min", "fwd_mid")
-    return (
-        df.withColumn("ts_min", F.date_trunc("minute", F.col("ts")))
-        .join(fwd, on=["symbol", "ts_min"], how="left")
-        .withColumn(
-            "realized_pnl",
-            markout_pnl(side_sign("side"), F.col("fwd_mid"), F.col("fill_price"),
-                        F.col("quantity"), F.col("fee_amount")),
-        )
-    )
+    pnl = markout_pnl(side_sign("side"), F.col("fwd_mid"), F.col("fill_price"), F.col("quantity"), F.col("fee_amount"))
+    return with_bar(df, forward_mid(bars, minutes=horizon_minutes), "fwd_mid").withColumn("realized_pnl", pnl)
 
 
 def round_quantity(qty: str | Column, mid: str | Column) -> Column:
@@ -135,9 +142,7 @@ def priced_labelled_trades(raw: DataFrame, accounts: DataFrame | None, bar_attrs
                       F.col("quantity"), F.col("fee_amount"))
     silver_cols = TRADE_COLUMNS + ["ts_min"] + BAR_LABEL_COLUMNS[2:] + ["net_pnl"]
     return (
-        costed_flow(raw, accounts)
-        .withColumn("ts_min", F.date_trunc("minute", F.col("ts")))
-        .join(bar_attrs.select(*BAR_LABEL_COLUMNS, "fwd_mid"), on=["symbol", "ts_min"], how="left")
+        with_bar(costed_flow(raw, accounts), bar_attrs, *BAR_LABEL_COLUMNS[2:], "fwd_mid")
         .withColumns({"realized_pnl": pnl, "net_pnl": pnl})
         .select(*silver_cols)
     )

@@ -59,6 +59,6 @@ def forward_mid(bars: DataFrame, minutes: int = 30, chunk_seconds: int | None =
     w = Window.partitionBy("symbol", "_part").orderBy("_sec").rangeBetween(0, horizon)
     return (
         staged.withColumn("fwd_mid", F.last(mid).over(w))
-        .filter(F.col("_part") == F.col("_chunk"))
+        .filter(F.col("_part").eqNullSafe(F.col("_chunk")))  # a bar without a minute has no chunk
         .drop("_sec", "_chunk", "_part")
     )

@@ -28,6 +28,7 @@ def trade_expectations() -> dict[str, Column]:
     return {
         "ids_present": F.col("trade_id").isNotNull() & F.col("account_id").isNotNull(),
         "has_time": F.col("ts").isNotNull() & F.col("trade_date").isNotNull(),
+        "date_is_day_of_time": F.col("trade_date") == F.to_date("ts"),
         "known_side": F.col("side").isin(*SIDES),
         "positive_quantity": F.col("quantity") > 0,
         "positive_prices": (F.col("mid_price") > 0) & (F.col("fill_price") > 0),
@@ -45,15 +46,8 @@ def expectation_split(df: DataFrame, rules: Mapping[str, Column] | None = None,
     A rule evaluating to NULL counts as failed.  The observation's values are
     available after an action on ``passed`` (e.g. the layer write).
     """
-    rules = dict(rules or trade_expectations())
-    ok = {n: F.coalesce(rule, F.lit(False)) for n, rule in rules.items()}
-    any_failed = F.lit(False)
-    for cond in ok.values():
-        any_failed = any_failed | ~cond
-    # the rule-name array is only built for failing rows (rare); passing rows
-    # stay on plain code-generated comparisons
-    names = F.filter(F.array(*[F.when(~cond, F.lit(n)) for n, cond in ok.items()]), lambda x: x.isNotNull())
-    checked = df.withColumn("failed_rules", F.when(any_failed, names))
+    checked = with_failed_rules(df, rules)
+    ok = {n: F.coalesce(rule, F.lit(False)) for n, rule in dict(rules or trade_expectations()).items()}
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("n_rows"),
                F.count_if(F.col("failed_rules").isNotNull()).alias("n_failed")]
@@ -62,3 +56,16 @@ def expectation_split(df: DataFrame, rules: Mapping[str, Column] | None = None,
     passed = checked.filter(F.col("failed_rules").isNull()).drop("failed_rules")
     failed = checked.filter(F.col("failed_rules").isNotNull())
     return passed, failed, obs
+
+
+def with_failed_rules(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """``df`` with ``failed_rules``: the names of the rules a row fails, NULL if it passes all."""
+    rules = dict(rules or trade_expectations())
+    ok = {n: F.coalesce(rule, F.lit(False)) for n, rule in rules.items()}
+    any_failed = F.lit(False)
+    for cond in ok.values():
+        any_failed = any_failed | ~cond
+    # the rule-name array is only built for failing rows (rare); passing rows
+    # stay on plain code-generated comparisons
+    names = F.filter(F.array(*[F.when(~cond, F.lit(n)) for n, cond in ok.items()]), lambda x: x.isNotNull())
+    return df.withColumn("failed_rules", F.when(any_failed, names))

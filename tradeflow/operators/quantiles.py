@@ -3,10 +3,11 @@
 ``percentile_disc(q)`` is the value at position ``k = max(1, ceil(q * n))`` of
 the group's sorted values.  A sketch with relative rank error ``e`` brackets
 that value between its ``q - 2e`` and ``q + 2e`` quantiles; one pass then
-counts the values below the bracket and keeps the values inside it (about
-``4 e n`` per group), and a row number over those candidates picks position
-``k - below``.  Ties are kept whole inside the bracket, so the result is the
-exact discrete quantile whatever the sketch's error.
+counts the values below the bracket as one row and every distinct value inside
+it (at most about ``4 e n`` per group), and a running count over those rows
+finds position ``k``.  Ties collapse in the aggregation, and no group's values
+meet in one task, so the result is exact whatever the sketch's error.  A NULL
+group is a group of its own.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeflow.plans.lineage import join_null_safe
+
 SKETCH_ACCURACY = 10_000
 
 
@@ -46,10 +49,13 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
         F.when(F.col("_b.q") + 2 * eps >= 1, F.col("_max")).otherwise(F.col("_b.hi")).alias("_hi"),
         F.greatest(F.lit(1), F.ceil(F.col("_b.q") * F.col("_n"))).alias("_k"),
     )
-    tagged = vals.join(brackets, group)
-    below = tagged.groupBy(group, "q").agg(F.count_if(F.col(value) < F.col("_lo")).alias("_below"))
-    candidates = tagged.filter((F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi")))
-    w = Window.partitionBy(group, "q").orderBy(value)
-    ranked = candidates.withColumn("_pos", F.row_number().over(w)).join(below, [group, "q"])
-    return ranked.filter(F.col("_pos") == F.col("_k") - F.col("_below")).select(
-        group, "q", F.col(value).alias("value_q"))
+    tagged = join_null_safe(vals, brackets, [group])
+    # values per bracket: everything below it is only counted, equal values inside it are one row
+    inside = F.when(F.col(value) >= F.col("_lo"), F.col(value))
+    steps = tagged.filter(F.col(value) <= F.col("_hi")).groupBy(group, "q", inside.alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_k").alias("_k"))
+    w = Window.partitionBy(group, "q").orderBy(F.col("_v").asc_nulls_first())
+    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return steps.withColumn("_upto", upto).filter(
+        F.col("_v").isNotNull() & (F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k"))
+    ).select(group, "q", F.col("_v").alias("value_q"))

@@ -12,105 +12,81 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeflow.plans.lineage import join_null_safe, materialize
+
 RANK_KEYS = ("vol_regime", "symbol")
-# Sub-buckets per ranking group in the split form; a group of n rows is
-# ranked by up to this many tasks of about n / SPLIT_BUCKETS rows each.
-SPLIT_BUCKETS = 64
-SPLIT_ACCURACY = 10_000
-# A group of at most this many rows is ranked comfortably by one task.
-ONE_TASK_ROWS = 1_000_000
+# Rows of the ranking that one range (one task) takes.
+RANGE_ROWS = 200_000
 
 
 def rank_accounts(perf: DataFrame, keys: Sequence[str] = RANK_KEYS, value: str = "total_pnl",
-                  tiebreak: str = "account_id", split_buckets: int | None = SPLIT_BUCKETS,
-                  rows_bound: int | None = None, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                  tiebreak: str = "account_id", range_rows: int | None = RANGE_ROWS) -> DataFrame:
     """W5-W7 / gold B: dense rank, row number and running PnL, best first.
 
-    ``split_buckets=None`` is the textbook window over each (regime, symbol)
-    group - one task per group.  The default splits every group into value
-    ranges so a hot group (one symbol holding a third of all accounts) is
-    ranked by many tasks; the result is the same (see ``_rank_split``).
-    ``rows_bound`` is a proven bound on the rows of ``perf`` (e.g. the count
-    of a stored table); within ``one_task_rows`` no group can be large and the
-    plain window is used.
+    The same plan at every size: the rows are range-partitioned on (group,
+    value, tie-breaker) into ranges of about ``range_rows`` rows - a hot group
+    or a value that many accounts share spans several - ranked inside their
+    range, and completed by running totals over the ranges of their group.
+    ``range_rows=None`` is the textbook window over each group that it must
+    equal.
     """
-    small = rows_bound is not None and rows_bound <= one_task_rows
-    if split_buckets is not None and not small:
-        return _rank_split(perf, list(keys), value, tiebreak, split_buckets)
-    w_rank = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
-    w_row = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last(), F.col(tiebreak).asc_nulls_first())
-    # The finer ordering (value, then tie-breaker) is computed first: its sort
-    # also satisfies the dense rank's ordering, so one sort serves all three.
-    with_rows = perf.select(
-        "*",
-        F.row_number().over(w_row).cast("long").alias("pnl_row_num"),
-        F.sum(value).over(w_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cumulative_pnl"),
-    )
-    return with_rows.withColumn("pnl_rank", F.dense_rank().over(w_rank).cast("long")).select(
-        *perf.columns, "pnl_rank", "pnl_row_num", "cumulative_pnl")
-
-
-def _rank_split(perf: DataFrame, keys: list[str], value: str, tiebreak: str, buckets: int) -> DataFrame:
-    """Exact dense rank / row number / running sum without one task per group.
-
-    1. Per group, ``buckets - 1`` approximate quantiles of ``value`` (one
-       partially aggregated pass; the table has one row per group).
-    2. Each row's bucket is the number of boundaries >= its value (a CASE
-       over the sorted boundaries), so higher values get lower buckets and
-       equal values always share a bucket; NULL values (last in DESC order)
-       get the last bucket.
-    3. Rank inside (group, bucket) with ordinary windows.
-    4. Per (group, bucket): rows, distinct values (= max local dense rank) and
-       value sum; running totals over the earlier buckets of the group come
-       from a window over that small table and are added to the local ranks.
-
-    Quantile error only moves bucket sizes, never the result.
-    """
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = perf.groupBy(*keys).agg(
-        F.percentile_approx(F.col(value), probs, SPLIT_ACCURACY).alias("_bounds"))
-    v = F.col(value)
-    # bucket = number of boundaries >= v; the boundaries ascend, so a CASE over
-    # them from the top gives it with plain (code-generated) comparisons
-    b = F.col("_bounds")
-    bucket = F.when(v.isNull(), F.lit(buckets))
-    for i in range(buckets - 2, -1, -1):
-        bucket = bucket.when(v > b[i], F.lit(buckets - 2 - i))
-    bucket = bucket.otherwise(F.lit(buckets - 1))
-    staged = perf.join(bounds, on=keys, how="left").withColumn("_bucket", bucket).drop("_bounds")
-
-    part = [*keys, "_bucket"]
-    w_dense = Window.partitionBy(*part).orderBy(v.desc_nulls_last())
-    w_row = Window.partitionBy(*part).orderBy(v.desc_nulls_last(), F.col(tiebreak).asc_nulls_first())
-    local = staged.select(
+    keys = list(keys)
+    if range_rows is None:
+        w_rank = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
+        w_row = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last(), F.col(tiebreak).asc_nulls_first())
+        # The finer ordering (value, then tie-breaker) is computed first: its sort
+        # also satisfies the dense rank's ordering, so one sort serves all three.
+        with_rows = perf.select(
+            "*",
+            F.row_number().over(w_row).cast("long").alias("pnl_row_num"),
+            F.sum(value).over(w_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cumulative_pnl"),
+        )
+        return with_rows.withColumn("pnl_rank", F.dense_rank().over(w_rank).cast("long")).select(
+            *perf.columns, "pnl_rank", "pnl_row_num", "cumulative_pnl")
+
+    stored = materialize(perf, "ranking_input")
+    ranges = max(1, -(-stored.count() // range_rows))
+    order = [F.col(value).desc_nulls_last(), F.col(tiebreak).asc_nulls_first()]
+    # the range of each row is stored with it: every reader sees the same ranges
+    marked = materialize(
+        stored.repartitionByRange(ranges, *[F.col(k).asc_nulls_first() for k in keys], *order)
+        .withColumn("_range", F.spark_partition_id()), "ranking_ranges")
+
+    part = [*keys, "_range"]
+    w_row = Window.partitionBy(*part).orderBy(*order)
+    w_dense = Window.partitionBy(*part).orderBy(order[0])
+    local = marked.select(
         "*",
         F.row_number().over(w_row).alias("_rn"),
         F.sum(value).over(w_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
     ).withColumn("_dr", F.dense_rank().over(w_dense))
 
-    stats = staged.groupBy(*part).agg(
+    v = F.col(value)
+    stats = marked.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.count_distinct(v).alias("_nd"),
-        F.max(F.when(v.isNull(), 1).otherwise(0)).alias("_has_null"),
+        (F.count_distinct(v) + F.max(F.when(v.isNull(), 1).otherwise(0))).alias("_nd"),
         F.sum(value).alias("_s"),
+        F.max(v).alias("_first"),
+        F.when(F.count(v) == F.count(F.lit(1)), F.min(v)).alias("_last"),
     )
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # a value that continues from the range before counts once
+    w_ranges = Window.partitionBy(*keys).orderBy("_range")
+    continues = F.when(F.lag("_n").over(w_ranges).isNotNull() & F.lag("_last").over(w_ranges).eqNullSafe(F.col("_first")), 1)
+    before = w_ranges.rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_joined", F.coalesce(continues, F.lit(0)))
     offsets = stats.select(
         *part,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum(F.col("_nd") + F.col("_has_null")).over(before), F.lit(0)).alias("_off_nd"),
+        (F.coalesce(F.sum(F.col("_nd") - F.col("_joined")).over(before), F.lit(0)) - F.col("_joined")).alias("_off_nd"),
         F.sum("_s").over(before).alias("_off_s"),
     )
     off_s, cum = F.col("_off_s"), F.col("_cum")
     running = F.when(off_s.isNull(), cum).when(cum.isNull(), off_s).otherwise(off_s + cum)
-    return (
-        local.join(offsets, on=part, how="inner")
-        .withColumns({
-            "pnl_rank": (F.col("_off_nd") + F.col("_dr")).cast("long"),
-            "pnl_row_num": (F.col("_off_n") + F.col("_rn")).cast("long"),
-            "cumulative_pnl": running,
-        })
-        .drop("_bucket", "_dr", "_rn", "_cum", "_off_n", "_off_nd", "_off_s")
+    return join_null_safe(local, offsets, part).select(
+        *perf.columns,
+        (F.col("_off_nd") + F.col("_dr")).cast("long").alias("pnl_rank"),
+        (F.col("_off_n") + F.col("_rn")).cast("long").alias("pnl_row_num"),
+        running.alias("cumulative_pnl"),
     )
 
 

@@ -20,10 +20,10 @@ from tradeflow.operators import (
     cumulative_tier_pnl,
     daily_tier_pivot,
     day_over_day,
-    forward_mid,
     moving_daily_pnl,
     pnl_by_tier_regime,
     pnl_pivot,
+    rank_accounts,
     regime_share,
     round_quantity,
     storage_precision,
@@ -37,9 +37,12 @@ from tradeflow.operators.quality import trade_expectations
 from tradeflow.operators.economics import (
     attach_account,
     costed_flow,
+    with_bar,
+    with_base_size,
     with_costs,
     with_fee_schedule,
     with_fill_price,
+    with_markout_pnl,
     with_spread,
 )
 
@@ -78,10 +81,9 @@ def q_trade_economics(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_round_quantity_bands(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    # costs only: the markout join (which Catalyst cannot drop) is not needed here
-    base = costed_flow(m.flow).withColumn("base_qty", F.col("quantity") / F.col("mid_price"))
+    base = with_markout_pnl(costed_flow(m.flow), m.bars).withColumn("base_qty", F.col("quantity") / F.col("mid_price"))
     df = base.select(
-        "trade_id", "mid_price", "fill_price", "notional", "fee_amount",
+        "trade_id", "mid_price", "fill_price", "notional", "fee_amount", "realized_pnl",
         round_half_up("base_qty", 8).alias("base_qty"),
         round_quantity("base_qty", "mid_price").alias("quantity_rounded"),
     )
@@ -93,7 +95,8 @@ def q_dimension_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return (
         attach_account(m.raw.select("trade_id", "account_id"), m.accounts)
         .transform(with_fee_schedule)
-        .select("trade_id", "account_id", "tier", "fee_bps")
+        .transform(with_base_size)
+        .select("trade_id", "account_id", "tier", "fee_bps", "base_size")
     )
 
 
@@ -104,10 +107,7 @@ def q_accounts_per_tier(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_mid_lookup(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    df = (
-        m.raw.select("trade_id", "symbol", "mid_price", F.date_trunc("minute", "ts").alias("ts_min"))
-        .join(m.bars, on=["symbol", "ts_min"], how="left")
-    )
+    df = with_bar(m.raw.select("trade_id", "symbol", "mid_price", "ts"), m.bars, "mid_min").drop("ts")
     return _ntz(_r(df, 8, "mid_min"), "ts_min")
 
 
@@ -135,12 +135,8 @@ def q_bar_regimes(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_forward_markout(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    fwd = forward_mid(m.bars).select("symbol", "ts_min", "fwd_mid")
-    df = (
-        m.trades.select("trade_id", "symbol", "side", "fill_price", "quantity", "realized_pnl",
-                        F.date_trunc("minute", "ts").alias("ts_min"))
-        .join(fwd, on=["symbol", "ts_min"], how="left")
-    )
+    df = with_markout_pnl(costed_flow(m.flow), m.bars).select(
+        "trade_id", "symbol", "side", "fill_price", "quantity", "realized_pnl", "ts_min", "fwd_mid")
     return _ntz(_r(_r(_r(df, 6, "fill_price"), 8, "fwd_mid"), 4, "realized_pnl"), "ts_min")
 
 
@@ -178,19 +174,22 @@ def q_tier_by_regime(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_top5_high_vol(spark: SparkSession, sf: str) -> DataFrame:
-    return _r(top_in_regime(TradeModel(spark, sf).gold_b, REGIME, 5), 2, "total_pnl")
+    # ranks are per (regime, symbol): the regime filter goes below them, and a top-5 needs no full ranking
+    perf = TradeModel(spark, sf).perf.filter(F.col("vol_regime") == REGIME)
+    ranked = top_n_per_group(perf, ["vol_regime", "symbol"], [F.col("total_pnl").desc_nulls_last()], 5)
+    return _r(top_in_regime(ranked, REGIME, 5), 2, "total_pnl")
 
 
 def q_day_over_day(spark: SparkSession, sf: str) -> DataFrame:
-    return day_over_day(TradeModel(spark, sf).silver, Q3_SYMBOLS, Q3_START, Q3_END)
+    return day_over_day(TradeModel(spark, sf, symbols=Q3_SYMBOLS).silver, Q3_SYMBOLS, Q3_START, Q3_END)
 
 
 def q_moving_daily_pnl(spark: SparkSession, sf: str) -> DataFrame:
-    return moving_daily_pnl(TradeModel(spark, sf).silver, Q4_SYMBOL, 7, Q4_ROWS)
+    return moving_daily_pnl(TradeModel(spark, sf, symbols=(Q4_SYMBOL,)).silver, Q4_SYMBOL, 7, Q4_ROWS)
 
 
 def q_tier_dominance(spark: SparkSession, sf: str) -> DataFrame:
-    return tier_dominance(TradeModel(spark, sf).gold_b, REGIME)
+    return tier_dominance(TradeModel(spark, sf).perf, REGIME)
 
 
 def q_top3_per_regime_symbol(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,8 +199,8 @@ def q_top3_per_regime_symbol(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_top10_one_symbol(spark: SparkSession, sf: str) -> DataFrame:
-    m = TradeModel(spark, sf)
-    df = top_accounts(m.gold_b, REGIME, TOP_SYMBOL, 10).select(
+    perf = TradeModel(spark, sf, symbols=(TOP_SYMBOL,)).perf.filter(F.col("vol_regime") == REGIME)
+    df = top_accounts(rank_accounts(perf), REGIME, TOP_SYMBOL, 10).select(
         "account_id", "tier", "vol_regime", "symbol", "n_trades", "total_pnl", "pnl_rank", "pnl_row_num")
     return _r(df, 2, "total_pnl")
 
@@ -233,7 +232,8 @@ def q_counts_by_day(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_null_safe_labels(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
-    return m.silver.groupBy("vol_regime", "trend_regime").agg(
+    labelled = with_bar(m.raw.select("symbol", "ts"), m.labelled_bars, "vol_20", "vol_regime", "trend_regime")
+    return labelled.groupBy("vol_regime", "trend_regime").agg(
         F.count(F.lit(1)).alias("n_trades"),
         F.count_if(F.col("vol_20").isNull()).alias("n_null_vol"),
         F.count_if(F.col("vol_regime") != "unknown").alias("n_in_vol_gold"),
@@ -244,7 +244,7 @@ def q_null_safe_labels(spark: SparkSession, sf: str) -> DataFrame:
 def q_expectation_report(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
     rules = trade_expectations()
-    checked = m.trades.select(*[F.coalesce(rule, F.lit(False)).alias(name) for name, rule in rules.items()])
+    checked = costed_flow(m.flow).select(*[F.coalesce(rule, F.lit(False)).alias(name) for name, rule in rules.items()])
     counts = checked.agg(*[F.count_if(~F.col(n)).alias(n) for n in rules])
     return counts.unpivot([], list(rules), "rule", "n_failed")
 

@@ -45,9 +45,7 @@ def start_bar_stream(spark: SparkSession, source: str, sink: str, checkpoint: st
     """
     trades = spark.readStream.schema(BRONZE_SCHEMA).parquet(source)
     if checkpoint is None:
-        root = shared_checkpoint_dir(trades)
-        if root is None:
-            raise RuntimeError("no checkpoint location given and spark.checkpoint.dir is not set")
+        root = shared_checkpoint_dir(trades.sparkSession)
         # stable across driver restarts (Python's hash() is salted per process)
         key = hashlib.sha1(f"{source}|{sink}".encode()).hexdigest()[:16]
         checkpoint = f"{root.rstrip('/')}/tradeflow-streams/bars-{key}"

@@ -8,8 +8,8 @@ labelled in ``foreachBatch``:
   (a top-k per symbol finds the start), read from the bar store;
 * features over those rows with the ordinary window operators, so every
   batch bar sees exactly the rows its frames need;
-* labels against a stored threshold table (refreshed by the batch job, since
-  terciles are defined over the whole history).
+* labels against a stored threshold table, read again for every batch (the
+  batch job refreshes it, since terciles are defined over the whole history).
 
 Each batch's own bars are written to ``batch=<id>`` (overwritten if the
 batch is retried), so the output equals the batch labels computed with the
@@ -19,6 +19,7 @@ same thresholds, exactly once.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -77,32 +78,39 @@ def label_batch(batch: DataFrame, store: DataFrame, thresholds: DataFrame, lookb
             floor = F.date_sub(F.lit(first).cast("date"), int(history_days))
             recent_rows, found = _window_rows(keys, store.filter(F.col("trade_date") >= floor), lookback)
             short = found.filter(F.col("_n") < lookback).select("symbol")
-            full_rows, _ = _window_rows(keys.join(short, "symbol", "left_semi"), store, lookback)
-            rows = recent_rows.join(short, "symbol", "left_anti").unionByName(full_rows)
+            if short.isEmpty():
+                rows = recent_rows
+            else:
+                full_rows, _ = _window_rows(keys.join(short, "symbol", "left_semi"), store, lookback)
+                rows = recent_rows.join(short, "symbol", "left_anti").unionByName(full_rows)
     marked = rows.join(keys.withColumn("_own", F.lit(True)), ["symbol", "ts_min"], "left") \
         .fillna(False, subset=["_own"])
     feats = rolling_features(marked, ["symbol"], "ts_min", fast, slow)
     return label_bars(feats.filter("_own").drop("_own"), thresholds)
 
 
-def start_label_stream(spark: SparkSession, bars_source: str, thresholds: DataFrame, sink: str,
+def start_label_stream(spark: SparkSession, bars_source: str,
+                       thresholds: DataFrame | Callable[[SparkSession], DataFrame], sink: str,
                        checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                        lookback: int = 60, history_days: int | None = 2) -> StreamingQuery:
-    """Stream bars stored under ``bars_source`` -> labelled bars appended under ``sink``."""
+    """Stream bars stored under ``bars_source`` -> labelled bars appended under ``sink``.
+
+    ``thresholds`` is a table, or a function that reads the batch job's latest
+    one; the function is asked again for every batch.
+    """
     stream = spark.readStream.schema(BAR_LAYER_SCHEMA)
     if max_files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
     bars = stream.parquet(bars_source)
     if checkpoint is None:
-        root = shared_checkpoint_dir(bars)
-        if root is None:
-            raise RuntimeError("no checkpoint location given and spark.checkpoint.dir is not set")
+        root = shared_checkpoint_dir(spark)
         key = hashlib.sha1(f"{bars_source}|{sink}".encode()).hexdigest()[:16]
         checkpoint = f"{root.rstrip('/')}/tradeflow-streams/labels-{key}"
 
     def process(batch: DataFrame, batch_id: int) -> None:
         store = batch.sparkSession.read.schema(BAR_LAYER_SCHEMA).parquet(bars_source)
-        out = label_batch(batch, store, thresholds, lookback, history_days=history_days)
+        current = thresholds(batch.sparkSession) if callable(thresholds) else thresholds
+        out = label_batch(batch, store, current, lookback, history_days=history_days)
         # one folder per batch, overwritten on a retry: idempotent output
         out.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
 
