@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType
 
 from tradeflow.plans import explain_text, partition_filters, plan_has
 from tradeflow.model import TradeModel
+from tradeflow.operators import account_performance, attach_labels, rank_accounts, storage_precision
 from tradeflow.plans.job import Layout, run_job
 from tradeflow.queries import QUERIES
 from tradeflow.schema import BRONZE_SCHEMA, SILVER_SCHEMA, TRADE_COLUMNS
@@ -65,7 +66,10 @@ def test_job_layers_match_the_plans(spark, scratch_dir):
     stored = spark.read.parquet(layout.gold_ranking).select(
         "account_id", "vol_regime", "symbol", "pnl_rank", "pnl_row_num",
         F.round("total_pnl", 6).alias("p"))
-    fresh = TradeModel(spark, SF0001).gold_b.select(
+    # the stored trades carry their storage precision
+    model = TradeModel(spark, SF0001)
+    trades = attach_labels(storage_precision(model.trades), model.labelled_bars)
+    fresh = rank_accounts(account_performance(trades)).select(
         "account_id", "vol_regime", "symbol", "pnl_rank", "pnl_row_num", F.round("total_pnl", 6).alias("p"))
     assert stored.exceptAll(fresh).count() == 0 and fresh.exceptAll(stored).count() == 0
     # Hive layout and inventory
@@ -152,7 +156,8 @@ def test_csv_and_events_ingest_build_the_same_layers(spark, scratch_dir):
     from tradeflow.schema import TRADE_COLUMNS
     from tradeflow.sources.fixtures import trades_from_events
 
-    trades = trades_from_events(spark.read.parquet(f"{SF0001}/events.parquet"))
+    # landing files carry the storage precision
+    trades = storage_precision(trades_from_events(spark.read.parquet(f"{SF0001}/events.parquet")))
     csv_dir = os.path.join(scratch_dir, "landing")
     (trades.withColumn("trade_date", F.date_format("trade_date", "yyyy-MM-dd"))
      .withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
@@ -204,3 +209,41 @@ def test_job_with_late_csv_upserts_and_rebuilds(spark, scratch_dir):
     assert silver.filter(F.col("trade_id") == "T1000003").first().net_pnl == 777.0
     assert spark.read.parquet(layout.gold_ranking).agg(F.sum("n_trades")).first()[0] == \
         silver.filter(F.col("vol_regime") != "unknown").count()
+
+
+def _csv(folder, name, *rows):
+    path = os.path.join(folder, name)
+    with open(path, "w") as f:
+        f.write("\n".join([HEADER, *rows]) + "\n")
+    return path
+
+
+def test_dates_that_are_no_dates_are_quarantined(spark, scratch_dir):
+    def dated(trade_id, day):
+        return GOOD.rpartition(",")[0].replace("T1000000", trade_id) + f",{day}"
+
+    path = _csv(scratch_dir, "raw.csv", GOOD, dated("T1", "2024-13-99"), dated("T2", ""), dated("T3", "2023-05-05"))
+    root = os.path.join(scratch_dir, "wh")
+    report = run_job(spark, root, csv=path)
+    layout = Layout(root)
+    assert report.counts == {"ingested": 1, "quarantined": 2, "failed_date_is_day_of_time": 1}
+    assert {r.trade_id for r in spark.read.parquet(layout.quarantine).collect()} == {"T1", "T2"}
+    assert [(r.trade_id, r.failed_rules) for r in spark.read.parquet(layout.quarantine_expectations).collect()] == [
+        ("T3", ["date_is_day_of_time"])]
+
+
+def test_late_rows_are_checked_and_win_deterministically(spark, scratch_dir):
+    root = os.path.join(scratch_dir, "wh")
+    run_job(spark, root, csv=_csv(scratch_dir, "raw.csv", GOOD, GOOD2))
+    layout = Layout(root)
+    # the only trade of 2024-01-02 moves to 2024-01-03, in two late rows; a third late row fails a rule
+    moved = GOOD2.replace("2024-01-02", "2024-01-03")
+    later = moved.replace("00:01:07", "00:09:00")
+    wrong = GOOD.replace("T1000000", "T7").replace("BUY", "WRONG")
+    for rows in ((moved, later, wrong), (later, moved, wrong)):
+        report = run_job(spark, root, late_csv=_csv(scratch_dir, f"late{len(os.listdir(scratch_dir))}.csv", *rows))
+        assert report.counts["late"] == 2 and report.counts["late_quarantined"] == 1
+        got = {(r.trade_id, str(r.trade_date), str(r.ts)) for r in read_layer(spark, layout.bronze, BRONZE_SCHEMA).collect()}
+        assert got == {("T1000000", "2024-01-01", "2024-01-01 00:00:07"), ("T1000001", "2024-01-03", "2024-01-03 00:09:00")}
+    assert not os.path.exists(os.path.join(layout.bronze, "trade_date=2024-01-02"))
+    assert {r.trade_id for r in spark.read.parquet(layout.quarantine_expectations).collect()} == {"T7"}

@@ -17,7 +17,6 @@ import sys
 import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +29,15 @@ from tradeflow.operators import (
     rank_accounts,
     vol_thresholds,
 )
-from tradeflow.operators.quality import expectation_split
+from tradeflow.operators.economics import storage_precision
+from tradeflow.operators.quality import with_failed_rules
 from tradeflow.operators.rollups import gold_from_rollups, gold_rollups
-from tradeflow.plans.lineage import materialize, materialize_counted
+from tradeflow.plans.lineage import materialize
 from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
+from tradeflow.sinks.files import remove_partitions
 from tradeflow.sources import read_layer, read_trades_csv
+from tradeflow.sources.files import CORRUPT_COL
 from tradeflow.sources.fixtures import trades_raw_from_events
 
 
@@ -62,6 +64,11 @@ class Layout:
         """Typed rows that failed an expectation (``failed_rules`` kept)."""
         return self._p("warehouse", "quarantine_trades", "expectations")
 
+    @property
+    def staging(self) -> str:
+        """Intermediate results of a run, shared like every layer."""
+        return self._p("staging")
+
     @property
     def bars(self) -> str:
         return self._p("warehouse", "minute_bars")
@@ -98,30 +105,19 @@ def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: s
                   events_dir: str | None = None) -> None:
     """Raw trades -> bronze (partitioned by trade_date, time-ordered files).
 
-    CSV input is typed with the declared schema; rows that do not parse go to
-    the parse quarantine, typed rows failing an expectation (N2) to the
-    expectation quarantine, the rest to bronze.  The parsed rows are persisted
-    (disk, lineage kept) for the three writes, so the text is parsed once;
-    row counts are observed during the writes.
+    CSV input is typed with the declared schema; rows that do not parse (dates
+    included) go to the parse quarantine, typed rows failing an expectation
+    (N2) to the expectation quarantine, the rest to bronze.  The text is parsed
+    once, into a staging table under the job's root with one folder per route;
+    the layers are written from it.
     """
     if csv is not None:
-        ingest = read_trades_csv(spark, csv)
-        ingest.parsed.persist(StorageLevel.DISK_ONLY)
-        try:
-            typed = ingest.good.withColumn("trade_date", F.to_date("trade_date"))
-            passed, failed, checks = expectation_split(typed)
-            write_layer(passed, layout.bronze, ["trade_date"], sort_by=["ts"])
-            failed.write.mode("overwrite").parquet(layout.quarantine_expectations)
-            ingest.bad.write.mode("overwrite").parquet(layout.quarantine)
-        finally:
-            ingest.parsed.unpersist()
-        seen = checks.get
-        report.counts.update({
-            "ingested": int(seen["n_rows"]) - int(seen["n_failed"]),
-            "quarantined": ingest.counts()["bad"],
-        })
-        report.counts.update({f"failed_{k}": int(v) for k, v in seen.items()
-                              if k not in ("n_rows", "n_failed") and v})
+        staged = stage_trades(spark, layout, csv)
+        write_layer(staged["good"], layout.bronze, ["trade_date"], sort_by=["ts"])
+        staged["failed"].write.mode("overwrite").parquet(layout.quarantine_expectations)
+        staged["bad"].write.mode("overwrite").parquet(layout.quarantine)
+        report.counts.update({"ingested": staged["n"].get("good", 0), "quarantined": staged["n"].get("bad", 0)})
+        report.counts.update({f"failed_{k}": v for k, v in staged["failures"].items()})
     elif events_dir is not None:
         # Pricing needs the minute bars (markout), so they are built here, once,
         # and stored as the bars layer; bronze is priced against the stored copy.
@@ -129,34 +125,57 @@ def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: s
         flow = trades_raw_from_events(events, with_tier=True)
         write_bars(minute_bars(flow), layout)
         bars = read_layer(spark, layout.bars, BAR_LAYER_SCHEMA).drop("trade_date")
-        write_layer(priced_trades(flow, None, bars=bars), layout.bronze, ["trade_date"], sort_by=["ts"])
+        # stored prices carry their storage precision
+        write_layer(storage_precision(priced_trades(flow, None, bars=bars)), layout.bronze, ["trade_date"], sort_by=["ts"])
         report.bars_stored_by_ingest = True
     else:
         raise ValueError("give csv or events_dir")
 
 
+def stage_trades(spark: SparkSession, layout: Layout, csv: str) -> dict:
+    """Parse a trades CSV once: routes ``good``, ``failed`` (an expectation) and ``bad`` (no parse), and counts."""
+    parsed = read_trades_csv(spark, csv).parsed.withColumn("trade_date", F.col("trade_date").try_cast("date"))
+    checked = with_failed_rules(parsed)
+    route = F.when(F.col("_bad"), "bad").when(F.col("failed_rules").isNotNull(), "failed").otherwise("good")
+    stored = materialize(checked.withColumn("_route", route), "trades", layout.staging)
+    routes = {name: stored.filter(F.col("_route") == name).drop("_route", "_bad") for name in ("good", "failed", "bad")}
+    counts = {r["_route"]: r["n"] for r in stored.groupBy("_route").agg(F.count(F.lit(1)).alias("n")).collect()}
+    failures = routes["failed"].select(F.explode("failed_rules").alias("rule")).groupBy("rule").count().collect()
+    return {
+        "good": routes["good"].drop("failed_rules", CORRUPT_COL),
+        "failed": routes["failed"].drop(CORRUPT_COL),
+        "bad": routes["bad"].drop("failed_rules"),
+        "n": counts,
+        "failures": {r["rule"]: r["count"] for r in failures},
+    }
+
+
 def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame) -> None:
     """Late or corrected trades into bronze, rewriting only the days they touch.
 
     Touched days are the late rows' days plus the days currently holding any
     of their trade ids (a corrected timestamp can move a trade to another
-    day).  Per trade id the late row wins (a window over at most two rows per
-    id, so no hot group); the result is staged in the shared checkpoint folder
-    and written with dynamic partition overwrite, leaving every other day's
-    files as they are.  Downstream layers are rebuilt from bronze as usual.
+    day).  Per trade id one row stays: a late row before a stored one, the
+    latest time first, then the greatest row, so repeated late rows of one id
+    give the same winner on every run.  The result is staged under the job's
+    root and written with dynamic partition overwrite; touched days that end
+    up empty are removed, every other day's files stay as they are.  Downstream
+    layers are rebuilt from bronze as usual.
     """
-    bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)
-    late = late.select(*BRONZE_SCHEMA.fieldNames())
-    moved_from = bronze.join(late.select("trade_id"), "trade_id", "left_semi").select("trade_date")
-    touched = late.select("trade_date").unionByName(moved_from).distinct()
+    columns = BRONZE_SCHEMA.fieldNames()
+    bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA).select(*columns)
+    late = materialize(late.select(*columns), "late", layout.staging)
+    moved_from = bronze.join(late.select("trade_id").distinct(), "trade_id", "left_semi").select("trade_date")
+    touched = materialize(late.select("trade_date").unionByName(moved_from).distinct(), "touched", layout.staging)
     current = bronze.join(touched, "trade_date", "left_semi").withColumn("_late", F.lit(0))
     merged = current.unionByName(late.withColumn("_late", F.lit(1)))
-    w = Window.partitionBy("trade_id").orderBy(F.col("_late").desc())
+    w = Window.partitionBy("trade_id").orderBy(
+        F.col("_late").desc(), F.col("ts").desc(), F.struct(*[c for c in columns if c != "ts"]).desc())
     latest = merged.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_late")
-    staged = materialize(latest, "bronze_upsert")
-    if staged is latest:
-        raise RuntimeError("upsert needs spark.checkpoint.dir to stage the rewritten days")
+    staged = materialize(latest, "bronze_upsert", layout.staging)
+    emptied = touched.join(staged.select("trade_date").distinct(), "trade_date", "left_anti").collect()
     write_layer(staged, layout.bronze, ["trade_date"], sort_by=["ts"], dynamic=True)
+    remove_partitions(spark, layout.bronze, [f"trade_date={r['trade_date']}" for r in emptied])
 
 
 def write_bars(bars: DataFrame, layout: Layout) -> None:
@@ -177,7 +196,7 @@ def build_bars(spark: SparkSession, layout: Layout, report: JobReport | None = N
 def build_features(spark: SparkSession, layout: Layout) -> None:
     """Minute bars -> rolling features, stored once (read by thresholds and labels)."""
     bars = read_layer(spark, layout.bars, BAR_LAYER_SCHEMA).drop("trade_date")
-    feats = bar_features(bars, rows_bound=bars.count()).withColumn("trade_date", F.to_date("ts_min"))
+    feats = bar_features(bars).withColumn("trade_date", F.to_date("ts_min"))
     write_layer(feats, layout.features, ["trade_date"], sort_by=["symbol", "ts_min"])
 
 
@@ -192,13 +211,12 @@ def build_silver(spark: SparkSession, layout: Layout) -> None:
 def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Silver -> the three gold tables from one GROUPING SETS pass over silver.
 
-    The aggregated result (small) is stored once in the checkpoint folder; the
+    The aggregated result (small) is stored once under the job's own root; the
     three tables and the leaderboard's input are cut from it.
     """
     silver = read_layer(spark, layout.silver, SILVER_SCHEMA)
-    rollups, n_groups = materialize_counted(gold_rollups(silver), "gold_rollups")
-    gold = gold_from_rollups(rollups)
-    gold_b = rank_accounts(gold["perf"], rows_bound=n_groups)
+    gold = gold_from_rollups(materialize(gold_rollups(silver), "gold_rollups", layout.staging))
+    gold_b = rank_accounts(gold["perf"])
     write_layer(gold["gold_a"], layout.gold_regime, ["vol_regime"])
     write_layer(gold_b, layout.gold_ranking, ["vol_regime", "symbol"])
     write_layer(gold["gold_c"], layout.gold_daily, ["trade_date"])
@@ -207,15 +225,14 @@ def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def upsert_late_csv(spark: SparkSession, layout: Layout, report: JobReport, late_csv: str) -> None:
-    """Typed read of a late-trades CSV (bad rows quarantined) and upsert into bronze."""
-    ingest = read_trades_csv(spark, late_csv)
-    ingest.parsed.persist(StorageLevel.DISK_ONLY)  # two writes, one parse
-    try:
-        upsert_bronze(spark, layout, ingest.good.withColumn("trade_date", F.to_date("trade_date")))
-        ingest.bad.write.mode("append").parquet(layout.quarantine)
-    finally:
-        ingest.parsed.unpersist()
-    report.counts.update({"late": ingest.counts()["good"], "late_quarantined": ingest.counts()["bad"]})
+    """Late trades from a CSV through the same checks as the ingest, then an upsert into bronze."""
+    staged = stage_trades(spark, layout, late_csv)
+    upsert_bronze(spark, layout, staged["good"])
+    staged["failed"].write.mode("append").parquet(layout.quarantine_expectations)
+    staged["bad"].write.mode("append").parquet(layout.quarantine)
+    n = staged["n"]
+    report.counts.update({"late": n.get("good", 0), "late_quarantined": n.get("bad", 0) + n.get("failed", 0)})
+    report.counts.update({f"failed_{k}": v for k, v in staged["failures"].items()})
 
 
 def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir: str | None = None,

@@ -71,3 +71,11 @@ def partition_inventory(spark: SparkSession, path: str, keys: Sequence[str]) ->
         .groupBy(*keys)
         .agg(F.count_distinct("_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
     )
+
+
+def remove_partitions(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
+    """Delete the named partition folders (``key=value``) of a stored layer, on whatever store holds it."""
+    jvm = spark.sparkContext._jvm
+    for name in partitions:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

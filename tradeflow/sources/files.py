@@ -22,8 +22,8 @@ class IngestReport:
 
     The counts come from ``DataFrame.observe`` and are only filled in once an
     action (normally the bronze write) has run, so ingest needs no extra scan.
-    ``good`` and ``bad`` both derive from ``parsed``: persist it around their
-    two writes and the input is parsed once.
+    ``good`` and ``bad`` both derive from ``parsed``: the job stores it once
+    and splits the stored rows, so the input is parsed once.
     """
 
     parsed: DataFrame
@@ -53,7 +53,9 @@ def read_trades_csv(spark: SparkSession, path: str, schema: StructType = TRADE_S
         .schema(read_schema)
         .csv(path)
     )
-    missing = F.lit(False)
+    # a date is typed without failing: text that is no date becomes NULL, and the row is bad
+    day = F.col("trade_date").try_cast("date") if "trade_date" in schema.fieldNames() else None
+    missing = F.lit(False) if day is None else day.isNull()
     for name in REQUIRED_TRADE_COLUMNS:
         if name in schema.fieldNames():
             missing = missing | F.col(name).isNull()
