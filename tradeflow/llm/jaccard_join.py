@@ -4,13 +4,18 @@ Documents are sets of distinct word shingles; 1 - Jaccard is a metric.  Two
 texts link when ``100 * |intersection| >= percent * |union|``, that is within
 the radius ``t = 1 - percent / 100``.
 
-1. Equal sets collapse into one *class* (partial aggregation: thousands of
-   copies cost one row a task).
+1. Equal sets collapse into one *class*, named by 64 bits of its set's hash
+   (thousands of copies cost one row a task).
 2. Sets that share nothing are all at distance 1, where the triangle
-   inequality tells nothing apart.  So every class first names its *anchors*:
-   the first ``n - ceil(percent n / 100) + 1`` shingles in one global order
-   (common shingles last).  Linked sets share an anchor, whatever the order is.
-   The smallest class at an anchor is the anchor's *pivot*.
+   inequality tells nothing apart, so loners go first: of a class's shingles
+   with hashes in a fixed share ``SAMPLE`` of all values, those that no other
+   class holds are counted (one partial aggregation by shingle).  A linked set
+   lacks fewer than ``n - ceil(percent n / 100) + 1`` shingles of its partner,
+   so a class with that many of its own links with nothing.  The rest give
+   their whole sets, and the same count over all their shingles lets more go.
+   The rest name their *anchors*: that many first shingles in one order, the
+   commonest last.  Linked sets share an anchor, whatever the order is.  The
+   smallest class at an anchor is its *pivot*.
 3. Voronoi regions: every class is measured exactly against the pivots of its
    anchors, so each pivot has the region of the classes that can touch its
    anchors.  Classes within ``t`` of a pivot link to it: one row a class, not
@@ -18,21 +23,22 @@ the radius ``t = 1 - percent / 100``.
 4. Regions whose members are all connected are done.  The others are joined
    inside: members are cut into rings of width ``t`` around the pivot.  By the
    triangle inequality linked sets lie in the same or neighbouring rings, so a
-   member is replicated to its ring and the next one only.  A ring with more
-   than ``BLOCK`` members is cut again, by hashed blocks that meet pairwise;
-   tasks hold two blocks at most and report a spanning forest of their links.
-   Pairs already connected, outside the window, or of too different sizes are
-   not compared.
+   member is replicated to its ring and the next one only.  A crowded pair of
+   rings is cut again into hashed blocks of ``BLOCK`` members: those of its
+   largest component meet the blocks of the others only, which also meet each
+   other.  Tasks hold two blocks at most and report a spanning forest of their
+   links.  Pairs already connected or outside the window are not compared.
 5. Connected components of all links (``graph.components``).
 
-The order in step 2 puts the commonest shingles last (``COMMON_MOST`` at most,
-counted over all documents); it steers cost and cannot change the result.
+The order of step 2 knows the ``COMMON_MOST`` commonest shingles (counted over
+all remaining classes, 16 bytes each, broadcast) and takes the others by hash;
+it steers cost and cannot change the result.
 
 Defined cases: null or empty text has the empty set and links with nothing;
 fewer than ``words`` words form one shingle; repeated rows and equal texts are
-one class, each row is returned; other columns are not read.  Set elements
-are 63-bit hashes: a chance collision of two shingles of one compared pair is
-below 1e-12.
+one class, each row is returned; other columns are not read.  Shingles and
+classes are 64-bit hashes: a chance collision inside one compared pair is below
+1e-12, one between classes is expected once at five billion different texts.
 """
 
 from __future__ import annotations
@@ -41,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import textscan
@@ -50,62 +56,77 @@ from tradeflow.llm.graph import components
 
 WORDS, PERCENT = 5, 80
 BLOCK = 128
-#: shingles found in this many sets or more may be ordered last; at most COMMON_MOST (8 bytes each) are broadcast
-COMMON_LEAST, COMMON_MOST = 32, 200_000
-_TOP = np.uint64(1 << 63)
+#: share of the hash values whose shingles are counted in step 2
+SAMPLE = 0.3
+#: shingles of this many classes or more are ordered last; at most COMMON_MOST of them are broadcast
+COMMON_LEAST, COMMON_MOST = 8, 200_000
 
 
-def _sets(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
-    for found in textscan.shingle_sets(batch["text"], words):
-        yield np.unique(found >> np.uint64(1))
+def _identity(found: np.ndarray) -> int:
+    """64 bits that equal sets share."""
+    return int(textscan.mix(np.add.reduce(textscan.mix(found, 1), keepdims=True)).view(np.int64)[0]) if len(found) else 0
 
 
-def repeated_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Shingles that several sets of a slice hold, with how many."""
-    for batch in batches:
-        for part in textscan.slices(batch):
-            keys, n = np.unique(np.concatenate(list(_sets(part, words))), return_counts=True)
-            keep = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(n[keep])], names=["key", "n"])
-
-
-def _ordered(found: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The set in the global order, as signed longs whose order is that order."""
-    if len(common) and len(found):
-        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
-        found = np.sort(np.where(common[at] == found, found | _TOP, found))
-    return (found ^ _TOP).view(np.int64)
+def allowance(n: int | Column, percent: int):
+    """Shingles of a set of ``n`` that a linked set can lack, plus one."""
+    return n - ((percent * n + 99) / 100).cast("long") + 1 if isinstance(n, Column) else n - -(-percent * n // 100) + 1
 
 
-def _identity(found: np.ndarray) -> tuple[int, int]:
-    """128 bits that equal sets share."""
-    return (int(np.add.reduce(textscan.mix(found, 1)).astype(np.int64)),
-            int(np.add.reduce(textscan.mix(found, 2)).astype(np.int64)))
+def sketch_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Class and set size of each text."""
+    for batch in batches:
+        for part in textscan.slices(batch):
+            rows = [(_identity(found), len(found)) for found in textscan.shingle_sets(part["text"], words)]
+            node, n = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(node, pa.int64()), pa.array(n, pa.int64())],
+                                             names=["doc_id", "node", "n"])
 
 
-def sketch_batches(batches: Iterator[pa.RecordBatch], words: int, percent: int, common) -> Iterator[pa.RecordBatch]:
-    """Set size, identity and anchors of each text."""
+def sample_batches(batches: Iterator[pa.RecordBatch], words: int, share: float) -> Iterator[pa.RecordBatch]:
+    """(shingle, class) for shingles with small hashes; a batch gives each class once."""
+    most = np.uint64(int(share * 2**64))
     for batch in batches:
+        seen = set()
         for part in textscan.slices(batch):
-            rows = []
-            for found in _sets(part, words):
-                n = len(found)
-                anchors = n - -(-percent * n // 100) + 1 if n else 0
-                rows.append((n, *_identity(found), _ordered(found, common.value)[:anchors]))
-            n, a, b, anchors = zip(*rows, strict=True)
+            keys, nodes = [], []
+            for found in textscan.shingle_sets(part["text"], words):
+                node = _identity(found)
+                if len(found) and node not in seen:
+                    seen.add(node)
+                    keys.append(found[:np.searchsorted(found, most)])
+                    nodes.append(node)
+            sizes = [len(k) for k in keys]
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], part["uid"], pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                 _lists(anchors)], names=["doc_id", "uid", "n", "id1", "id2", "anchors"])
+                [pa.array(np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)),
+                 pa.array(np.repeat(np.array(nodes, np.int64), sizes))], names=["key", "node"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Class and whole set (in hash order) of each text."""
     for batch in batches:
         for part in textscan.slices(batch):
-            found = list(_sets(part, words))
-            a, b = zip(*map(_identity, found), strict=True)
+            found = list(textscan.shingle_sets(part["text"], words))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), _lists([x.view(np.int64) for x in found])],
-                names=["id1", "id2", "keys"])
+                [pa.array([_identity(x) for x in found], pa.int64()), _lists([x.view(np.int64) for x in found])],
+                names=["node", "keys"])
+
+
+def anchor_batches(batches: Iterator[pa.RecordBatch], percent: int, common) -> Iterator[pa.RecordBatch]:
+    """(class, anchor): each set's first shingles, the commonest last."""
+    known, times = common.value
+    for batch in batches:
+        nodes, anchors = [], []
+        for node, keys in zip(batch["node"].to_pylist(), batch["keys"], strict=True):
+            found = keys.values.to_numpy()
+            rank = np.zeros(len(found), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                rank = np.where(known[at] == found, times[at], 0)
+            first = found[np.lexsort((found, rank))[:allowance(len(found), percent)]]
+            nodes.append(np.full(len(first), node))
+            anchors.append(first)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*nodes, np.zeros(0, np.int64)])),
+                                          pa.array(np.concatenate([*anchors, np.zeros(0, np.int64)]))], names=["node", "anchor"])
 
 
 def _lists(parts) -> pa.Array:
@@ -116,11 +137,12 @@ def _lists(parts) -> pa.Array:
 def join_block(table: pa.Table, percent: int) -> pa.Table:
     """Links inside one cell (two rings or two blocks of one region), as a spanning forest.
 
-    Rows: node, component so far, ring, distance to the pivot, block, the
-    cell's two blocks, keys.
+    Rows: node, component so far (label), distance to the pivot, block (part),
+    whether of the largest component (major), keys.
     """
     order = np.argsort(table["node"].to_numpy(), kind="stable")
     node, label, dist, part = (table[c].to_numpy()[order] for c in ("node", "label", "dist", "part"))
+    major = table["major"].to_numpy()[order]
     lists = table["keys"].combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
     start, stop = ends[order] - ends[0], ends[order + 1] - ends[0]
@@ -138,9 +160,9 @@ def join_block(table: pa.Table, percent: int) -> pa.Table:
     keys, owner = flat_all[by_key], owner[by_key]
     radius = (100 - percent) / 100 + 1e-9
     left, right = [], []
-    two = len(np.unique(part)) > 1
-    names, times = np.unique(label, return_counts=True)
-    for i in np.flatnonzero(label != names[times.argmax()]).tolist():  # one of any pair
+    # two blocks of others, or others (one of any pair) against the largest component
+    two = not major.any() and len(np.unique(part)) > 1
+    for i in np.flatnonzero(~major).tolist():
         own = flat[start[i]:stop[i]]
         lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
         n = hi - lo
@@ -159,35 +181,38 @@ def join_block(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
+def _sociable(sets: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``sets`` that hold few enough shingles alone; ``held`` has (key, node) for the shingles to count."""
+    own = held.groupBy("key").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter(
+        "node = last").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return sets.join(own, "node", "left").filter(F.coalesce("own", F.lit(0)) < allowance(F.col("n"), percent))
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = source.select("text").mapInArrow(arrow_task(repeated_batches, words=words), "key long, n long")
-    common = (counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_LEAST)
-              .orderBy(F.col("n").desc(), "key").limit(COMMON_MOST).select("key").toArrow())
-    common = spark.sparkContext.broadcast(np.sort(common["key"].to_numpy().view(np.uint64)))
-    sketch = stage(source.withColumn("uid", F.monotonically_increasing_id()).select("doc_id", "uid", "text").mapInArrow(
-        arrow_task(sketch_batches, words=words, percent=percent, common=common),
-        "doc_id long, uid long, n long, id1 long, id2 long, anchors array<long>"), "sketch")
-
-    # 1: classes of equal sets; a class is named by its smallest row
-    classes = stage(sketch.filter("n > 0").groupBy("id1", "id2", "n").agg(
-        F.min("uid").alias("node"), F.min("doc_id").alias("first_doc"), F.min_by("anchors", "uid").alias("anchors")), "classes")
-
-    # 2: anchors that several classes share, and their pivots (one exchange by anchor serves both sides)
-    posts = classes.select("node", F.explode("anchors").alias("anchor")).repartition("anchor")
-    shared = posts.groupBy("anchor").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("last > pivot")
-    regions = stage(posts.join(shared.select("anchor", "pivot"), "anchor").select("pivot", "node").distinct(), "regions")
+    sketch = stage(source.mapInArrow(arrow_task(sketch_batches, words=words), "doc_id long, node long, n long"), "sketch")
+
+    # 1: classes of equal sets
+    classes = stage(sketch.filter("n > 0").groupBy("node").agg(
+        F.max("n").alias("n"), F.min("doc_id").alias("first_doc")), "classes")
 
-    # whole sets of the classes in any region
-    wanted = classes.drop("anchors").join(regions.select("node").distinct(), "node")
-    firsts = wanted.select(F.col("first_doc")).distinct()
+    # 2: classes without too many shingles of their own, with their whole sets
+    sample = source.select("text").mapInArrow(arrow_task(sample_batches, words=words, share=SAMPLE), "key long, node long")
+    wanted = stage(_sociable(classes, sample, percent).select("node", "n", "first_doc"), "candidates")
+    firsts = wanted.select("first_doc").distinct()
     keys = stage(
         source.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_doc")), "left_semi").select("text")
-        .mapInArrow(arrow_task(set_batches, words=words), "id1 long, id2 long, keys array<long>")
-        .join(wanted.select("id1", "id2", "node", "n"), ["id1", "id2"])
-        .dropDuplicates(["node"]).select("node", "n", "keys"), "sets")
+        .mapInArrow(arrow_task(set_batches, words=words), "node long, keys array<long>")
+        .join(wanted.select("node", "n"), "node").dropDuplicates(["node"]).select("node", "n", "keys"), "sets")
+    held = keys.select(F.explode("keys").alias("key"), "node")
+    common = (held.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= COMMON_LEAST)
+              .orderBy(F.col("times").desc(), "key").limit(COMMON_MOST).toArrow().sort_by("key"))
+    common = docs.sparkSession.sparkContext.broadcast((common["key"].to_numpy(), common["times"].to_numpy()))
+    keys = stage(_sociable(keys, held, percent).select("node", "n", "keys"), "kept")
+    posts = keys.select("node", "keys").mapInArrow(arrow_task(anchor_batches, percent=percent, common=common), "node long, anchor long")
+    shared = posts.groupBy("anchor").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("last > pivot")
+    regions = stage(posts.join(shared.select("anchor", "pivot"), "anchor").select("pivot", "node").distinct(), "regions")
 
     # 3: distances to the pivots; a crowded pivot's set is dealt to several tasks
     crowd = regions.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"))
@@ -213,24 +238,35 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     radius = (100 - percent) / 100
     rings = (place.join(several.select("pivot"), "pivot", "left_semi")
              .withColumn("ring", F.floor(F.col("dist") / F.lit(radius) + F.lit(1e-9)).cast("int")))
-    # a cell holds two neighbouring rings; if it is crowded, two of its blocks
-    cells = rings.withColumn("cell", F.explode(F.array(F.col("ring"), F.col("ring") + 1)))
-    counts = cells.groupBy("pivot", "cell").agg(
-        F.count(F.lit(1)).alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    counts = counts.filter("lo < hi").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-    cells = (cells.drop("members").join(counts.select("pivot", "cell", "blocks"), ["pivot", "cell"])
-             .withColumn("part", F.pmod(F.xxhash64("node", "cell"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("pivot", "cell", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
-                     "node", "label", "dist", "part"))
-    inside = cells.join(keys.select("node", "keys"), "node").groupBy("pivot", "cell", "lo", "hi").applyInArrow(
+    # a cell holds two neighbouring rings; its largest component (major) meets the others (minor), and they each other
+    cells = rings.select("pivot", "node", "label", "dist", F.explode(F.array(F.col("ring"), F.col("ring") + 1)).alias("cell"))
+    sizes = cells.groupBy("pivot", "cell", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("pivot", "cell").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+    sizes = sizes.filter(F.col("n") > F.col("top.n")).select(
+        "pivot", "cell", F.col("top.label").alias("top"), F.ceil(F.col("top.n") / block).cast("int").alias("majors"),
+        F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("minors"))
+    cells = cells.join(sizes, ["pivot", "cell"]).withColumn("major", F.col("label") == F.col("top"))
+    cells = cells.withColumn("part", F.pmod(
+        F.xxhash64("node", "cell"), F.when(F.col("major"), F.col("majors")).otherwise(F.col("minors"))).cast("int"))
+
+    def meetings(others):
+        return F.transform(F.sequence(F.lit(0), others - 1), lambda other: F.struct(
+            F.lit(True).alias("mixed"), F.when(F.col("major"), F.col("part")).otherwise(other).alias("lo"),
+            F.when(F.col("major"), other).otherwise(F.col("part")).alias("hi")))
+
+    among = F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda other: F.struct(
+        F.lit(False).alias("mixed"), F.least("part", other).alias("lo"), F.greatest("part", other).alias("hi")))
+    meets = F.when(F.col("major"), meetings(F.col("minors"))).otherwise(F.concat(meetings(F.col("majors")), among))
+    cells = cells.withColumn("meet", F.explode(meets)).select(
+        "pivot", "cell", "meet.*", "node", "label", "dist", "major", "part")
+    inside = cells.join(keys.select("node", "keys"), "node").groupBy("pivot", "cell", "mixed", "lo", "hi").applyInArrow(
         group_task(join_block, percent=percent), "a long, b long")
     more = stage(inside, "links")
 
     # 5: one component for all links
     whole = stage(components(links.unionByName(more)), "whole")
-    named = classes.drop("anchors").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = classes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    known = named.join(first, "component").select("id1", "id2", "n", "component_id")
-    return sketch.drop("anchors").join(known, ["id1", "id2", "n"], "left").select(
+    known = named.join(first, "component").select("node", "component_id")
+    return sketch.join(known, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
