@@ -321,6 +321,37 @@ def test_embedding_dedup(spark):
     assert empty.count() == 0
 
 
+def brute_links(x: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Links of each vector, and the smallest member of its component."""
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    label = np.arange(len(x))
+    while True:
+        new = np.minimum(label, np.where(linked, label[None, :], len(x)).min(axis=1))
+        if (new == label).all():
+            return linked.sum(1), label.tolist()
+        label = new
+
+
+def embeddings(spark, x: np.ndarray):
+    return spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def test_embedding_dedup_joins_tight_subgroups(spark):
+    rng = np.random.default_rng(4)
+    x = []
+    for _ in range(10):  # two crowds of 20, centres at cosine 0.94: the 10 nearest are all in the own crowd
+        a, b = np.linalg.qr(rng.standard_normal((48, 2)))[0].T
+        for centre in (a, 0.94 * a + np.sqrt(1 - 0.94**2) * b):
+            x += [centre + 0.005 * rng.standard_normal(48) for _ in range(20)]
+    links, component = brute_links(np.array(x))
+    assert links.min() == 39
+    got = {r["vec_id"]: r for r in near_duplicates(embeddings(spark, np.array(x)))[0].collect()}
+    assert [got[i]["n_links"] for i in range(len(x))] == links.tolist()
+    assert [got[i]["component_id"] for i in range(len(x))] == component
+
+
 def test_license_scan(spark):
     notice = "This program is free software: you can redistribute it and/or modify it kindly under the terms of the GNU General Public License as published"
     docs = documents(spark, [

@@ -12,7 +12,8 @@
    They are enlarged to whole neighbourhoods: the components of threshold
    edges that hold a saturated node are compared inside, block against block,
    where tasks hold two blocks and give counts and a spanning forest, not
-   pairs.
+   pairs.  Two such components whose balls (a node and the largest angle to
+   it) are near enough for a link are compared with each other as well.
 5. Audit: a fixed number of hashed query nodes is compared with all nodes in
    one pass.  If the links found are fewer than ``recall`` of the true ones,
    more blocks and steps follow; the measured recall is returned.
@@ -44,6 +45,8 @@ STEPS, ROUNDS = 3, 3
 RECALL = 0.98
 #: size of the audit, broadcast: 256 vectors
 QUERIES = 256
+#: regions compared in one task by their balls; rounding of angles, in radians
+BALLS, SLACK = 1024, 1e-6
 _PAIR = "array<struct<cos:double,node:long>>"
 
 
@@ -135,32 +138,62 @@ def local_joins(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
                                           pa.array(out_cos, pa.float64())], names=["node", "other", "cos"])
 
 
-def region_links(table: pa.Table, cosine: float) -> pa.Table:
+def region_links(table: pa.Table, cosine: float, across: bool = False) -> pa.Table:
     """Link counts of each node inside one pair of blocks, and one link of a spanning forest each."""
     nodes, part, copies = (table[c].to_numpy() for c in ("node", "part", "copies"))
     x = _vectors(table["vec"].combine_chunks())
     linked = x @ x.T >= cosine
     np.fill_diagonal(linked, False)
-    if len(np.unique(part)) > 1:
+    if across or table["lo"][0].as_py() != table["hi"][0].as_py():
         linked &= part[:, None] != part[None, :]
-    parent = np.arange(len(nodes))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
     to = np.full(len(nodes), -1, np.int64)
-    for i in range(len(nodes)):
-        for j in np.flatnonzero(linked[i, i + 1:]).tolist():
-            a, b = root(i), root(i + 1 + j)
-            if a != b:
-                parent[b] = a
-                if to[i + 1 + j] < 0:
-                    to[i + 1 + j] = nodes[i]
+    left = np.ones(len(nodes), bool)
+    for start in range(len(nodes)):
+        ahead = [start] if left[start] else []
+        left[start] = False
+        while ahead:
+            i = ahead.pop()
+            new = np.flatnonzero(linked[i] & left)
+            left[new] = False
+            to[new] = nodes[i]
+            ahead += new.tolist()
     return pa.table({"node": pa.array(nodes), "links": pa.array((linked @ copies).astype(float)), "to": pa.array(to)})
 
 
+def _angles(x: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x, -1.0, 1.0))
+
+
+def head_angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The angle between each row's vector and its region's head."""
+    for batch in batches:
+        for part in _by_length(batch, "vec"):
+            if len(part):
+                angle = _angles(np.einsum("ij,ij->i", _vectors(part["vec"]), _vectors(part["head"])))
+                yield pa.RecordBatch.from_arrays([part["component"], pa.array(angle)], names=["component", "angle"])
+
+
+def ball_pairs(table: pa.Table, cosine: float) -> pa.Table:
+    """Pairs of regions whose balls are near enough for a link, inside one pair of blocks."""
+    nodes, part, radius = (table[c].to_numpy() for c in ("component", "part", "radius"))
+    x = _vectors(table["head"].combine_chunks())
+    near = _angles(x @ x.T) <= radius[:, None] + radius[None, :] + np.arccos(cosine) + SLACK
+    if table["lo"][0].as_py() != table["hi"][0].as_py():
+        near &= part[:, None] != part[None, :]
+    i, j = np.nonzero(np.triu(near, 1))
+    return pa.table({"a": pa.array(np.minimum(nodes[i], nodes[j])), "b": pa.array(np.maximum(nodes[i], nodes[j]))})
+
+
+def near_ball(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
+    """Rows whose vector is near enough to the other region's ball for a link."""
+    for batch in batches:
+        for part in _by_length(batch, "vec"):
+            if len(part):
+                angle = _angles(np.einsum("ij,ij->i", _vectors(part["vec"]), _vectors(part["head"])))
+                near = pa.array(angle <= part["radius"].to_numpy() + np.arccos(cosine) + SLACK)
+                yield part.filter(near).select(["a", "b", "part", "node"])
+
+
 def audit_batches(batches: Iterator[pa.RecordBatch], queries, cosine: float) -> Iterator[pa.RecordBatch]:
     """For each query node the true links among this task's rows."""
     keys, x, copies = queries.value
@@ -278,14 +311,57 @@ def threshold_links(pool: DataFrame, lists: DataFrame, cosine: float, k: int) ->
     members = whole.join(crowded, "component", "left_semi")
     plain = both.join(members.select(F.col("node").alias("a")), "a", "left_anti").join(
         pool.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("links"))
-    # the others' whole neighbourhoods are compared, block against block
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    cells = (members.join(sizes, "component")
-             .withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("component", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "node", "part"))
-    compared = stage(cells.join(pool, "node").groupBy("component", "lo", "hi").applyInArrow(
-        group_task(region_links, cosine=cosine), "node long, links double, to long"), "compared")
+    # the others' whole neighbourhoods are compared, block against block, and so are neighbourhoods near each other
+    members = stage(members, "members")
+    compared = stage(inside_links(members, pool, cosine, BLOCK).unionByName(across_links(members, pool, cosine)), "compared")
     counted = compared.groupBy("node").agg(F.sum("links").cast("long").alias("links"))
     edges = both.unionByName(compared.filter("to >= 0").select(F.col("node").alias("a"), F.col("to").alias("b"))).distinct()
     return stage(plain.unionByName(counted), "counts"), edges
+
+
+def _cells(rows: DataFrame, name: str, by: list[str], block: int) -> DataFrame:
+    """Rows dealt over blocks of about ``block`` inside ``by``, once for each pair (lo, hi) of blocks that holds them."""
+    sizes = rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    return (rows.join(sizes, by)
+            .withColumn("part", F.pmod(F.xxhash64(name), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other")}).drop("blocks", "other"))
+
+
+def inside_links(members: DataFrame, pool: DataFrame, cosine: float, block: int) -> DataFrame:
+    """(node, links, to) of all pairs of nodes inside each component of ``members``."""
+    return _cells(members, "node", ["component"], block).join(pool, "node").groupBy("component", "lo", "hi").applyInArrow(
+        group_task(region_links, cosine=cosine), "node long, links double, to long")
+
+
+def across_links(members: DataFrame, pool: DataFrame, cosine: float) -> DataFrame:
+    """(node, links, to) of all pairs of nodes in different components of ``members``.
+
+    Exact by the triangle inequality on angles: a component lies in a ball
+    around its head (its smallest node).  Pairs of balls near enough for a link
+    are found from the heads, and of those only the nodes near enough to the
+    other ball are compared.
+    """
+    heads = pool.join(members.select("component").distinct(), F.col("node") == F.col("component")).select(
+        "component", F.col("vec").alias("head"))
+    angles = members.join(pool, "node").join(heads, "component").select("component", "vec", "head").mapInArrow(
+        arrow_task(head_angles), "component long, angle double")
+    balls = stage(heads.join(angles.groupBy("component").agg(F.max("angle").alias("radius")), "component"), "balls")
+    pairs = stage(_cells(balls.withColumn("dim", F.size("head")), "component", ["dim"], BALLS).groupBy("dim", "lo", "hi").applyInArrow(
+        group_task(ball_pairs, cosine=cosine), "a long, b long"), "pairs")
+    sides = pairs.select("*", F.lit(0).alias("part"), F.col("a").alias("component"), F.col("b").alias("far")).unionByName(
+        pairs.select("*", F.lit(1).alias("part"), F.col("b").alias("component"), F.col("a").alias("far")))
+    aims = sides.join(balls.withColumnRenamed("component", "far"), "far")
+    near = stage(members.join(aims, "component").join(pool.select("node", "vec"), "node").select(
+        "a", "b", "part", "node", "vec", "head", "radius").mapInArrow(
+        arrow_task(near_ball, cosine=cosine), "a long, b long, part int, node long"), "near-balls")
+    blocks = near.groupBy("a", "b").agg(*[F.ceil(F.sum(F.when(F.col("part") == i, 1).otherwise(0)) / BLOCK).cast("int").alias(f"n{i}")
+                                          for i in (0, 1)]).filter("n0 > 0 and n1 > 0")
+    first = F.col("part") == 0
+    dealt = near.join(blocks, ["a", "b"]).withColumns({
+        "own": F.pmod(F.xxhash64("node"), F.when(first, F.col("n0")).otherwise(F.col("n1"))).cast("int"),
+        "other": F.explode(F.sequence(F.lit(0), F.when(first, F.col("n1")).otherwise(F.col("n0")) - 1))})
+    cells = dealt.select("a", "b", "node", "part", F.when(first, F.col("own")).otherwise(F.col("other")).alias("lo"),
+                         F.when(first, F.col("other")).otherwise(F.col("own")).alias("hi"))
+    return cells.join(pool, "node").groupBy("a", "b", "lo", "hi").applyInArrow(
+        group_task(region_links, cosine=cosine, across=True), "node long, links double, to long")
