@@ -352,6 +352,41 @@ def test_embedding_dedup_joins_tight_subgroups(spark):
     assert [got[i]["component_id"] for i in range(len(x))] == component
 
 
+def test_embedding_dedup_finds_pairs_beside_a_crowd(spark):
+    rng = np.random.default_rng(5)
+    centre, apart = rng.standard_normal(32), rng.standard_normal((400, 32))
+    x = [centre + 0.01 * rng.standard_normal(32) for _ in range(600)]
+    for v in apart:  # pairs near the threshold
+        v /= np.linalg.norm(v)
+        side = rng.standard_normal(32)
+        side -= (side @ v) * v
+        x += [v, 0.905 * v + np.sqrt(1 - 0.905**2) * side / np.linalg.norm(side)]
+    links, component = brute_links(np.array(x))
+    out, audit = near_duplicates(embeddings(spark, np.array(x)))
+    got = {r["vec_id"]: r for r in out.collect()}
+    pairs = range(600, len(x))
+    assert sum(got[i]["n_links"] == links[i] for i in pairs) >= 0.98 * len(pairs)
+    assert audit["recall"] == pytest.approx(min(np.mean([min(got[i]["n_links"], links[i]) / links[i] for i in ids if links[i]])
+                                                for ids in (range(600), pairs)))
+    assert [got[i]["n_links"] for i in range(600)] == links[:600].tolist()
+
+
+def test_embedding_audit_that_cannot_tell_compares_all(spark, monkeypatch):
+    from tradeflow.llm import nn_descent
+
+    monkeypatch.setattr(nn_descent, "QUERIES", 16)
+    monkeypatch.setattr(nn_descent, "MOST_QUERIES", 32)
+    monkeypatch.setattr(nn_descent, "EXACT_BLOCK", 64)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, 24))
+    x[200:210] = x[:10] + 0.3 * rng.standard_normal((10, 24))
+    links, component = brute_links(x)
+    out, audit = near_duplicates(embeddings(spark, x))
+    got = {r["vec_id"]: r for r in out.collect()}
+    assert audit["exact"] and links.sum() >= 10
+    assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(len(x))] == list(zip(links.tolist(), component, strict=True))
+
+
 def test_license_scan(spark):
     notice = "This program is free software: you can redistribute it and/or modify it kindly under the terms of the GNU General Public License as published"
     docs = documents(spark, [

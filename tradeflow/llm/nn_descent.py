@@ -14,9 +14,13 @@
    where tasks hold two blocks and give counts and a spanning forest, not
    pairs.  Two such components whose balls (a node and the largest angle to
    it) are near enough for a link are compared with each other as well.
-5. Audit: a fixed number of hashed query nodes is compared with all nodes in
-   one pass.  If the links found are fewer than ``recall`` of the true ones,
-   more blocks and steps follow; the measured recall is returned.
+5. Audit: hashed query nodes of every length are compared with all nodes in
+   one pass, more of them until enough have links.  Recall is the mean over
+   query nodes of the share of their links that was found, so a node of a pair
+   counts as much as one of a crowd, and nodes with fewer than ``k`` others
+   and crowds must both reach ``recall``.  If they do not, more blocks and
+   steps follow; if they still do not, or too few query nodes have links to
+   tell, all nodes are compared block against block, which is exact.
 
 All cosines that decide a link are computed in double precision.
 
@@ -43,8 +47,10 @@ COSINE = 0.9
 TABLES, BLOCK = 4, 256
 STEPS, ROUNDS = 3, 3
 RECALL = 0.98
-#: size of the audit, broadcast: 256 vectors
-QUERIES = 256
+#: the audit: query nodes at first and at most (broadcast), and how many of them with links in small groups it takes
+QUERIES, MOST_QUERIES, LEAST_LINKED = 4096, 16384, 100
+#: nodes of a block where all are compared
+EXACT_BLOCK = 2048
 #: regions compared in one task by their balls; rounding of angles, in radians
 BALLS, SLACK = 1024, 1e-6
 _PAIR = "array<struct<cos:double,node:long>>"
@@ -195,16 +201,47 @@ def near_ball(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.R
 
 
 def audit_batches(batches: Iterator[pa.RecordBatch], queries, cosine: float) -> Iterator[pa.RecordBatch]:
-    """For each query node the true links among this task's rows."""
-    keys, x, copies = queries.value
-    total = np.zeros(len(keys))
+    """For each query node the true links (rows, and nodes) among this task's rows."""
+    by_length = {x.shape[1]: (keys, x) for keys, x in queries.value}
+    rows, others = ({n: np.zeros(len(keys)) for n, (keys, _) in by_length.items()} for _ in range(2))
     for batch in batches:
         for part in _by_length(batch, "vec"):
-            own = _vectors(part["vec"])
-            if len(own) and own.shape[1] == x.shape[1]:
-                linked = (own @ x.T >= cosine) & (part["node"].to_numpy()[:, None] != keys[None, :])
-                total += part["copies"].to_numpy() @ linked
-    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array((total + 0.5).astype(np.int64))], names=["node", "true_links"])
+            own = _vectors(part["vec"]) if len(part) else np.zeros((0, 0))
+            if own.shape[1] in by_length:
+                keys, x = by_length[own.shape[1]]
+                nodes, copies = part["node"].to_numpy(), part["copies"].to_numpy()
+                for i in range(0, len(own), 1024):
+                    linked = (own[i:i + 1024] @ x.T >= cosine) & (nodes[i:i + 1024, None] != keys[None, :])
+                    rows[own.shape[1]] += copies[i:i + 1024] @ linked
+                    others[own.shape[1]] += linked.sum(axis=0)
+    for n, (keys, _) in by_length.items():
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array((rows[n] + 0.5).astype(np.int64)), pa.array(others[n].astype(np.int64))],
+                                         names=["node", "true_links", "true_nodes"])
+
+
+def query_links(pool: DataFrame, cosine: float, k: int) -> tuple[DataFrame, bool]:
+    """(node, true_links, true_nodes) of hashed query nodes, and whether they can tell the recall of small groups."""
+    spark, size = pool.sparkSession, QUERIES
+    while True:
+        picked = pool.orderBy(F.xxhash64("node"), "node").limit(size).select("node", "vec").collect()
+        lengths = {len(r["vec"]) for r in picked}
+        queries = spark.sparkContext.broadcast([(np.array([r["node"] for r in picked if len(r["vec"]) == n]),
+                                                 np.array([r["vec"] for r in picked if len(r["vec"]) == n])) for n in sorted(lengths)])
+        truth = stage(pool.mapInArrow(arrow_task(audit_batches, queries=queries, cosine=cosine), "node long, true_links long, true_nodes long")
+                      .groupBy("node").agg(F.sum("true_links").alias("true_links"), F.sum("true_nodes").alias("true_nodes")), "truth")
+        whole = len(picked) < size  # every node is a query node
+        if whole or truth.filter(F.col("true_nodes").between(1, k - 1)).count() >= LEAST_LINKED:
+            return truth, True
+        if size >= MOST_QUERIES:
+            return truth, False
+        size *= 2
+
+
+def measured_recall(truth: DataFrame, links: DataFrame, k: int) -> float:
+    """The lower of the mean shares of links found, by query node, in small groups and in crowds (no links at all: 1)."""
+    share = F.least("true_links", F.coalesce("links", F.lit(0))) / F.col("true_links")
+    means = truth.filter("true_links > 0").join(links, "node", "left").groupBy(F.col("true_nodes") < k).agg(F.avg(share).alias("share"))
+    return min((r["share"] for r in means.collect()), default=1.0)
 
 
 def _merge(lists: DataFrame, k: int) -> DataFrame:
@@ -254,7 +291,7 @@ def descend(nodes: DataFrame, lists: DataFrame, k: int) -> DataFrame:
 
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, k: int = K,
                     recall: float = RECALL) -> tuple[DataFrame, dict]:
-    """(key, n_links, component_id, kept) for each row, and the audit: measured recall, rounds, links checked."""
+    """(key, n_links, component_id, kept) for each row, and the audit: measured recall, rounds, whether all nodes were compared."""
     spark = rows.sparkSession
     base = rows.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("raw"))
     base = stage(base.mapInArrow(arrow_task(unit_batches), "key long, vec array<double>"), "units")
@@ -262,16 +299,10 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     nodes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     pool = nodes.select("node", "vec", "copies")
 
-    picked = pool.orderBy(F.xxhash64("node")).limit(QUERIES).collect()
-    if not picked:
+    if not pool.take(1):
         return base.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"),
-                           F.col("key").alias("component_id"), F.lit(True).alias("kept")), {"recall": 1.0, "rounds": 0}
-    dim = max(len(r["vec"]) for r in picked)
-    picked = [r for r in picked if len(r["vec"]) == dim]
-    queries = spark.sparkContext.broadcast((np.array([r["node"] for r in picked]), np.array([r["vec"] for r in picked]),
-                                            np.array([r["copies"] for r in picked])))
-    truth = stage(pool.mapInArrow(arrow_task(audit_batches, queries=queries, cosine=cosine), "node long, true_links long")
-                  .groupBy("node").agg(F.sum("true_links").alias("true_links")), "truth")
+                           F.col("key").alias("component_id"), F.lit(True).alias("kept")), {"recall": 1.0, "rounds": 0, "exact": True}
+    truth, telling = query_links(pool, cosine, k)
 
     lists = None
     for round_ in range(ROUNDS):
@@ -280,12 +311,14 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
         for _ in range(STEPS if round_ else 1):
             lists = stage(_merge(_flat(lists).unionByName(descend(pool, lists, k)), k), "lists")
         links, edges = threshold_links(pool, lists, cosine, k)
-        checked = truth.join(links, "node", "left").agg(
-            F.sum("true_links"), F.sum(F.least("true_links", F.coalesce("links", F.lit(0))))).first()
-        measured = checked[1] / checked[0] if checked[0] else 1.0
-        if measured >= recall:
+        measured = measured_recall(truth, links, k)
+        if measured >= recall or not telling:
             break
-    audit = {"recall": measured, "rounds": round_ + 1, "links": int(checked[0] or 0)}
+    exact = not telling or measured < recall
+    if exact:
+        links, edges = all_links(pool, cosine)
+        measured = measured_recall(truth, links, k)
+    audit = {"recall": measured, "rounds": round_ + 1, "exact": exact}
 
     whole = components(edges)
     named = nodes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -334,6 +367,14 @@ def inside_links(members: DataFrame, pool: DataFrame, cosine: float, block: int)
         group_task(region_links, cosine=cosine), "node long, links double, to long")
 
 
+def all_links(pool: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """(node, links) and (a, b) edges that connect them, from all pairs of nodes."""
+    compared = stage(inside_links(pool.select("node", F.size("vec").alias("component")), pool, cosine, EXACT_BLOCK)
+                     .filter("links > 0 or to >= 0"), "all-links")
+    return (compared.groupBy("node").agg(F.sum("links").cast("long").alias("links")),
+            compared.filter("to >= 0").select(F.col("node").alias("a"), F.col("to").alias("b")).distinct())
+
+
 def across_links(members: DataFrame, pool: DataFrame, cosine: float) -> DataFrame:
     """(node, links, to) of all pairs of nodes in different components of ``members``.
 
