@@ -387,6 +387,28 @@ def test_embedding_audit_that_cannot_tell_compares_all(spark, monkeypatch):
     assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(len(x))] == list(zip(links.tolist(), component, strict=True))
 
 
+def test_embedding_lists_settle(spark, monkeypatch):
+    from tradeflow.llm import nn_descent
+
+    for n in (1, 1000, 50_000, 10_000_000):
+        bits, tables = nn_descent.block_plan(n, 0.9)
+        assert n / 2**bits <= nn_descent.WISHED and 1 - (1 - (1 - np.arccos(0.9) / np.pi)**bits)**tables >= nn_descent.MEET
+    monkeypatch.setattr(nn_descent, "WISHED", 1)
+    monkeypatch.setattr(nn_descent, "MEET", 0.1)
+    x = np.random.default_rng(7).standard_normal((200, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pool = spark.createDataFrame([(i, e.tolist(), 1) for i, e in enumerate(x)], "node long, vec array<double>, copies long")
+    monkeypatch.setattr(nn_descent, "FULL", 40)
+    found = nn_descent._merge(nn_descent.first_lists(pool, 10, 0.9, 1, seed=0), 10).localCheckpoint()
+    assert found.count() == 200  # also nodes that are alone in their hyperplane blocks
+    lists, changed = nn_descent.settle(pool, found, 10)
+    assert len(changed) > 1 and changed[-1] <= nn_descent.CHANGED < changed[0]
+    sims = x @ x.T
+    np.fill_diagonal(sims, -9)
+    best = np.argsort(-sims, axis=1)[:, :10]
+    assert sum(len({e["node"] for e in r["list"]} & set(best[r["node"]].tolist())) for r in lists.collect()) >= 0.95 * 2000
+
+
 def test_license_scan(spark):
     notice = "This program is free software: you can redistribute it and/or modify it kindly under the terms of the GNU General Public License as published"
     docs = documents(spark, [

@@ -1,13 +1,17 @@
 """Operator 8, embedding near-dedup by NN-descent.
 
 1. Equal vectors collapse into one *node* with a number of copies.
-2. First lists: each node meets others in a few tables of random-hyperplane
-   blocks (a block too full is cut by hashed salts) and keeps its ``k``
-   nearest.
+2. First lists: each node meets others in tables of random-hyperplane blocks
+   (a block too full is cut by hashed salts) and keeps its ``k`` nearest.
+   There are as many tables as a pair at the threshold needs to share a block
+   with probability ``MEET``, and one of hashed blocks, in which every node
+   meets others.
 3. NN-descent: every node gathers its list and the ``k`` nearest of those that
    list it, all with vectors (a bounded row), compares these neighbours of its
    neighbours with each other, and hands out pairs that beat a member's list.
-   Lists are merged and the step repeats until few lists change.
+   Lists are merged and the step repeats until at most ``CHANGED`` of the
+   entries are new.  Members that met at the same node before are not
+   compared again.
 4. Saturated lists, whose every entry is over the threshold, may hide links.
    They are enlarged to whole neighbourhoods: the components of threshold
    edges that hold a saturated node are compared inside, block against block,
@@ -44,8 +48,10 @@ from tradeflow.llm.graph import components
 
 K = 10
 COSINE = 0.9
-TABLES, BLOCK = 4, 256
-STEPS, ROUNDS = 3, 3
+#: hyperplane blocks: nodes wished for and allowed, and the probability that a pair at the threshold meets
+WISHED, FULL, MEET = 1024, 4096, 0.98
+BLOCK = 256
+CHANGED, ROUNDS = 0.01, 3
 RECALL = 0.98
 #: the audit: query nodes at first and at most (broadcast), and how many of them with links in small groups it takes
 QUERIES, MOST_QUERIES, LEAST_LINKED = 4096, 16384, 100
@@ -77,7 +83,7 @@ def unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def block_keys(batches: Iterator[pa.RecordBatch], tables: int, seed: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """A key of ``bits`` hyperplane sides for each table; vectors of one length a row."""
+    """A key of ``bits`` hyperplane sides for each table, and one table of one key; vectors of one length a row."""
     for batch in batches:
         for part in _by_length(batch, "vec"):
             x = _vectors(part["vec"])
@@ -86,7 +92,8 @@ def block_keys(batches: Iterator[pa.RecordBatch], tables: int, seed: int, bits:
             planes = np.random.default_rng([seed, x.shape[1]]).standard_normal((x.shape[1], tables * bits))
             sides = (x @ planes > 0).reshape(len(x), tables, bits)
             keys = sides @ (1 << np.arange(bits)) if bits else np.zeros((len(x), tables), np.int64)
-            for t in range(tables):
+            keys = np.concatenate([keys, np.zeros((len(x), 1), np.int64)], axis=1)
+            for t in range(tables + 1):
                 yield pa.RecordBatch.from_arrays(
                     [part["node"], part["vec"], pa.array(np.full(len(x), t, np.int32)), pa.array(keys[:, t].astype(np.int64)),
                      pa.array(np.full(len(x), x.shape[1], np.int32))], names=["node", "vec", "table", "key", "dim"])
@@ -109,9 +116,12 @@ def block_lists(table: pa.Table, k: int) -> pa.Table:
     """Nearest nodes inside one block."""
     nodes = table["node"].to_numpy()
     x = _vectors(table["vec"].combine_chunks())
-    sims = x @ x.T
-    np.fill_diagonal(sims, -9)
-    return pa.table({"node": pa.array(nodes), "list": pa.array(_best(sims, nodes, k), _pair_type())})
+    lists = []
+    for i in range(0, len(x), 512):
+        sims = x[i:i + 512] @ x.T
+        sims[np.arange(len(sims)), i + np.arange(len(sims))] = -9
+        lists += _best(sims, nodes, k)
+    return pa.table({"node": pa.array(nodes), "list": pa.array(lists, _pair_type())})
 
 
 def _pair_type() -> pa.DataType:
@@ -119,7 +129,7 @@ def _pair_type() -> pa.DataType:
 
 
 def local_joins(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Pairs among each row's members that beat a member's worst entry and are not in its list."""
+    """Pairs among each row's members, one of them fresh, that beat a member's worst entry and are not in its list."""
     for batch in batches:
         out_node, out_other, out_cos = [], [], []
         for members in batch["members"]:
@@ -131,6 +141,8 @@ def local_joins(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             sims = x @ x.T
             worst = parts.field("worst").to_numpy()
             better = sims > worst[:, None]
+            fresh = parts.field("fresh").to_numpy(zero_copy_only=False)
+            better &= fresh[:, None] | fresh[None, :]
             np.fill_diagonal(better, False)
             have = parts.field("have")
             ends, flat = have.offsets.to_numpy(), have.flatten().to_numpy()
@@ -256,15 +268,21 @@ def _flat(lists: DataFrame) -> DataFrame:
     return lists.select("node", F.explode("list").alias("e")).select("node", F.col("e.node").alias("other"), "e.cos")
 
 
-def first_lists(nodes: DataFrame, k: int, tables: int, block: int, seed: int) -> DataFrame:
-    """(node, other, cos) rows from blocks of hyperplane keys."""
-    n = nodes.count()
-    bits = max(0, int(np.ceil(np.log2(max(n, 1) / block))) + 1)
+def block_plan(n: int, cosine: float) -> tuple[int, int]:
+    """Hyperplanes of a table, and the tables in which a pair at the threshold meets with probability ``MEET``."""
+    bits = max(0, int(np.ceil(np.log2(max(n, 1) / WISHED))))
+    meet = (1 - np.arccos(cosine) / np.pi) ** bits
+    return bits, 1 if meet >= MEET else int(np.ceil(np.log1p(-MEET) / np.log1p(-meet)))
+
+
+def first_lists(nodes: DataFrame, k: int, cosine: float, times: int, seed: int) -> DataFrame:
+    """(node, other, cos) rows from blocks of hyperplane keys, ``times`` the tables of the plan."""
+    bits, tables = block_plan(nodes.count(), cosine)
     keyed = nodes.select("node", "vec").mapInArrow(
-        arrow_task(block_keys, tables=tables, seed=seed, bits=bits),
+        arrow_task(block_keys, tables=tables * times, seed=seed, bits=bits),
         "node long, vec array<double>, table int, key long, dim int")
     sizes = keyed.groupBy("table", "key", "dim").agg(F.count(F.lit(1)).alias("n"))
-    deals = sizes.select("table", "key", "dim", F.ceil(F.col("n") / block).cast("int").alias("deals"))
+    deals = sizes.select("table", "key", "dim", F.ceil(F.col("n") / FULL).cast("int").alias("deals"))
     dealt = keyed.join(deals, ["table", "key", "dim"]).withColumn(
         "salt", F.pmod(F.xxhash64("node", "table", F.lit(seed)), F.col("deals")))
     lists = dealt.groupBy("table", "key", "dim", "salt").applyInArrow(
@@ -272,26 +290,44 @@ def first_lists(nodes: DataFrame, k: int, tables: int, block: int, seed: int) ->
     return _flat(lists)
 
 
-def descend(nodes: DataFrame, lists: DataFrame, k: int) -> DataFrame:
-    """New (node, other, cos) rows from neighbours of neighbours."""
+def descend(nodes: DataFrame, lists: DataFrame, k: int, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """New (node, other, cos) rows from neighbours of neighbours, and the members (node, other) that met, less those of ``before``."""
     forward = _flat(lists)
     back = Window.partitionBy("other").orderBy(F.col("cos").desc(), "node")
     reverse = forward.withColumn("place", F.row_number().over(back)).filter(F.col("place") <= k).select(
         F.col("other").alias("node"), F.col("node").alias("other"))
-    members = forward.select("node", "other").unionByName(reverse).unionByName(
-        lists.select("node", F.col("node").alias("other"))).distinct()
-    known = nodes.select("node", "vec").join(lists, "node").select(
-        F.col("node").alias("other"), "vec", F.transform("list", lambda e: e["node"]).alias("have"),
-        F.when(F.size("list") < k, F.lit(-2.0)).otherwise(F.array_min(F.transform("list", lambda e: e["cos"]))).alias("worst"))
-    gathered = members.join(known, "other").groupBy("node").agg(F.collect_list(
-        F.struct(F.col("other").alias("node"), "vec", "have", "worst")).alias("members"))
+    members = stage(forward.select("node", "other").unionByName(reverse).unionByName(
+        nodes.select("node", F.col("node").alias("other"))).distinct(), "members")
+    fresh = members.withColumn("fresh", F.lit(True))
+    if before is not None:
+        fresh = members.join(before.withColumn("met", F.lit(True)), ["node", "other"], "left").select(
+            "node", "other", F.col("met").isNull().alias("fresh"))
+        fresh = fresh.join(fresh.filter("fresh").select("node").distinct(), "node", "left_semi")
+    known = nodes.select("node", "vec").join(lists, "node", "left").select(
+        F.col("node").alias("other"), "vec", F.coalesce(F.transform("list", lambda e: e["node"]), F.array().cast("array<long>")).alias("have"),
+        F.when(F.size("list") >= k, F.array_min(F.transform("list", lambda e: e["cos"]))).otherwise(F.lit(-2.0)).alias("worst"))
+    gathered = fresh.join(known, "other").groupBy("node").agg(F.collect_list(
+        F.struct(F.col("other").alias("node"), "vec", "have", "worst", "fresh")).alias("members"))
     # a row holds at most 2 k + 1 members
-    return gathered.select("members").mapInArrow(arrow_task(local_joins, k=k), "node long, other long, cos double")
+    return gathered.select("members").mapInArrow(arrow_task(local_joins, k=k), "node long, other long, cos double"), members
+
+
+def settle(nodes: DataFrame, lists: DataFrame, k: int) -> tuple[DataFrame, list[float]]:
+    """Lists after as many steps as it takes until few entries change, and the changed share of each step."""
+    shares, members = [], None
+    while not shares or shares[-1] > CHANGED:
+        found, members = descend(nodes, lists, k, members)
+        new = stage(_merge(_flat(lists).unionByName(found), k), "lists")
+        changed = _flat(new).join(_flat(lists), ["node", "other"], "left_anti").count()
+        shares.append(changed / max(new.agg(F.sum(F.size("list"))).first()[0] or 0, 1))
+        lists = new
+    return lists, shares
 
 
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, k: int = K,
                     recall: float = RECALL) -> tuple[DataFrame, dict]:
-    """(key, n_links, component_id, kept) for each row, and the audit: measured recall, rounds, whether all nodes were compared."""
+    """(key, n_links, component_id, kept) for each row, and the audit: measured recall, rounds, whether all nodes were
+    compared, share of list entries that each step changed."""
     spark = rows.sparkSession
     base = rows.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("raw"))
     base = stage(base.mapInArrow(arrow_task(unit_batches), "key long, vec array<double>"), "units")
@@ -301,15 +337,15 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
     if not pool.take(1):
         return base.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"),
-                           F.col("key").alias("component_id"), F.lit(True).alias("kept")), {"recall": 1.0, "rounds": 0, "exact": True}
+                           F.col("key").alias("component_id"), F.lit(True).alias("kept")), {"recall": 1.0, "rounds": 0, "exact": True, "changed": []}
     truth, telling = query_links(pool, cosine, k)
 
-    lists = None
+    lists, steps = None, []
     for round_ in range(ROUNDS):
-        found = first_lists(pool, k, TABLES * (round_ + 1), BLOCK, seed=round_)
+        found = first_lists(pool, k, cosine, round_ + 1, seed=round_)
         lists = stage(_merge(found if lists is None else _flat(lists).unionByName(found), k), "lists")
-        for _ in range(STEPS if round_ else 1):
-            lists = stage(_merge(_flat(lists).unionByName(descend(pool, lists, k)), k), "lists")
+        lists, changed = settle(pool, lists, k)
+        steps += changed
         links, edges = threshold_links(pool, lists, cosine, k)
         measured = measured_recall(truth, links, k)
         if measured >= recall or not telling:
@@ -318,7 +354,7 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     if exact:
         links, edges = all_links(pool, cosine)
         measured = measured_recall(truth, links, k)
-    audit = {"recall": measured, "rounds": round_ + 1, "exact": exact}
+    audit = {"recall": measured, "rounds": round_ + 1, "exact": exact, "changed": steps}
 
     whole = components(edges)
     named = nodes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
