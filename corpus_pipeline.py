@@ -37,11 +37,14 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an id cannot be named; of those only rows of equal text are told apart as copies."""
-    groups = jaccard_components(docs)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """Rows are told apart by a running number, so that null and repeated ids hide no copies."""
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    # the smallest id stays, a null one only where the group has no other
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("__row").alias("row")))["row"]
+    kept = rows.select("__row", "doc_id").join(groups, "__row").groupBy("__group").agg(first.alias("__row")).select("__row")
+    return rows.join(kept, "__row", "left_semi").drop("__row").dropDuplicates(["doc_id", "text"])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

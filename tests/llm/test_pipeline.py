@@ -62,3 +62,14 @@ def test_empty_documents(spark, tmp_path):
     spark.read.parquet(f"{tmp_path}/full/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{tmp_path}/full/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_without_an_id(spark, tmp_path):
+    rnd = random.Random(4)
+    texts = [sentence(rnd, 80) for _ in range(4)]
+    rows = [(None, texts[0], "a"), (None, texts[0] + " end", "a"), (7, texts[1] + " end", "a"), (None, texts[1], "a"),
+            (8, texts[2], "a"), (8, texts[3], "a"), (9, texts[3] + " end", "a"), (None, None, "a"), (None, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
+    assert len(kept) == 5 and {(7, texts[1] + " end"), (8, texts[2]), (8, texts[3]), (None, None)} <= set(kept)
+    assert sum(i is None and t is not None for i, t in kept) == 1
