@@ -28,6 +28,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -55,6 +56,10 @@ class Capacity:
     weights: tuple[float, float, float] = (1.0, 0.25, 0.25)
     rule: str = "norm"
 
+    def piece(self) -> int:
+        """The longest piece that every dimension allows."""
+        return min(self.tokens, math.isqrt(self.attention or self.tokens**2))
+
     def vector(self) -> np.ndarray:
         return np.array([self.tokens, self.documents or self.tokens, self.attention or self.tokens**2], np.int64)
 
@@ -157,7 +162,7 @@ def pack(docs: DataFrame, path: str, pattern: str = "dense", end_id: int = 1, ca
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece of ``docs`` (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     pieces = stage(rows.mapInArrow(
-        arrow_task(piece_batches, path=path, pattern=pattern, size=capacity.tokens, end_id=end_id),
+        arrow_task(piece_batches, path=path, pattern=pattern, size=capacity.piece(), end_id=end_id),
         "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
     lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = np.array(plan_packing(lengths, capacity), np.int64).reshape(-1, 6)
