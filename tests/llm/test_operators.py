@@ -486,6 +486,14 @@ def test_mixing(spark):
     assert mix(docs.limit(0)).count() == 0 and mix_documents(docs.limit(0)).count() == 0
 
 
+def test_mixing_rows_without_an_id_keep_their_source(spark):
+    rows = [(None, "one two three four five " * 4, source) for source, n in (("a", 90), ("b", 10)) for _ in range(n)]
+    words = Counter()
+    for r in mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        words[r["source"]] += len(r["text"].split())
+    assert words["b"] == 600 and abs(words["a"] - 1400) <= 20
+
+
 def test_hash_of_turns_contract(spark, tmp_path):
     from tradeflow.llm.queries import CONTROL_TEXT, op2_chat_format
 

@@ -70,15 +70,17 @@ def source_targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, share: f
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, most: int = MOST,
-        seed: str = "mix", cut: str = "words") -> DataFrame:
+        seed: str = "mix", cut: str = "words", row: str | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken for each row of ``docs`` (doc_id, text, source), and its copies.
 
     ``cut="words"``: the document at the cut is taken in part, so a source's
     words add up to its target rounded down.  ``cut="documents"``: it is taken
     whole if at least half of it fits (``taken`` is ``copies * size``).
+    ``row`` names a column that tells rows apart; it is returned too.
     """
+    own = [row] if row else []
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = stage(docs.select("doc_id", "source", word_count().alias("size"), key.alias("key")), "sizes")
+    sized = stage(docs.select("doc_id", "source", word_count().alias("size"), key.alias("key"), *own), "sizes")
     # null sources by a flag, so that joins are plain equalities
     sized = sized.withColumns({"known": F.col("source").isNotNull(), "name": F.coalesce("source", F.lit(""))})
     digits = max(BUCKET_DIGITS, len(f"{max(sized.count() // BUCKET_ROWS, 1):x}"))
@@ -93,7 +95,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, m
                              "source_size", "target")
     # bucket rows carry their source's totals, so that documents join once, on a fine key
     ahead = ahead.join(targets, ["known", "name"])
-    inside = Window.partitionBy("known", "name", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("known", "name", "bucket").orderBy("key", "size", *own).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(ahead, ["known", "name", "bucket"])
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
@@ -106,16 +108,13 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, m
         last = F.when(rest > 0, last).otherwise(F.lit(0))
         copies = epochs + F.when(last > 0, 1).otherwise(0)
     return placed.select("doc_id", "source", "size", "source_size", "target",
-                         (epochs * F.col("size") + last).cast("long").alias("taken"), copies.cast("int").alias("copies"), "key")
+                         (epochs * F.col("size") + last).cast("long").alias("taken"), copies.cast("int").alias("copies"), "key", *own)
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it (whole documents), with all their columns."""
-    plan = mix(docs, cut="documents", **options).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    # rows that share an id share its copies
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "text"))
-    rows = docs.withColumn("__number", number).join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
-    copies = F.floor(F.col("__copies") / F.col("__rows")) + F.when(
-        F.col("__number") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*docs.columns)
+    # planned row by row: rows may share an id, or have none, in several sources
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    plan = mix(rows, cut="documents", row="__row", **options).select("__row", F.col("copies").alias("__copies"))
+    taken = rows.join(plan, "__row")
+    return taken.withColumn("__one", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(*docs.columns)
