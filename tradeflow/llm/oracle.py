@@ -144,4 +144,41 @@ SQL: dict[str, str] = {
             + greatest(least(budget - budget // source_size * source_size - ahead, size), 0) AS BIGINT) END AS taken
     FROM r
     """,
+    "op13_source_divergence": r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS uid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ), t AS (
+        SELECT uid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+    ), kept AS (
+        SELECT lang, term, count(*) AS lang_count FROM t GROUP BY lang, term HAVING count(DISTINCT uid) >= 3
+    ), ln AS (
+        SELECT lang, count(*) AS v, sum(lang_count) AS n FROM kept GROUP BY lang
+    ), c AS (
+        SELECT lang, source, term, count(*) AS times FROM t JOIN kept USING (lang, term) GROUP BY ALL
+    ), g AS (
+        SELECT d.lang, d.source, coalesce(any_value(ln.v), 0) AS v, coalesce(any_value(ln.n), 0) AS lang_n
+        FROM (SELECT DISTINCT lang, source FROM d) d LEFT JOIN ln USING (lang) GROUP BY ALL
+    ), gn AS (
+        SELECT g.*, coalesce((SELECT sum(times) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0) AS n FROM g
+    ), p AS (
+        SELECT gn.lang, gn.source, kept.term, coalesce(c.times, 0) AS times,
+            1 + (1000000000::HUGEINT * (coalesce(c.times, 0) + 1)) // (gn.n + gn.v) AS p,
+            1 + (1000000000::HUGEINT * (kept.lang_count + 1)) // (gn.lang_n + gn.v) AS q
+        FROM gn JOIN kept USING (lang) LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = kept.term
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ), every AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(pairs.value, 0) AS BIGINT) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE times > 0 AND p > q
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every
+    )
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
 }

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeflow.llm import bpe
 from tradeflow.llm.chat_format import format_chats, read_chats
 from tradeflow.llm.common import table
+from tradeflow.llm.divergence import divergence
 from tradeflow.llm.jaccard_join import jaccard_components
 from tradeflow.llm.license_scan import scan_licenses
 from tradeflow.llm.mixing import mix
@@ -89,6 +91,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_format": op2_chat_format,
@@ -100,4 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
+    "op11_bpe_codec": op11_bpe_codec,
+    "op13_source_divergence": op13_source_divergence,
 }
