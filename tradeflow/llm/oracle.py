@@ -62,6 +62,51 @@ def _quality_sql() -> str:
     """
 
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Assignment and update of every round spelled out over (row, part, place) rows; exact in wide integers."""
+    assign = """
+    a{r} AS MATERIALIZED (
+        SELECT id, part, arg_min(entry, (away, entry)) AS entry, min(away) AS away
+        FROM (SELECT x.id, x.part, e.entry, sum((x.v - e.v) * (x.v - e.v)) AS away
+              FROM x JOIN e{r} e ON e.part = x.part AND e.place = x.place GROUP BY ALL)
+        GROUP BY id, part
+    )"""
+    update = """
+    e{s} AS MATERIALIZED (
+        SELECT e.part, e.entry, e.place, coalesce(CAST(floor(m.total / m.n) AS BIGINT)
+            - CASE WHEN CAST(floor(m.total / m.n) AS BIGINT) * m.n > m.total THEN 1 ELSE 0 END, e.v) AS v
+        FROM e{r} e LEFT JOIN (
+            SELECT a.part, a.entry, x.place, sum(x.v) AS total, count(*) AS n
+            FROM a{r} a JOIN x ON x.id = a.id AND x.part = a.part GROUP BY ALL) m
+        ON m.part = e.part AND m.entry = e.entry AND m.place = e.place
+    )"""
+    steps = []
+    for r in range(rounds):
+        steps += [assign.format(r=r), update.format(r=r, s=r + 1)]
+    steps.append(assign.format(r=rounds))
+    return f"""
+    WITH kept AS (
+        SELECT vec_id AS id, label, embedding FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+    ), long AS (
+        SELECT id, unnest(embedding) AS v, unnest(range(len(embedding))) AS i, len(embedding) // 4 AS width FROM kept
+    ), x AS MATERIALIZED (
+        SELECT id, i // width AS part, i % width AS place, CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT) AS v FROM long
+    ), e0 AS MATERIALIZED (
+        SELECT x.part, f.entry, x.place, x.v FROM x JOIN (
+            SELECT id, row_number() OVER (ORDER BY id) - 1 AS entry FROM kept ORDER BY id LIMIT 256) f USING (id)
+    ), {', '.join(steps)}, books AS (
+        SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, place)) AS digest FROM e{rounds}
+    ), coded AS (
+        SELECT id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, CAST(sum(away) AS BIGINT) AS error
+        FROM a{rounds} GROUP BY id
+    )
+    SELECT kept.id AS vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+        (SELECT digest FROM books) AS codebooks_sha256
+    FROM coded JOIN kept USING (id)
+    """
+
+
 SQL: dict[str, str] = {
     "op1_quality_rules": _quality_sql(),
     "op2_chat_format": r"""
@@ -144,6 +189,7 @@ SQL: dict[str, str] = {
             + greatest(least(budget - budget // source_size * source_size - ahead, size), 0) AS BIGINT) END AS taken
     FROM r
     """,
+    "op12_vector_codes": _codes_sql(),
     "op13_source_divergence": r"""
     WITH d AS (
         SELECT row_number() OVER () AS uid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,

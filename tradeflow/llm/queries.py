@@ -21,6 +21,7 @@ from tradeflow.llm.pu_classifier import score_quality
 from tradeflow.llm.quality_rules import quality_rules
 from tradeflow.llm.token_count import count_tokens
 from tradeflow.llm.url_filter import filter_urls
+from tradeflow.llm.vector_codes import compress_vectors
 
 # Fixed values of the URL filter contract: (verdict, host, path).
 URL_RULES = (
@@ -97,6 +98,17 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compress_vectors(table(spark, sf_dir, "embeddings"), carry=["label"])
+    rows = coded.rows.select("vec_id", "label", "error", F.array_join(F.transform(
+        "codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"))
+    # nulls together, by a flag: a plain equality join, whose sides AQE measures and splits
+    rows = rows.withColumns({"named": F.col("label").isNotNull(), "name": F.coalesce("label", F.lit(0))})
+    sums = rows.groupBy("named", "name").agg(F.try_sum("error").alias("label_error"))
+    return rows.join(sums, ["named", "name"]).select(
+        "vec_id", "code", "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
@@ -113,5 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
     "op11_bpe_codec": op11_bpe_codec,
+    "op12_vector_codes": op12_vector_codes,
     "op13_source_divergence": op13_source_divergence,
 }
