@@ -305,3 +305,5 @@ SELECT vol_regime, trend_regime, count(*) AS n_trades,
        count(*) FILTER (WHERE trend_regime <> 'unknown') AS n_in_trend_gold
 FROM silver GROUP BY vol_regime, trend_regime"""),
 }
+# the same rows from a colocated store
+SQL["silver_colocated"] = SQL["silver_trades"]

@@ -7,6 +7,8 @@ AQE turns into broadcasts at run time when the small side measures small.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ SPREAD_BPS_BY_VENUE = {"coinbase": 4.0, "binance": 2.0, "kraken": 6.0}
 TIERS = ["retail", "prop", "market_maker"]
 BPS = 10000.0
 MARKOUT_MINUTES = 30
+# What a trade shares with its minute bar.
+BAR_KEYS = ("symbol", "ts_min")
 # Quantity precision by price band: mid > 1000 -> 4 dp, mid > 10 -> 2 dp, else 1 dp.
 QUANTITY_BANDS = [(1000.0, 4), (10.0, 2)]
 QUANTITY_FLOOR_PLACES = 1
@@ -76,13 +80,13 @@ def markout_pnl(sign: Column, fwd: Column, fill: Column, qty: Column, fee: Colum
     return sign * (fwd - fill) * qty - fee
 
 
-def with_bar(trades: DataFrame, bars: DataFrame, *columns: str) -> DataFrame:
+def with_bar(trades: DataFrame, bars: DataFrame, *columns: str, on: Sequence[str] = BAR_KEYS) -> DataFrame:
     """``columns`` of each trade's minute bar, by (symbol, ts_min); every trade is kept.
 
-    ``bars`` holds a minute once, so the left join repeats no trade.
+    ``bars`` holds a minute once, so the left join repeats no trade.  ``on`` adds
+    a storage key (``operators.cells``) that both sides carry.
     """
-    return trades.withColumn("ts_min", minute_of("ts")).join(
-        bars.select("symbol", "ts_min", *columns), on=["symbol", "ts_min"], how="left")
+    return trades.withColumn("ts_min", minute_of("ts")).join(bars.select(*on, *columns), on=list(on), how="left")
 
 
 def with_markout_pnl(df: DataFrame, bars: DataFrame, horizon_minutes: int = MARKOUT_MINUTES) -> DataFrame:
@@ -129,7 +133,8 @@ def costed_flow(raw: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     )
 
 
-def priced_labelled_trades(raw: DataFrame, accounts: DataFrame | None, bar_attrs: DataFrame) -> DataFrame:
+def priced_labelled_trades(raw: DataFrame, accounts: DataFrame | None, bar_attrs: DataFrame,
+                           on: Sequence[str] = BAR_KEYS) -> DataFrame:
     """Silver in one pass over the trade flow: costs, markout PnL and regime labels.
 
     ``bar_attrs`` is ``regimes.bar_table`` (labels + ``fwd_mid`` per bar), so the
@@ -142,7 +147,7 @@ def priced_labelled_trades(raw: DataFrame, accounts: DataFrame | None, bar_attrs
                       F.col("quantity"), F.col("fee_amount"))
     silver_cols = TRADE_COLUMNS + ["ts_min"] + BAR_LABEL_COLUMNS[2:] + ["net_pnl"]
     return (
-        with_bar(costed_flow(raw, accounts), bar_attrs, *BAR_LABEL_COLUMNS[2:], "fwd_mid")
+        with_bar(costed_flow(raw, accounts), bar_attrs, *BAR_LABEL_COLUMNS[2:], "fwd_mid", on=on)
         .withColumns({"realized_pnl": pnl, "net_pnl": pnl})
         .select(*silver_cols)
     )

@@ -29,11 +29,14 @@ from tradeflow.operators import (
     rank_accounts,
     vol_thresholds,
 )
+from tradeflow.operators.cells import counted_bars
 from tradeflow.operators.economics import storage_precision
 from tradeflow.operators.quality import with_failed_rules
+from tradeflow.operators.regimes import BAR_LABEL_COLUMNS
 from tradeflow.operators.rollups import gold_from_rollups, gold_rollups
+from tradeflow.plans.colocated import ColocatedLayers
 from tradeflow.plans.lineage import materialize
-from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
+from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, COUNTED_BAR_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
 from tradeflow.sinks.files import remove_partitions
 from tradeflow.sources import read_layer, read_trades_csv
@@ -77,6 +80,11 @@ class Layout:
     def features(self) -> str:
         return self._p("warehouse", "bar_features")
 
+    @property
+    def colocated(self) -> str:
+        """What the colocated form keeps beside bronze: labelled bars, cells, number of buckets."""
+        return self._p("warehouse", "colocated")
+
     @property
     def silver(self) -> str:
         return self._p("warehouse", "silver_trades")
@@ -101,19 +109,29 @@ class JobReport:
     bars_stored_by_ingest: bool = False
 
 
+def colocated_layers(spark: SparkSession, layout: Layout, **sizes: int) -> ColocatedLayers:
+    """The job's bronze as bucketed trades, with the labelled bars beside it."""
+    return ColocatedLayers(spark, layout.colocated, trades_path=layout.bronze, **sizes)
+
+
 def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: str | None = None,
-                  events_dir: str | None = None) -> None:
+                  events_dir: str | None = None, store: ColocatedLayers | None = None) -> None:
     """Raw trades -> bronze (partitioned by trade_date, time-ordered files).
 
     CSV input is typed with the declared schema; rows that do not parse (dates
     included) go to the parse quarantine, typed rows failing an expectation
     (N2) to the expectation quarantine, the rest to bronze.  The text is parsed
     once, into a staging table under the job's root with one folder per route;
-    the layers are written from it.
+    the layers are written from it.  With ``store`` bronze is dealt to buckets
+    that the bars share; the bars are then built here, because their counts say
+    how the trades are dealt.
     """
     if csv is not None:
         staged = stage_trades(spark, layout, csv)
-        write_layer(staged["good"], layout.bronze, ["trade_date"], sort_by=["ts"])
+        if store is not None:
+            write_bars(counted_bars(staged["good"]), layout)
+            report.bars_stored_by_ingest = True
+        write_bronze(spark, staged["good"], layout, store)
         staged["failed"].write.mode("overwrite").parquet(layout.quarantine_expectations)
         staged["bad"].write.mode("overwrite").parquet(layout.quarantine)
         report.counts.update({"ingested": staged["n"].get("good", 0), "quarantined": staged["n"].get("bad", 0)})
@@ -123,15 +141,24 @@ def ingest_bronze(spark: SparkSession, layout: Layout, report: JobReport, csv: s
         # and stored as the bars layer; bronze is priced against the stored copy.
         events = spark.read.parquet(f"{events_dir.rstrip('/')}/events.parquet")
         flow = trades_raw_from_events(events, with_tier=True)
-        write_bars(minute_bars(flow), layout)
+        write_bars(minute_bars(flow) if store is None else counted_bars(flow), layout)
         bars = read_layer(spark, layout.bars, BAR_LAYER_SCHEMA).drop("trade_date")
         # stored prices carry their storage precision
-        write_layer(storage_precision(priced_trades(flow, None, bars=bars)), layout.bronze, ["trade_date"], sort_by=["ts"])
+        write_bronze(spark, storage_precision(priced_trades(flow, None, bars=bars)), layout, store)
         report.bars_stored_by_ingest = True
     else:
         raise ValueError("give csv or events_dir")
 
 
+def write_bronze(spark: SparkSession, trades: DataFrame, layout: Layout, store: ColocatedLayers | None = None) -> None:
+    """Bronze by day; with ``store`` (whose bars are stored already) in buckets by cell."""
+    if store is None:
+        write_layer(trades, layout.bronze, ["trade_date"], sort_by=["ts"])
+    else:
+        store.plan(read_layer(spark, layout.bars, COUNTED_BAR_SCHEMA))
+        store.write_trades(trades)
+
+
 def stage_trades(spark: SparkSession, layout: Layout, csv: str) -> dict:
     """Parse a trades CSV once: routes ``good``, ``failed`` (an expectation) and ``bad`` (no parse), and counts."""
     parsed = read_trades_csv(spark, csv).parsed.withColumn("trade_date", F.col("trade_date").try_cast("date"))
@@ -150,7 +177,7 @@ def stage_trades(spark: SparkSession, layout: Layout, csv: str) -> dict:
     }
 
 
-def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame) -> None:
+def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame, store: ColocatedLayers | None = None) -> None:
     """Late or corrected trades into bronze, rewriting only the days they touch.
 
     Touched days are the late rows' days plus the days currently holding any
@@ -160,7 +187,8 @@ def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame) -> None:
     give the same winner on every run.  The result is staged under the job's
     root and written with dynamic partition overwrite; touched days that end
     up empty are removed, every other day's files stay as they are.  Downstream
-    layers are rebuilt from bronze as usual.
+    layers are rebuilt from bronze as usual.  With ``store`` the touched days are
+    dealt to its buckets again.
     """
     columns = BRONZE_SCHEMA.fieldNames()
     bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA).select(*columns)
@@ -174,7 +202,10 @@ def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame) -> None:
     latest = merged.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_late")
     staged = materialize(latest, "bronze_upsert", layout.staging)
     emptied = touched.join(staged.select("trade_date").distinct(), "trade_date", "left_anti").collect()
-    write_layer(staged, layout.bronze, ["trade_date"], sort_by=["ts"], dynamic=True)
+    if store is None:
+        write_layer(staged, layout.bronze, ["trade_date"], sort_by=["ts"], dynamic=True)
+    else:
+        store.replace_days(staged, counted_bars(staged))
     remove_partitions(spark, layout.bronze, [f"trade_date={r['trade_date']}" for r in emptied])
 
 
@@ -183,14 +214,17 @@ def write_bars(bars: DataFrame, layout: Layout) -> None:
                 sort_by=["symbol", "ts_min"])
 
 
-def build_bars(spark: SparkSession, layout: Layout, report: JobReport | None = None) -> None:
+def build_bars(spark: SparkSession, layout: Layout, report: JobReport | None = None, store: ColocatedLayers | None = None) -> None:
     """Bronze -> minute bars: the only pass over the trade volume before silver.
 
     Skipped when the ingest already stored them (events input).
     """
     if report is not None and report.bars_stored_by_ingest:
         return
-    write_bars(minute_bars(read_layer(spark, layout.bronze, BRONZE_SCHEMA)), layout)
+    bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)
+    write_bars(minute_bars(bronze) if store is None else counted_bars(bronze), layout)
+    if store is not None:
+        store.plan(read_layer(spark, layout.bars, COUNTED_BAR_SCHEMA), keep_buckets=True)
 
 
 def build_features(spark: SparkSession, layout: Layout) -> None:
@@ -200,10 +234,19 @@ def build_features(spark: SparkSession, layout: Layout) -> None:
     write_layer(feats, layout.features, ["trade_date"], sort_by=["symbol", "ts_min"])
 
 
-def build_silver(spark: SparkSession, layout: Layout) -> None:
-    """Features -> thresholds -> labelled bars -> labels on every trade."""
+def build_silver(spark: SparkSession, layout: Layout, store: ColocatedLayers | None = None) -> None:
+    """Features -> thresholds -> labelled bars -> labels on every trade.
+
+    With ``store`` the bars join the trades bucket by bucket, and silver is
+    written by the tasks that read them: the trades pass no exchange.
+    """
     feats = read_layer(spark, layout.features, FEATURE_SCHEMA).drop("trade_date")
     bars = label_bars(feats, vol_thresholds(feats))
+    if store is not None:
+        store.write_bars(bars.select(*BAR_LABEL_COLUMNS))
+        store.open_trades(BRONZE_SCHEMA)
+        write_layer(store.silver(), layout.silver, ["trade_date", "symbol"], sort_by=["ts"], rebalance=False)
+        return
     bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA)
     write_layer(attach_labels(bronze, bars), layout.silver, ["trade_date", "symbol"], sort_by=["ts"])
 
@@ -224,10 +267,11 @@ def build_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
             "daily_pnl_by_tier_trend": gold["gold_c"]}
 
 
-def upsert_late_csv(spark: SparkSession, layout: Layout, report: JobReport, late_csv: str) -> None:
+def upsert_late_csv(spark: SparkSession, layout: Layout, report: JobReport, late_csv: str,
+                    store: ColocatedLayers | None = None) -> None:
     """Late trades from a CSV through the same checks as the ingest, then an upsert into bronze."""
     staged = stage_trades(spark, layout, late_csv)
-    upsert_bronze(spark, layout, staged["good"])
+    upsert_bronze(spark, layout, staged["good"], store)
     staged["failed"].write.mode("append").parquet(layout.quarantine_expectations)
     staged["bad"].write.mode("append").parquet(layout.quarantine)
     n = staged["n"]
@@ -236,19 +280,25 @@ def upsert_late_csv(spark: SparkSession, layout: Layout, report: JobReport, late
 
 
 def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir: str | None = None,
-            late_csv: str | None = None) -> JobReport:
-    """Run every stage; with ``late_csv`` the bronze stage is an upsert instead of a load."""
+            late_csv: str | None = None, colocated: bool = False, **sizes: int) -> JobReport:
+    """Run every stage; with ``late_csv`` the bronze stage is an upsert instead of a load.
+
+    ``colocated`` stores bronze in buckets that the bars share
+    (``plans.colocated``; ``sizes`` are its cell and bucket sizes); a warehouse
+    loaded so is also updated so.
+    """
     layout = Layout(root)
     report = JobReport()
+    store = colocated_layers(spark, layout, **sizes) if colocated else None
     if late_csv is not None:
-        bronze_stage = lambda: upsert_late_csv(spark, layout, report, late_csv)
+        bronze_stage = lambda: upsert_late_csv(spark, layout, report, late_csv, store)
     else:
-        bronze_stage = lambda: ingest_bronze(spark, layout, report, csv=csv, events_dir=events_dir)
+        bronze_stage = lambda: ingest_bronze(spark, layout, report, csv=csv, events_dir=events_dir, store=store)
     stages = [
         ("bronze", bronze_stage),
-        ("bars", lambda: build_bars(spark, layout, report)),
+        ("bars", lambda: build_bars(spark, layout, report, store)),
         ("features", lambda: build_features(spark, layout)),
-        ("silver", lambda: build_silver(spark, layout)),
+        ("silver", lambda: build_silver(spark, layout, store)),
         ("gold", lambda: build_gold(spark, layout)),
     ]
     for name, stage in stages:
@@ -267,10 +317,12 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--csv", help="headered trades CSV (file, folder or glob)")
     src.add_argument("--events", help="folder holding events.parquet (fixture adapter)")
     src.add_argument("--late", help="CSV of late/corrected trades to upsert into an existing bronze")
+    p.add_argument("--colocated", action="store_true", help="bronze in buckets that the bars share")
     args = p.parse_args(argv)
     spark = make_session("tradeflow-job")
     t0 = time.perf_counter()
-    report = run_job(spark, args.root, csv=args.csv, events_dir=args.events, late_csv=args.late)
+    report = run_job(spark, args.root, csv=args.csv, events_dir=args.events, late_csv=args.late,
+                     colocated=args.colocated)
     print(f"[job] stages {report.seconds} counts {report.counts} total {time.perf_counter() - t0:.1f}s")
     spark.stop()
     return 0

@@ -8,6 +8,7 @@ are returned as TIMESTAMP_NTZ like the source table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +35,12 @@ from tradeflow.operators import (
     vol_thresholds,
 )
 from tradeflow.operators.quality import trade_expectations
+from tradeflow.operators.regimes import bar_table
+from tradeflow.operators.cells import counted_bars
 from tradeflow.operators.economics import (
     attach_account,
     costed_flow,
+    priced_labelled_trades,
     with_bar,
     with_base_size,
     with_costs,
@@ -45,6 +49,8 @@ from tradeflow.operators.economics import (
     with_markout_pnl,
     with_spread,
 )
+from tradeflow.plans.colocated import ColocatedLayers
+from tradeflow.plans.lineage import materialize, shared_checkpoint_dir
 
 # Fixed query arguments on the driver fixture.
 REGIME = "high"
@@ -141,13 +147,27 @@ def q_forward_markout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_silver_trades(spark: SparkSession, sf: str) -> DataFrame:
-    m = TradeModel(spark, sf)
-    df = _r(m.silver, 6, "fill_price", "mid_price", "fee_amount")
+    return _silver_rounded(TradeModel(spark, sf).silver)
+
+
+def _silver_rounded(silver: DataFrame) -> DataFrame:
+    df = _r(silver, 6, "fill_price", "mid_price", "fee_amount")
     df = _r(df, 4, "notional", "realized_pnl", "net_pnl")
     df = _r(df, 8, "vol_20", "sma_20", "sma_60")
     return _ntz(df, "ts", "ts_min")
 
 
+def q_silver_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    # silver from a colocated store of the flow and the bars: the join moves no trade
+    m = TradeModel(spark, sf)
+    store = ColocatedLayers(spark, f"{shared_checkpoint_dir(spark).rstrip('/')}/tradeflow/colocated-{uuid.uuid4().hex}")
+    counted = materialize(counted_bars(m.raw), "counted_bars")
+    store.plan(counted)
+    store.write_trades(m.flow)
+    store.write_bars(bar_table(counted.drop("n_trades")))
+    return _silver_rounded(priced_labelled_trades(store.trades, None, store.bars, on=store.keys))
+
+
 def q_regime_symbol_rollup(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
     return _r(_r(m.gold_a, 2, "gross_notional", "total_fees", "total_pnl"), 4,
@@ -261,6 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bar_regimes": q_bar_regimes,
     "forward_markout": q_forward_markout,
     "silver_trades": q_silver_trades,
+    "silver_colocated": q_silver_colocated,
     "regime_symbol_rollup": q_regime_symbol_rollup,
     "account_performance": q_account_performance,
     "account_ranking": q_account_ranking,

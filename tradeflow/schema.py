@@ -104,3 +104,6 @@ FEATURE_SCHEMA = StructType([
 ])
 
 BAR_LAYER_SCHEMA = StructType(BAR_SCHEMA.fields + [StructField("trade_date", DateType())])
+
+# Minute bars with the number of trades behind each.
+COUNTED_BAR_SCHEMA = StructType(BAR_LAYER_SCHEMA.fields + [StructField("n_trades", LongType())])

@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 
 
 def write_layer(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite",
-                sort_by: Sequence[str] = (), dynamic: bool = False) -> None:
+                sort_by: Sequence[str] = (), dynamic: bool = False, rebalance: bool = True) -> None:
     """K1/K2: write ``df`` as Parquet partitioned by ``keys``.
 
     ``sort_by`` orders rows inside each file (O5) so readers get time-ordered
     files and tighter min/max statistics; ``dynamic`` replaces only the
     partitions present in ``df`` instead of the whole dataset (D14).
+    ``rebalance=False`` writes the rows from the tasks that hold them, for a
+    ``df`` whose partitions are already cut by ``keys``.
     """
     keys = list(keys)
-    out = df.hint("rebalance", *keys) if keys else df
+    out = df.hint("rebalance", *keys) if keys and rebalance else df
     if sort_by:
         out = out.sortWithinPartitions(*keys, *sort_by)
     writer = out.write.mode(mode)
