@@ -82,7 +82,9 @@ def test_segment_trees_merge_leftmost_lowest():
 
 def test_codec_tables(spark):
     docs = documents(spark)
-    out = bpe.decode(bpe.encode(docs, WORD_BPE), WORD_BPE)
+    encoded = bpe.encode(docs, WORD_BPE)
+    out = bpe.decode(encoded, WORD_BPE)
+    assert sorted(out.collect(), key=str) == sorted(bpe.encode(docs, WORD_BPE, decoded=True).collect(), key=str)
     library = Tokenizer.from_file(WORD_BPE)
     want = []
     for r in docs.collect():

@@ -31,8 +31,10 @@ read.  There is no shuffle.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -230,24 +232,45 @@ class MergedWords(transducer.WordTokens):
         return self.slots[at][back]
 
 
-class Codec(transducer.Encoder):
+class Decoder:
+    """Texts of ids, equal to the library's decoding with special strings kept."""
+
+    def __init__(self, spec: dict):
+        vocab = spec["model"]["vocab"]
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.by_bytes = (spec.get("decoder") or {}).get("type") == "ByteLevel"
+        pieces: dict[int, str | bytes] = {i: s for s, i in vocab.items()} | {i: s for s, i in self.added.items()}
+        if self.by_bytes:
+            byte_of = {c: b for b, c in enumerate(byte_chars())}
+            pieces = {i: s.encode() if s in self.added else bytes(byte_of[c] for c in s) for i, s in pieces.items()}
+        self.pieces = pieces
+
+    def text_of(self, ids: np.ndarray) -> str:
+        found = [self.pieces[i] for i in ids.tolist() if i in self.pieces]
+        return b"".join(found).decode("utf-8", "replace") if self.by_bytes else " ".join(found)
+
+
+class Codec(transducer.Encoder, Decoder):
     """Ids of whole texts and texts of ids, equal to the library's."""
 
     def __init__(self, path: str, pattern: str):
-        super().__init__(path, pattern)
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec = _spec(path)
+        Decoder.__init__(self, spec)
+        self.path, self.special, self.dense = path, list(self.added), pattern == "dense"
+        self.transducer = transducer.Transducer(transducer._dense if self.dense else transducer._spaced)
+        self.classes = transducer.char_classes()
         self.merges = Merges(spec["model"])
         self.words = MergedWords(self.merges)
-        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cuts = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")")
-        self.by_bytes = (spec.get("decoder") or {}).get("type") == "ByteLevel"
-        byte_of = {c: b for b, c in enumerate(byte_chars())}
-        self.byte_of = str.maketrans({c: chr(b) for c, b in byte_of.items()})
-        pieces = {i: s for s, i in spec["model"]["vocab"].items()} | {i: s for s, i in self.added.items()}
-        self.pieces: dict[int, str | bytes] = pieces
-        if self.by_bytes:
-            self.pieces = {i: s.encode() if s in self.added else bytes(byte_of[c] for c in s) for i, s in pieces.items()}
+        self.byte_of = str.maketrans({c: chr(b) for b, c in enumerate(byte_chars())})
+
+    @cached_property
+    def tokenizer(self):
+        """The library's tokenizer, loaded for the first text with a character of unsure class."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def ids_of(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -290,9 +313,10 @@ class Codec(transducer.Encoder):
         words = [w.translate(self.byte_of).encode("latin-1") for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text) if w]
         return merge_words(words, self.merges)[0]
 
-    def text_of(self, ids: np.ndarray) -> str:
-        found = [self.pieces[i] for i in ids.tolist() if i in self.pieces]
-        return b"".join(found).decode("utf-8", "replace") if self.by_bytes else " ".join(found)
+
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
@@ -305,18 +329,25 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+_decoders: dict[str, Decoder] = {}
+
+
+def encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str, decoded: bool) -> Iterator[pa.RecordBatch]:
     own = codec(path, pattern)
     for batch in batches:
         for part in slices(batch):
             ids = own.ids_of(transducer.texts_of(part["text"]))
-            yield pa.RecordBatch.from_arrays(
-                [part["key"], pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["key", "n_tokens", "ids"])
+            columns = [part["key"], pa.array([len(x) for x in ids], pa.int64()),
+                       pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())]
+            if decoded:
+                columns.append(pa.array([own.text_of(x) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n_tokens", "ids", "decoded"][:len(columns)])
 
 
-def decode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    own = codec(path, pattern)
+def decode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    if path not in _decoders:
+        _decoders[path] = Decoder(_spec(path))
+    own = _decoders[path]
     for batch in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(batch["ids"]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         cuts = np.unique(size // SLICE, return_index=True)[1].tolist()
@@ -326,15 +357,19 @@ def decode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -
                                              names=["key", "n_tokens", "ids", "decoded"])
 
 
-def encode(docs: DataFrame, path: str, pattern: str = "dense", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, n_tokens and ids (little-endian unsigned 32-bit integers as binary) of each row."""
+def encode(docs: DataFrame, path: str, pattern: str = "dense", key: str = "doc_id", text: str = "text",
+           decoded: bool = False) -> DataFrame:
+    """``key``, n_tokens and ids (little-endian unsigned 32-bit integers as binary) of each row.
+
+    ``decoded`` adds the text that the ids decode to, in the same task.
+    """
     rows = docs.select(F.col(key).cast("long").alias("key"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(arrow_task(encode_batches, path=path, pattern=pattern), "key long, n_tokens long, ids binary"
-                           ).withColumnRenamed("key", key)
+    schema = "key long, n_tokens long, ids binary" + (", decoded string" if decoded else "")
+    return rows.mapInArrow(arrow_task(encode_batches, path=path, pattern=pattern, decoded=decoded), schema).withColumnRenamed("key", key)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str = "dense", key: str = "doc_id") -> DataFrame:
+def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """The rows of ``encode`` with their text, ``decoded``."""
     rows = encoded.select(F.col(key).cast("long").alias("key"), "n_tokens", "ids")
-    return rows.mapInArrow(arrow_task(decode_batches, path=path, pattern=pattern),
+    return rows.mapInArrow(arrow_task(decode_batches, path=path),
                            "key long, n_tokens long, ids binary, decoded string").withColumnRenamed("key", key)

@@ -93,8 +93,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    both = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decoded=True)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
