@@ -54,6 +54,8 @@ SCALE, LEAST_DOCS, MOST_TERMS = 1_000_000_000, 3, 200
 #: bits of the bitmap of repeated hashes: 8 MB at any size
 BITMAP_BITS = 26
 BITMAP_ROW = 32_768
+#: bytes of text counted at once
+SLICE = 4 << 20
 
 # [^\x00-\x40\x5B-\x60\x7B-\x7F]+
 LETTER = np.zeros(256, bool)
@@ -113,42 +115,58 @@ def _emit(lang: pa.Array, source: pa.Array, term: pa.Array, count, docs) -> pa.R
         names=["lang", "source", "term", "count", "docs"])
 
 
+def _counted(texts: pa.Array, langs: pa.Array, sources: pa.Array, copies: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    """Group counts of texts, the i-th of which the next ``size[i]`` sources hold ``copies`` times each."""
+    terms, text, place, times = term_counts(texts)
+    # a row for each term of a text and each source that holds the text
+    reach = size[text]
+    row = np.repeat(np.arange(len(text)), reach)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(reach) - reach, reach)
+    at = (np.cumsum(size) - size)[text[row]] + step
+    langs, sources = pc.dictionary_encode(langs), pc.dictionary_encode(sources)
+    n_terms, n_sources = max(len(terms), 1), max(len(sources.dictionary), 1)
+    group = langs.indices.to_numpy()[text[row]].astype(np.int64) * n_sources + sources.indices.to_numpy()[at]
+    both, back = np.unique(group * n_terms + place[row], return_inverse=True)
+    held = copies[at]
+    count, docs = np.zeros(len(both), np.int64), np.zeros(len(both), np.int64)
+    np.add.at(count, back, times[row] * held)
+    np.add.at(docs, back, held)
+    group, term = both // n_terms, both % n_terms
+    return _emit(langs.dictionary.take(pa.array(group // n_sources)), sources.dictionary.take(pa.array(group % n_sources)),
+                 terms.take(pa.array(term)), count, docs)
+
+
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term, count, docs) of texts with a list of sources and copies each."""
     for batch in batches:
-        for part in textscan.slices(batch):
-            terms, text, place, times = term_counts(part["text"])
-            copies = part["copies"]
-            flat, ends = copies.flatten(), copies.offsets.to_numpy().astype(np.int64)
-            begin, size = ends[:-1] - ends[0], np.diff(ends)
-            # a row for each term of a text and each source that holds the text
-            reach = size[text]
-            row = np.repeat(np.arange(len(text)), reach)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(reach) - reach, reach)
-            at = begin[text[row]] + step
-            langs = pc.dictionary_encode(part["lang"])
-            sources = pc.dictionary_encode(flat.field("source"))
-            times_held = flat.field("n").to_numpy(zero_copy_only=False)
-            n_terms, n_sources = max(len(terms), 1), max(len(sources.dictionary), 1)
-            group = langs.indices.to_numpy()[text[row]].astype(np.int64) * n_sources + sources.indices.to_numpy()[at]
-            both, back = np.unique(group * n_terms + place[row], return_inverse=True)
-            held = times_held[at]
-            count, docs = np.zeros(len(both), np.int64), np.zeros(len(both), np.int64)
-            np.add.at(count, back, times[row] * held)
-            np.add.at(docs, back, held)
-            group, term = both // n_terms, both % n_terms
-            yield _emit(langs.dictionary.take(pa.array(group // n_sources)), sources.dictionary.take(pa.array(group % n_sources)),
-                        terms.take(pa.array(term)), count, docs)
-
-
-def send_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each text (lang, hash) and source of the task; its text goes with the first of them."""
+        for part in textscan.slices(batch, limit=SLICE):
+            flat = part["copies"].flatten()
+            yield _counted(part["text"], part["lang"], flat.field("source"), flat.field("n").to_numpy(zero_copy_only=False),
+                           np.diff(part["copies"].offsets.to_numpy().astype(np.int64)))
+
+
+def _repeated(batch: pa.RecordBatch, bitmap, bits: int) -> np.ndarray:
+    """Whether the bitmap has each row's hash."""
+    at = batch["a"].to_numpy() & ((1 << bits) - 1)
+    return (bitmap.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def alone_batches(batches: Iterator[pa.RecordBatch], bitmap, bits: int) -> Iterator[pa.RecordBatch]:
+    """The counts of the texts that no other row holds."""
+    for batch in batches:
+        for part in textscan.slices(batch.filter(pa.array(~_repeated(batch, bitmap, bits))), limit=SLICE):
+            one = np.ones(part.num_rows, np.int64)
+            yield _counted(part["text"], part["lang"], part["source"], one, one)
+
+
+def send_batches(batches: Iterator[pa.RecordBatch], bitmap, bits: int) -> Iterator[pa.RecordBatch]:
+    """Of the texts that may repeat, one row for each source of the task; its text goes with the first of them."""
     sent: set[tuple] = set()
     for batch in batches:
-        for part in textscan.slices(batch):
+        for part in textscan.slices(batch.filter(pa.array(_repeated(batch, bitmap, bits))), limit=SLICE):
             copies: dict[tuple, list] = {}
-            for i, (lang, a, b, source) in enumerate(zip(*(part[c].to_pylist() for c in ("lang", "a", "b", "source")), strict=True)):
-                copies.setdefault((lang, a, b, source), [i, 0])[1] += 1
+            for i, key in enumerate(zip(*(part[c].to_pylist() for c in ("lang", "a", "b", "source")), strict=True)):
+                copies.setdefault(key, [i, 0])[1] += 1
             rows = [i for i, _ in copies.values()]
             first = []
             for lang, a, b, _ in copies:
@@ -174,14 +192,6 @@ def repeats_bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return out
 
 
-def split_batches(batches: Iterator[pa.RecordBatch], bitmap, bits: int, repeated: bool) -> Iterator[pa.RecordBatch]:
-    """The rows whose hash is in the bitmap, or the others."""
-    for batch in batches:
-        at = batch["a"].to_numpy() & ((1 << bits) - 1)
-        hit = (bitmap.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-        yield batch.filter(pa.array(hit if repeated else ~hit))
-
-
 def group_terms(docs: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
     """(lang, source, term, count, docs): occurrences of each term and documents that hold it, in every group."""
     def own(name):
@@ -192,16 +202,14 @@ def group_terms(docs: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
                        F.xxhash64(F.lit(29), F.col("text"), F.length("text")).alias("b"))
     bitmap = docs.sparkSession.sparkContext.broadcast(repeats_bitmap(rows.select("lang", "a", "b"), bits))
 
-    def part(repeated):
-        return rows.mapInArrow(arrow_task(split_batches, bitmap=bitmap, bits=bits, repeated=repeated), rows.schema)
-
+    known = {"bitmap": bitmap, "bits": bits}
     counted = "lang string, source string, term string, count long, docs long"
-    alone = part(False).select("lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("n"))).alias("copies"))
+    alone = rows.select("lang", "source", "text", "a").mapInArrow(arrow_task(alone_batches, **known), counted)
     # a text's rows: at most one for each task and source
-    sent = part(True).mapInArrow(arrow_task(send_batches), "lang string, a long, b long, source string, text string, n long")
+    sent = rows.mapInArrow(arrow_task(send_batches, **known), "lang string, a long, b long, source string, text string, n long")
     several = sent.groupBy("lang", "a", "b").agg(
         F.max("text").alias("text"), F.collect_list(F.struct("source", "n")).alias("copies")).select("lang", "text", "copies")
-    both = alone.mapInArrow(arrow_task(count_batches), counted).unionByName(several.mapInArrow(arrow_task(count_batches), counted))
+    both = alone.unionByName(several.mapInArrow(arrow_task(count_batches), counted))
     return both.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
