@@ -305,5 +305,11 @@ SELECT vol_regime, trend_regime, count(*) AS n_trades,
        count(*) FILTER (WHERE trend_regime <> 'unknown') AS n_in_trend_gold
 FROM silver GROUP BY vol_regime, trend_regime"""),
 }
-# the same rows from a colocated store
+# the same rows from a colocated store, from merged blocks and from merged days
 SQL["silver_colocated"] = SQL["silver_trades"]
+SQL["vol_thresholds_merged"] = SQL["vol_thresholds"]
+SQL["regime_symbol_merged"] = SQL["regime_symbol_rollup"]
+SQL["account_performance_merged"] = SQL["account_performance"]
+SQL["distinct_accounts_range"] = with_("silver", """
+SELECT tier, vol_regime, count(DISTINCT account_id) AS n_accounts FROM silver
+WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-20' GROUP BY tier, vol_regime""")

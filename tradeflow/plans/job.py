@@ -8,6 +8,7 @@ once although both the thresholds and the labels read them.
     python -m tradeflow.plans.job --root /data/tradeflow --csv /landing/trades/*.csv
     python -m tradeflow.plans.job --root /data/tradeflow --events /root/testdata/sf0.1
     python -m tradeflow.plans.job --root /data/tradeflow --late /landing/late/*.csv
+    python -m tradeflow.plans.job --root /data/tradeflow --late /landing/late/*.csv --by-delta
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import argparse
 import sys
 import time
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -177,8 +179,8 @@ def stage_trades(spark: SparkSession, layout: Layout, csv: str) -> dict:
     }
 
 
-def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame, store: ColocatedLayers | None = None) -> None:
-    """Late or corrected trades into bronze, rewriting only the days they touch.
+def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame, store: ColocatedLayers | None = None) -> list[date]:
+    """Late or corrected trades into bronze, rewriting only the days they touch; returns those days.
 
     Touched days are the late rows' days plus the days currently holding any
     of their trade ids (a corrected timestamp can move a trade to another
@@ -201,12 +203,14 @@ def upsert_bronze(spark: SparkSession, layout: Layout, late: DataFrame, store: C
         F.col("_late").desc(), F.col("ts").desc(), F.struct(*[c for c in columns if c != "ts"]).desc())
     latest = merged.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_late")
     staged = materialize(latest, "bronze_upsert", layout.staging)
-    emptied = touched.join(staged.select("trade_date").distinct(), "trade_date", "left_anti").collect()
+    days = [r["trade_date"] for r in touched.orderBy("trade_date").collect()]
+    held = {r["trade_date"] for r in staged.select("trade_date").distinct().collect()}
     if store is None:
         write_layer(staged, layout.bronze, ["trade_date"], sort_by=["ts"], dynamic=True)
     else:
         store.replace_days(staged, counted_bars(staged))
-    remove_partitions(spark, layout.bronze, [f"trade_date={r['trade_date']}" for r in emptied])
+    remove_partitions(spark, layout.bronze, [f"trade_date={d}" for d in days if d not in held])
+    return days
 
 
 def write_bars(bars: DataFrame, layout: Layout) -> None:
@@ -309,6 +313,7 @@ def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir:
 
 
 def main(argv: list[str] | None = None) -> int:
+    from tradeflow.plans.incremental import build_increments, refresh
     from tradeflow.session import make_session
 
     p = argparse.ArgumentParser(description="raw -> bronze -> features -> silver -> gold")
@@ -317,12 +322,18 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--csv", help="headered trades CSV (file, folder or glob)")
     src.add_argument("--events", help="folder holding events.parquet (fixture adapter)")
     src.add_argument("--late", help="CSV of late/corrected trades to upsert into an existing bronze")
+    p.add_argument("--by-delta", action="store_true",
+                   help="keep what merges by day; with --late rebuild only what the file touches")
     p.add_argument("--colocated", action="store_true", help="bronze in buckets that the bars share")
     args = p.parse_args(argv)
     spark = make_session("tradeflow-job")
     t0 = time.perf_counter()
-    report = run_job(spark, args.root, csv=args.csv, events_dir=args.events, late_csv=args.late,
-                     colocated=args.colocated)
+    if args.by_delta and args.late:
+        report = refresh(spark, args.root, args.late)
+    else:
+        report = run_job(spark, args.root, csv=args.csv, events_dir=args.events, late_csv=args.late, colocated=args.colocated)
+        if args.by_delta:
+            build_increments(spark, Layout(args.root))
     print(f"[job] stages {report.seconds} counts {report.counts} total {time.perf_counter() - t0:.1f}s")
     spark.stop()
     return 0

@@ -36,7 +36,10 @@ from tradeflow.operators import (
 )
 from tradeflow.operators.quality import trade_expectations
 from tradeflow.operators.regimes import bar_table
+from tradeflow.operators.bitmaps import account_bitmaps, distinct_accounts, number_accounts
 from tradeflow.operators.cells import counted_bars
+from tradeflow.operators.daily import daily_rollups, gold_a_from_daily, performance_from_daily
+from tradeflow.operators.vol_blocks import thresholds_from_blocks, vol_blocks
 from tradeflow.operators.economics import (
     attach_account,
     costed_flow,
@@ -168,6 +171,28 @@ def q_silver_colocated(spark: SparkSession, sf: str) -> DataFrame:
     return _silver_rounded(priced_labelled_trades(store.trades, None, store.bars, on=store.keys))
 
 
+def q_vol_thresholds_merged(spark: SparkSession, sf: str) -> DataFrame:
+    m = TradeModel(spark, sf)
+    blocks = materialize(vol_blocks(m.features.withColumn("trade_date", F.to_date("ts_min"))), "vol_blocks")
+    return _r(thresholds_from_blocks(blocks), 8, "vol_lo", "vol_hi")
+
+
+def q_regime_symbol_merged(spark: SparkSession, sf: str) -> DataFrame:
+    merged = gold_a_from_daily(materialize(daily_rollups(TradeModel(spark, sf).silver), "daily_rollups"))
+    return _r(_r(merged, 2, "gross_notional", "total_fees", "total_pnl"), 4, "avg_pnl_per_trade", "pnl_stddev")
+
+
+def q_account_performance_merged(spark: SparkSession, sf: str) -> DataFrame:
+    merged = performance_from_daily(materialize(daily_rollups(TradeModel(spark, sf).silver), "daily_rollups"))
+    return _r(merged, 2, "total_pnl", "gross_notional", "total_fees")
+
+
+def q_distinct_accounts_range(spark: SparkSession, sf: str) -> DataFrame:
+    silver = materialize(TradeModel(spark, sf).silver.select("trade_date", "tier", "vol_regime", "account_id").distinct(), "seen")
+    bitmaps = materialize(account_bitmaps(silver, materialize(number_accounts(silver), "account_numbers")), "account_bitmaps")
+    return distinct_accounts(bitmaps, start=Q3_START, end=Q3_END)
+
+
 def q_regime_symbol_rollup(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
     return _r(_r(m.gold_a, 2, "gross_notional", "total_fees", "total_pnl"), 4,
@@ -282,6 +307,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forward_markout": q_forward_markout,
     "silver_trades": q_silver_trades,
     "silver_colocated": q_silver_colocated,
+    "vol_thresholds_merged": q_vol_thresholds_merged,
+    "regime_symbol_merged": q_regime_symbol_merged,
+    "account_performance_merged": q_account_performance_merged,
+    "distinct_accounts_range": q_distinct_accounts_range,
     "regime_symbol_rollup": q_regime_symbol_rollup,
     "account_performance": q_account_performance,
     "account_ranking": q_account_ranking,
