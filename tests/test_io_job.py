@@ -47,6 +47,8 @@ def test_job_round_trip_from_csv(spark, scratch_dir):
     root = os.path.join(scratch_dir, "wh")
     report = run_job(spark, root, csv=path)
     assert report.counts == {"ingested": 2, "quarantined": 1}
+    # nothing stays of the run but its layers
+    assert os.listdir(os.path.join(root, "staging")) == []
     layout = Layout(root)
     bronze = spark.read.parquet(layout.bronze)
     assert isinstance(bronze.schema["trade_date"].dataType, DateType)
@@ -94,6 +96,13 @@ def test_external_and_managed_tables(spark, scratch_dir):
     assert spark.table("managed_layer").filter("part = 'y'").count() == 1
 
 
+def test_layers_are_snappy(spark, scratch_dir):
+    path = os.path.join(scratch_dir, "layer")
+    write_layer(spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("part")), path, ["part"])
+    files = [f for f in os.listdir(os.path.join(path, "part=x")) if f.endswith(".parquet")]
+    assert files and all(f.endswith(".snappy.parquet") for f in files)
+
+
 def test_write_layer_sorts_within_files(spark, scratch_dir):
     path = os.path.join(scratch_dir, "sorted")
     df = spark.range(0, 1000).select(F.lit("d").alias("day"), (F.lit(999) - F.col("id")).alias("t"))

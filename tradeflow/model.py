@@ -78,22 +78,22 @@ class TradeModel:
         return bar_features(materialize(self.bars, "minute_bars"), chunk_rows=self.chunk_rows)
 
     @cached_property
-    def _bar_inputs(self) -> DataFrame:
-        # read by the thresholds (twice) and by the labels
-        return materialize(forward_mid(self.features), "bar_features")
+    def _stored_features(self) -> DataFrame:
+        # read by the thresholds (twice), by the labels and by the forward mid
+        return materialize(self.features, "bar_features")
 
     @cached_property
     def thresholds(self) -> DataFrame:
-        return vol_thresholds(self._bar_inputs)
+        return vol_thresholds(self._stored_features)
 
     @cached_property
     def bar_attrs(self) -> DataFrame:
-        """Labels and forward mid of every bar."""
-        return label_bars(self._bar_inputs, self.thresholds)
+        """Labels and forward mid of every bar; a query that reads no PnL computes no forward mid."""
+        return label_bars(forward_mid(self._stored_features), self.thresholds)
 
-    @property
+    @cached_property
     def labelled_bars(self) -> DataFrame:
-        return self.bar_attrs.drop("fwd_mid")
+        return label_bars(self._stored_features, self.thresholds)
 
     @cached_property
     def silver(self) -> DataFrame:

@@ -13,7 +13,7 @@ from tradeflow.operators.economics import (
     with_spread,
 )
 from tradeflow.operators.markout import forward_mid
-from tradeflow.operators.ranking import rank_accounts, top_accounts, top_in_regime, top_n_per_group
+from tradeflow.operators.ranking import leading_accounts, rank_accounts, top_accounts, top_in_regime, top_n_per_group
 from tradeflow.operators.regimes import (
     attach_labels,
     label_bars,

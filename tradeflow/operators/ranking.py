@@ -118,3 +118,18 @@ def top_accounts(ranking: DataFrame, regime: str, symbol: str, n: int = 10) -> D
         .orderBy(F.col("pnl_rank").asc(), F.col("account_id").asc())
         .limit(n)
     )
+
+
+def leading_accounts(perf: DataFrame, regime: str, symbol: str, n: int = 10, value: str = "total_pnl",
+                     tiebreak: str = "account_id") -> DataFrame:
+    """O6 without a full ranking: ``top_accounts`` of ``rank_accounts``, from the group's first ``n`` rows.
+
+    The first rows of the order are cut per task before they meet (a
+    WindowGroupLimit); ranks among them are those of the whole group, because
+    all rows before them are there.
+    """
+    group = perf.filter((F.col("vol_regime") == regime) & (F.col("symbol") == symbol))
+    best = F.col(value).desc_nulls_last()
+    rows = Window.partitionBy(*RANK_KEYS).orderBy(best, F.col(tiebreak).asc_nulls_first())
+    first = group.withColumn("pnl_row_num", F.row_number().over(rows).cast("long")).filter(F.col("pnl_row_num") <= n)
+    return first.withColumn("pnl_rank", F.dense_rank().over(Window.partitionBy(*RANK_KEYS).orderBy(best)).cast("long"))

@@ -28,7 +28,7 @@ from tradeflow.operators import attach_labels, bar_features, label_bars, minute_
 from tradeflow.operators.bitmaps import account_bitmaps, number_accounts
 from tradeflow.operators.daily import daily_rollups, gold_a_from_daily, gold_c_from_daily, performance_from_daily
 from tradeflow.operators.vol_blocks import thresholds_from_blocks, vol_blocks
-from tradeflow.plans.job import JobReport, Layout, stage_trades, upsert_bronze, write_bars
+from tradeflow.plans.job import JobReport, Layout, clear_staging, stage_trades, upsert_bronze, write_bars
 from tradeflow.plans.lineage import join_null_safe, materialize
 from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
@@ -52,11 +52,12 @@ class IncrementLayout:
     def __init__(self, layout: Layout):
         at = f"{layout.root.rstrip('/')}/warehouse/increments"
         self.blocks, self.daily, self.bitmaps = f"{at}/vol_blocks", f"{at}/daily_rollups", f"{at}/account_bitmaps"
+        self.staging = layout.staging
         self._versions = {"thresholds": f"{at}/thresholds", "numbers": f"{at}/account_numbers"}
 
     def replace(self, df: DataFrame, name: str) -> None:
         """Store a small table that the same run may have read: staged before it is overwritten."""
-        materialize(df, name, f"{self._versions[name]}-staging").write.mode("overwrite").parquet(self._versions[name])
+        materialize(df, name, self.staging).write.mode("overwrite").parquet(self._versions[name])
 
     def read(self, spark: SparkSession, name: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(self._versions[name])
@@ -71,9 +72,9 @@ def _stored_days(df: DataFrame) -> set[datetime.date]:
     return {r["trade_date"] for r in df.select("trade_date").distinct().collect()}
 
 
-def _replace_days(df: DataFrame, path: str, days: Iterable[datetime.date], sort_by: Sequence[str]) -> None:
+def _replace_days(df: DataFrame, path: str, days: Iterable[datetime.date], sort_by: Sequence[str], layout: Layout) -> None:
     """Replace ``days`` of a layer by ``df``'s; days that ``df`` does not hold are removed."""
-    staged = materialize(df, "days", f"{path}-staging")
+    staged = materialize(df, "days", layout.staging)
     write_layer(staged, path, ["trade_date"], sort_by=sort_by, dynamic=True)
     gone = set(days) - _stored_days(staged)
     remove_partitions(df.sparkSession, path, [f"trade_date={d}" for d in sorted(gone)])
@@ -114,14 +115,14 @@ def refresh_bars(spark: SparkSession, layout: Layout, touched: Days) -> list[dat
     """Bars and features after a change of the touched days; the days whose features changed."""
     bronze = read_layer(spark, layout.bronze, BRONZE_SCHEMA).filter(on_days(touched))
     bars = minute_bars(bronze).withColumn("trade_date", F.to_date("ts_min"))
-    _replace_days(bars, layout.bars, touched, ["symbol", "ts_min"])
+    _replace_days(bars, layout.bars, touched, ["symbol", "ts_min"], layout)
     stored = read_layer(spark, layout.bars, BAR_LAYER_SCHEMA)
     following = days_within(stored.select("symbol", "trade_date"), touched)
     changed = sorted({*touched, *following})
     context = days_within(stored.select("symbol", "trade_date"), changed, after=False)
     read = stored.filter(on_days(sorted({*changed, *context})))
-    features = bar_features(materialize(read, "bars", f"{layout.staging}/refresh")).filter(on_days(changed))
-    _replace_days(features, layout.features, changed, ["symbol", "ts_min"])
+    features = bar_features(materialize(read, "bars", layout.staging)).filter(on_days(changed))
+    _replace_days(features, layout.features, changed, ["symbol", "ts_min"], layout)
     return changed
 
 
@@ -129,9 +130,9 @@ def refresh_thresholds(spark: SparkSession, layout: Layout, changed: Days) -> li
     """Blocks of the changed days, thresholds merged from all; the symbols whose thresholds changed."""
     own = IncrementLayout(layout)
     features = read_layer(spark, layout.features, FEATURE_SCHEMA).filter(on_days(changed))
-    _replace_days(vol_blocks(features), own.blocks, changed, ["lo"])
+    _replace_days(vol_blocks(features), own.blocks, changed, ["lo"], layout)
     before = own.read(spark, "thresholds", THRESHOLD_SCHEMA)
-    after = materialize(thresholds_from_blocks(spark.read.schema(BLOCK_SCHEMA).parquet(own.blocks)), "thresholds", f"{layout.staging}/refresh")
+    after = materialize(thresholds_from_blocks(spark.read.schema(BLOCK_SCHEMA).parquet(own.blocks)), "thresholds", layout.staging)
     # a symbol is the unit of a price series: a list of names
     moved = after.exceptAll(before).select("symbol").unionByName(before.exceptAll(after).select("symbol")).distinct().collect()
     own.replace(after, "thresholds")
@@ -148,7 +149,7 @@ def refresh_silver(spark: SparkSession, layout: Layout, changed: Days, symbols:
     trades = bronze.filter(mine)
     bars = label_bars(features.filter(mine).drop("trade_date"), own.read(spark, "thresholds", THRESHOLD_SCHEMA))
     stored = read_layer(spark, layout.silver, SILVER_SCHEMA).filter(mine).select("trade_date", "symbol").distinct().collect()
-    staged = materialize(attach_labels(trades, bars).select(*SILVER_SCHEMA.fieldNames()), "silver", f"{layout.staging}/refresh")
+    staged = materialize(attach_labels(trades, bars).select(*SILVER_SCHEMA.fieldNames()), "silver", layout.staging)
     held = {(r["trade_date"], r["symbol"]) for r in staged.select("trade_date", "symbol").distinct().collect()}
     write_layer(staged, layout.silver, ["trade_date", "symbol"], sort_by=["ts"], dynamic=True)
     gone = {(r["trade_date"], r["symbol"]) for r in stored} - held
@@ -161,9 +162,9 @@ def refresh_daily(spark: SparkSession, layout: Layout, days: Days) -> None:
     """Roll-ups and account bitmaps of ``days``, from their silver alone."""
     own = IncrementLayout(layout)
     silver = read_layer(spark, layout.silver, SILVER_SCHEMA).filter(on_days(days))
-    _replace_days(daily_rollups(silver), own.daily, days, ["rollup"])
+    _replace_days(daily_rollups(silver), own.daily, days, ["rollup"], layout)
     own.replace(number_accounts(silver, own.read(spark, "numbers", NUMBER_SCHEMA)), "numbers")
-    _replace_days(account_bitmaps(silver, own.read(spark, "numbers", NUMBER_SCHEMA)), own.bitmaps, days, ["tier"])
+    _replace_days(account_bitmaps(silver, own.read(spark, "numbers", NUMBER_SCHEMA)), own.bitmaps, days, ["tier"], layout)
 
 
 def read_daily(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -182,6 +183,18 @@ def merge_gold(spark: SparkSession, layout: Layout) -> None:
     write_layer(gold_c_from_daily(daily), layout.gold_daily, ["trade_date"])
 
 
+def refresh_days(spark: SparkSession, layout: Layout, touched: Days) -> dict[str, int]:
+    """All layers below bronze after a change of the touched days; how much was rebuilt."""
+    if not touched:
+        return {}
+    changed = refresh_bars(spark, layout, touched)
+    symbols = refresh_thresholds(spark, layout, changed)
+    days = refresh_silver(spark, layout, changed, symbols)
+    refresh_daily(spark, layout, days)
+    merge_gold(spark, layout)
+    return {"changed_days": len(changed), "moved_thresholds": len(symbols), "silver_days": len(days)}
+
+
 def refresh(spark: SparkSession, root: str, late_csv: str, report: JobReport | None = None) -> JobReport:
     """A late CSV into a warehouse that has its increments (``build_increments``)."""
     layout, report = Layout(root), report or JobReport()
@@ -190,11 +203,6 @@ def refresh(spark: SparkSession, root: str, late_csv: str, report: JobReport | N
     staged["failed"].write.mode("append").parquet(layout.quarantine_expectations)
     staged["bad"].write.mode("append").parquet(layout.quarantine)
     report.counts.update({"late": staged["n"].get("good", 0), "touched_days": len(touched)})
-    if touched:
-        changed = refresh_bars(spark, layout, touched)
-        symbols = refresh_thresholds(spark, layout, changed)
-        days = refresh_silver(spark, layout, changed, symbols)
-        refresh_daily(spark, layout, days)
-        merge_gold(spark, layout)
-        report.counts.update({"changed_days": len(changed), "moved_thresholds": len(symbols), "silver_days": len(days)})
+    report.counts.update(refresh_days(spark, layout, touched))
+    clear_staging(spark, layout)
     return report

@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import sys
 import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -48,9 +49,10 @@ from tradeflow.sources.fixtures import trades_raw_from_events
 
 @dataclass
 class Layout:
-    """Paths of every layer under one root (any Hadoop URI)."""
+    """Paths of every layer under one root (any Hadoop URI), and one run's folder for intermediate results."""
 
     root: str
+    run: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -71,8 +73,8 @@ class Layout:
 
     @property
     def staging(self) -> str:
-        """Intermediate results of a run, shared like every layer."""
-        return self._p("staging")
+        """Intermediate results of this run, shared like every layer; removed by ``clear_staging``."""
+        return self._p("staging", self.run)
 
     @property
     def bars(self) -> str:
@@ -104,6 +106,11 @@ class Layout:
         return self._p("warehouse", "gold", "daily_pnl_by_tier_trend")
 
 
+def clear_staging(spark: SparkSession, layout: Layout) -> None:
+    """Remove the run's intermediate results, once the layers that read them are written."""
+    remove_partitions(spark, f"{layout.root.rstrip('/')}/staging", [layout.run])
+
+
 @dataclass
 class JobReport:
     counts: dict[str, int] = field(default_factory=dict)
@@ -163,8 +170,12 @@ def write_bronze(spark: SparkSession, trades: DataFrame, layout: Layout, store:
 
 def stage_trades(spark: SparkSession, layout: Layout, csv: str) -> dict:
     """Parse a trades CSV once: routes ``good``, ``failed`` (an expectation) and ``bad`` (no parse), and counts."""
-    parsed = read_trades_csv(spark, csv).parsed.withColumn("trade_date", F.col("trade_date").try_cast("date"))
-    checked = with_failed_rules(parsed)
+    return route_trades(read_trades_csv(spark, csv).parsed, layout)
+
+
+def route_trades(parsed: DataFrame, layout: Layout) -> dict:
+    """Store parsed trades once, by route; see ``stage_trades``."""
+    checked = with_failed_rules(parsed.withColumn("trade_date", F.col("trade_date").try_cast("date")))
     route = F.when(F.col("_bad"), "bad").when(F.col("failed_rules").isNotNull(), "failed").otherwise("good")
     stored = materialize(checked.withColumn("_route", route), "trades", layout.staging)
     routes = {name: stored.filter(F.col("_route") == name).drop("_route", "_bad") for name in ("good", "failed", "bad")}
@@ -309,6 +320,7 @@ def run_job(spark: SparkSession, root: str, csv: str | None = None, events_dir:
         t0 = time.perf_counter()
         stage()
         report.seconds[name] = round(time.perf_counter() - t0, 3)
+    clear_staging(spark, layout)
     return report
 
 

@@ -24,12 +24,11 @@ from tradeflow.operators import (
     moving_daily_pnl,
     pnl_by_tier_regime,
     pnl_pivot,
-    rank_accounts,
     regime_share,
     round_quantity,
     storage_precision,
     tier_dominance,
-    top_accounts,
+    leading_accounts,
     top_in_regime,
     top_n_per_group,
     vol_thresholds,
@@ -244,8 +243,7 @@ def q_top3_per_regime_symbol(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_top10_one_symbol(spark: SparkSession, sf: str) -> DataFrame:
-    perf = TradeModel(spark, sf, symbols=(TOP_SYMBOL,)).perf.filter(F.col("vol_regime") == REGIME)
-    df = top_accounts(rank_accounts(perf), REGIME, TOP_SYMBOL, 10).select(
+    df = leading_accounts(TradeModel(spark, sf, symbols=(TOP_SYMBOL,)).perf, REGIME, TOP_SYMBOL, 10).select(
         "account_id", "tier", "vol_regime", "symbol", "n_trades", "total_pnl", "pnl_rank", "pnl_row_num")
     return _r(df, 2, "total_pnl")
 

@@ -38,6 +38,27 @@ class IngestReport:
         return {"good": int(good), "bad": int(bad)}
 
 
+def corruptible(schema: StructType) -> StructType:
+    """The CSV schema with a column for lines that do not parse."""
+    return StructType([*schema.fields, StructField(CORRUPT_COL, StringType())])
+
+
+def trades_csv_reader(reader, schema: StructType = TRADE_SCHEMA):
+    """The options of S1 on a batch or stream reader: header, declared schema, bad lines kept."""
+    return (reader.option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL).schema(corruptible(schema)))
+
+
+def flag_bad(raw: DataFrame, schema: StructType = TRADE_SCHEMA) -> DataFrame:
+    """``_bad``: rows whose text did not parse, or that miss a required field."""
+    # a date is typed without failing: text that is no date becomes NULL, and the row is bad
+    missing = F.col("trade_date").try_cast("date").isNull() if "trade_date" in schema.fieldNames() else F.lit(False)
+    for name in REQUIRED_TRADE_COLUMNS:
+        if name in schema.fieldNames():
+            missing = missing | F.col(name).isNull()
+    return raw.withColumn("_bad", F.col(CORRUPT_COL).isNotNull() | missing)
+
+
 def read_trades_csv(spark: SparkSession, path: str, schema: StructType = TRADE_SCHEMA) -> IngestReport:
     """Headered CSV, explicit schema, no inference pass.
 
@@ -45,21 +66,7 @@ def read_trades_csv(spark: SparkSession, path: str, schema: StructType = TRADE_S
     text did not parse (or that miss a required field) are split off into
     ``bad`` with the raw line kept, instead of flowing on as NULLs.
     """
-    read_schema = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType())])
-    raw = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COL)
-        .schema(read_schema)
-        .csv(path)
-    )
-    # a date is typed without failing: text that is no date becomes NULL, and the row is bad
-    day = F.col("trade_date").try_cast("date") if "trade_date" in schema.fieldNames() else None
-    missing = F.lit(False) if day is None else day.isNull()
-    for name in REQUIRED_TRADE_COLUMNS:
-        if name in schema.fieldNames():
-            missing = missing | F.col(name).isNull()
-    parsed = raw.withColumn("_bad", F.col(CORRUPT_COL).isNotNull() | missing)
+    parsed = flag_bad(trades_csv_reader(spark.read, schema).csv(path), schema)
     good_obs = Observation("ingest_good")
     bad_obs = Observation("ingest_bad")
     good = (parsed.filter(~F.col("_bad")).drop(CORRUPT_COL, "_bad")

@@ -1,4 +1,4 @@
-"""Structured Streaming forms of the bar layer (N3) and its labels."""
+"""Structured Streaming forms of the ingest (S1, S6), the bar layer (N3) and its labels."""
 
 from tradeflow.streaming.bars import start_bar_stream, stream_minute_bars
 from tradeflow.streaming.labels import label_batch, start_label_stream
