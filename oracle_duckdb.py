@@ -310,6 +310,7 @@ SQL["silver_colocated"] = SQL["silver_trades"]
 SQL["vol_thresholds_merged"] = SQL["vol_thresholds"]
 SQL["regime_symbol_merged"] = SQL["regime_symbol_rollup"]
 SQL["account_performance_merged"] = SQL["account_performance"]
+SQL["account_ranking_indexed"] = SQL["account_ranking"]
 SQL["distinct_accounts_range"] = with_("silver", """
 SELECT tier, vol_regime, count(DISTINCT account_id) AS n_accounts FROM silver
 WHERE trade_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-20' GROUP BY tier, vol_regime""")

@@ -52,25 +52,38 @@ def rank_accounts(perf: DataFrame, keys: Sequence[str] = RANK_KEYS, value: str =
         stored.repartitionByRange(ranges, *[F.col(k).asc_nulls_first() for k in keys], *order)
         .withColumn("_range", F.spark_partition_id()), "ranking_ranges")
 
-    part = [*keys, "_range"]
-    w_row = Window.partitionBy(*part).orderBy(*order)
-    w_dense = Window.partitionBy(*part).orderBy(order[0])
-    local = marked.select(
-        "*",
-        F.row_number().over(w_row).alias("_rn"),
-        F.sum(value).over(w_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
-    ).withColumn("_dr", F.dense_rank().over(w_dense))
+    return ranks_over_ranges(marked, range_stats(marked, keys, value), perf.columns, keys, value, tiebreak)
+
 
+def range_stats(marked: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """One row for each (group, ``_range``): rows, distinct values, sum, first and last value in rank order."""
     v = F.col(value)
-    stats = marked.groupBy(*part).agg(
+    return marked.groupBy(*keys, "_range").agg(
         F.count(F.lit(1)).alias("_n"),
         (F.count_distinct(v) + F.max(F.when(v.isNull(), 1).otherwise(0))).alias("_nd"),
         F.sum(value).alias("_s"),
         F.max(v).alias("_first"),
         F.when(F.count(v) == F.count(F.lit(1)), F.min(v)).alias("_last"),
     )
+
+
+def ranks_over_ranges(marked: DataFrame, stats: DataFrame, columns: Sequence[str], keys: Sequence[str], value: str,
+                      tiebreak: str, order_by: str = "_range") -> DataFrame:
+    """W5-W7 of rows cut into ranges: ranked inside their range, completed by running totals over the group's ranges.
+
+    ``order_by`` is the column of ``stats`` in whose order a group's ranges follow.
+    """
+    part = [*keys, "_range"]
+    order = [F.col(value).desc_nulls_last(), F.col(tiebreak).asc_nulls_first()]
+    w_row = Window.partitionBy(*part).orderBy(*order)
+    w_dense = Window.partitionBy(*part).orderBy(order[0])
+    local = marked.select(
+        "*",
+        F.row_number().over(w_row).alias("_rn"),
+        F.sum(value).over(w_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
+    ).withColumn("_dr", F.dense_rank().over(w_dense))
     # a value that continues from the range before counts once
-    w_ranges = Window.partitionBy(*keys).orderBy("_range")
+    w_ranges = Window.partitionBy(*keys).orderBy(order_by)
     continues = F.when(F.lag("_n").over(w_ranges).isNotNull() & F.lag("_last").over(w_ranges).eqNullSafe(F.col("_first")), 1)
     before = w_ranges.rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_joined", F.coalesce(continues, F.lit(0)))
@@ -83,7 +96,7 @@ def rank_accounts(perf: DataFrame, keys: Sequence[str] = RANK_KEYS, value: str =
     off_s, cum = F.col("_off_s"), F.col("_cum")
     running = F.when(off_s.isNull(), cum).when(cum.isNull(), off_s).otherwise(off_s + cum)
     return join_null_safe(local, offsets, part).select(
-        *perf.columns,
+        *columns,
         (F.col("_off_nd") + F.col("_dr")).cast("long").alias("pnl_rank"),
         (F.col("_off_n") + F.col("_rn")).cast("long").alias("pnl_row_num"),
         running.alias("cumulative_pnl"),

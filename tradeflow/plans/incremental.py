@@ -32,7 +32,7 @@ from tradeflow.plans.job import JobReport, Layout, clear_staging, stage_trades,
 from tradeflow.plans.lineage import join_null_safe, materialize
 from tradeflow.schema import BAR_LAYER_SCHEMA, BRONZE_SCHEMA, FEATURE_SCHEMA, SILVER_SCHEMA
 from tradeflow.sinks import write_layer
-from tradeflow.sinks.files import remove_partitions
+from tradeflow.sinks.files import partition_folder, remove_partitions
 from tradeflow.sources import read_layer
 
 #: bars of history that any feature reads
@@ -154,7 +154,7 @@ def refresh_silver(spark: SparkSession, layout: Layout, changed: Days, symbols:
     write_layer(staged, layout.silver, ["trade_date", "symbol"], sort_by=["ts"], dynamic=True)
     gone = {(r["trade_date"], r["symbol"]) for r in stored} - held
     remove_partitions(spark, layout.silver, [
-        f"trade_date={d}/symbol={'__HIVE_DEFAULT_PARTITION__' if s is None else s}" for d, s in sorted(gone, key=str)])
+        partition_folder(spark, trade_date=d, symbol=s) for d, s in sorted(gone, key=str)])
     return sorted({*changed, *(d for d, _ in held), *(d for d, _ in gone)})
 
 

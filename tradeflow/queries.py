@@ -53,6 +53,7 @@ from tradeflow.operators.economics import (
 )
 from tradeflow.plans.colocated import ColocatedLayers
 from tradeflow.plans.lineage import materialize, shared_checkpoint_dir
+from tradeflow.plans.rank_index import RankIndex, changed_rows
 
 # Fixed query arguments on the driver fixture.
 REGIME = "high"
@@ -208,6 +209,17 @@ def q_account_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return _r(m.gold_b, 2, "total_pnl", "gross_notional", "total_fees", "cumulative_pnl")
 
 
+def q_account_ranking_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    # the ranking of the first days, kept, and then changed to that of all days
+    daily = materialize(daily_rollups(TradeModel(spark, sf).silver), "daily_rollups")
+    before = materialize(performance_from_daily(daily.filter(F.col("trade_date") < F.lit(Q3_START).cast("date"))), "perf")
+    after = materialize(performance_from_daily(daily), "perf")
+    index = RankIndex(spark, f"{shared_checkpoint_dir(spark).rstrip('/')}/tradeflow/rank-{uuid.uuid4().hex}")
+    index.build(before)
+    index.change(*changed_rows(before, after))
+    return _r(index.ranking(), 2, "total_pnl", "gross_notional", "total_fees", "cumulative_pnl")
+
+
 def q_day_tier_trend_rollup(spark: SparkSession, sf: str) -> DataFrame:
     m = TradeModel(spark, sf)
     return _r(m.gold_c, 2, "total_pnl", "gross_notional")
@@ -312,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regime_symbol_rollup": q_regime_symbol_rollup,
     "account_performance": q_account_performance,
     "account_ranking": q_account_ranking,
+    "account_ranking_indexed": q_account_ranking_indexed,
     "day_tier_trend_rollup": q_day_tier_trend_rollup,
     "tier_by_regime": q_tier_by_regime,
     "top5_high_vol": q_top5_high_vol,

@@ -75,6 +75,12 @@ def partition_inventory(spark: SparkSession, path: str, keys: Sequence[str]) ->
     )
 
 
+def partition_folder(spark: SparkSession, **values: object) -> str:
+    """The folder of a partition below its layer, as Spark names it (``key=value/...``, escaped; NULL has a name)."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(f"{k}={names.DEFAULT_PARTITION_NAME() if v is None else names.escapePathName(str(v))}" for k, v in values.items())
+
+
 def remove_partitions(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
     """Delete the named partition folders (``key=value``) of a stored layer, on whatever store holds it."""
     jvm = spark.sparkContext._jvm
