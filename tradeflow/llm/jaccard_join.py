@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import textscan
-from tradeflow.llm.common import arrow_task, group_task, stage
+from tradeflow.llm.common import arrow_task, bitmap_bits, group_task, hash_bitmap, in_bitmap, stage, unstage
 from tradeflow.llm.graph import components
 
 WORDS, PERCENT = 5, 80
@@ -101,28 +101,41 @@ def sample_batches(batches: Iterator[pa.RecordBatch], words: int, share: float)
                  pa.array(np.repeat(np.array(nodes, np.int64), sizes))], names=["key", "node"])
 
 
-def set_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Class and whole set (in hash order) of each text."""
+def set_batches(batches: Iterator[pa.RecordBatch], words: int, wanted) -> Iterator[pa.RecordBatch]:
+    """Class and whole set (in hash order) of each text whose document's hash is in the bitmap ``wanted``."""
     for batch in batches:
-        for part in textscan.slices(batch):
+        chosen = batch.filter(pa.array(in_bitmap(wanted.value, batch["hash"].to_numpy())))
+        for part in textscan.slices(chosen):
             found = list(textscan.shingle_sets(part["text"], words))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_identity(x) for x in found], pa.int64()), _lists([x.view(np.int64) for x in found])],
                 names=["node", "keys"])
 
 
+def shared_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Classes with the shingles of their sets that the bitmap ``shared`` has."""
+    for batch in batches:
+        lists = batch["keys"]
+        flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        held = in_bitmap(shared.value, flat)
+        count = np.concatenate([[0], np.cumsum(held)])[ends - ends[0]].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], pa.ListArray.from_arrays(pa.array(count), pa.array(flat[held]))],
+                                         names=["node", "n", "keys"])
+
+
 def anchor_batches(batches: Iterator[pa.RecordBatch], percent: int, common) -> Iterator[pa.RecordBatch]:
-    """(class, anchor): each set's first shingles, the commonest last."""
+    """(class, anchor): each set's first shingles, those it holds alone before all others and the commonest last."""
     known, times = common.value
     for batch in batches:
         nodes, anchors = [], []
-        for node, keys in zip(batch["node"].to_pylist(), batch["keys"], strict=True):
+        for node, n, keys in zip(batch["node"].to_pylist(), batch["n"].to_pylist(), batch["keys"], strict=True):
             found = keys.values.to_numpy()
             rank = np.zeros(len(found), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                 rank = np.where(known[at] == found, times[at], 0)
-            first = found[np.lexsort((found, rank))[:allowance(len(found), percent)]]
+            # shingles that are not in the list come first, and are nobody else's
+            first = found[np.lexsort((found, rank))[:max(allowance(n, percent) - (n - len(found)), 0)]]
             nodes.append(np.full(len(first), node))
             anchors.append(first)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*nodes, np.zeros(0, np.int64)])),
@@ -138,7 +151,7 @@ def join_block(table: pa.Table, percent: int) -> pa.Table:
     """Links inside one cell (two rings or two blocks of one region), as a spanning forest.
 
     Rows: node, component so far (label), distance to the pivot, block (part),
-    whether of the largest component (major), keys.
+    whether of the largest component (major), size of the set (n), its shared keys.
     """
     order = np.argsort(table["node"].to_numpy(), kind="stable")
     node, label, dist, part = (table[c].to_numpy()[order] for c in ("node", "label", "dist", "part"))
@@ -146,7 +159,7 @@ def join_block(table: pa.Table, percent: int) -> pa.Table:
     lists = table["keys"].combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
     start, stop = ends[order] - ends[0], ends[order + 1] - ends[0]
-    size = stop - start
+    size = table["n"].to_numpy()[order]
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -155,7 +168,7 @@ def join_block(table: pa.Table, percent: int) -> pa.Table:
         return x
 
     flat_all = np.concatenate([flat[s:e] for s, e in zip(start, stop, strict=True)])
-    owner = np.repeat(np.arange(len(node)), size)
+    owner = np.repeat(np.arange(len(node)), stop - start)
     by_key = np.argsort(flat_all, kind="stable")
     keys, owner = flat_all[by_key], owner[by_key]
     radius = (100 - percent) / 100 + 1e-9
@@ -185,6 +198,11 @@ def _sociable(sets: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """The rows of ``sets`` that hold few enough shingles alone; ``held`` has (key, node) for the shingles to count."""
     own = held.groupBy("key").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter(
         "node = last").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return _few_alone(sets, own, percent)
+
+
+def _few_alone(sets: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``sets`` whose number of shingles held alone (``own``, by class) a linked set can lack."""
     return sets.join(own, "node", "left").filter(F.coalesce("own", F.lit(0)) < allowance(F.col("n"), percent))
 
 
@@ -200,17 +218,29 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     # 2: classes without too many shingles of their own, with their whole sets
     sample = source.select("text").mapInArrow(arrow_task(sample_batches, words=words, share=SAMPLE), "key long, node long")
     wanted = stage(_sociable(classes, sample, percent).select("node", "n", "first_doc"), "candidates")
-    firsts = wanted.select("first_doc").distinct()
-    keys = stage(
-        source.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_doc")), "left_semi").select("text")
-        .mapInArrow(arrow_task(set_batches, words=words), "node long, keys array<long>")
+    # a bitmap of their first documents tells the scan which texts to give; false hits fall out of the join
+    spread = docs.sparkSession.sparkContext.broadcast
+    firsts = spread(hash_bitmap(wanted.select(F.xxhash64("first_doc").alias("hash")), bitmap_bits(wanted.count())))
+    sets = stage(
+        source.select("text", F.xxhash64("doc_id").alias("hash"))
+        .mapInArrow(arrow_task(set_batches, words=words, wanted=firsts), "node long, keys array<long>")
         .join(wanted.select("node", "n"), "node").dropDuplicates(["node"]).select("node", "n", "keys"), "sets")
-    held = keys.select(F.explode("keys").alias("key"), "node")
-    common = (held.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= COMMON_LEAST)
-              .orderBy(F.col("times").desc(), "key").limit(COMMON_MOST).toArrow().sort_by("key"))
-    common = docs.sparkSession.sparkContext.broadcast((common["key"].to_numpy(), common["times"].to_numpy()))
-    keys = stage(_sociable(keys, held, percent).select("node", "n", "keys"), "kept")
-    posts = keys.select("node", "keys").mapInArrow(arrow_task(anchor_batches, percent=percent, common=common), "node long, anchor long")
+    # one count of all shingles: how many a class holds alone, and those that several classes share
+    held = sets.select(F.explode("keys").alias("key"), "node").groupBy("key").agg(
+        F.min("node").alias("node"), F.max("node").alias("last"), F.count(F.lit(1)).alias("times"))
+    alone = F.col("node") == F.col("last")
+    told = stage(held.groupBy(alone.alias("alone"), F.when(alone, F.col("node")).otherwise(F.col("key")).alias("id")).agg(
+        F.sum("times").alias("times")), "shingles")
+    shared = told.filter("not alone")
+    common = shared.filter(F.col("times") >= COMMON_LEAST).orderBy(F.col("times").desc(), "id").limit(COMMON_MOST).toArrow().sort_by("id")
+    common = spread((common["id"].to_numpy(), common["times"].to_numpy()))
+    # a shingle that a class holds alone meets no other: whole sets travel without those that a bitmap tells
+    shared = spread(hash_bitmap(shared.select("id"), bitmap_bits(shared.count(), 16)))
+    known = sets.mapInArrow(arrow_task(shared_batches, shared=shared), "node long, n long, keys array<long>")
+    keys = stage(_few_alone(known, told.filter("alone").select(F.col("id").alias("node"), F.col("times").alias("own")), percent)
+                 .select("node", "n", "keys"), "kept")
+    unstage(sets)
+    posts = keys.mapInArrow(arrow_task(anchor_batches, percent=percent, common=common), "node long, anchor long")
     shared = posts.groupBy("anchor").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("last > pivot")
     regions = stage(posts.join(shared.select("anchor", "pivot"), "anchor").select("pivot", "node").distinct(), "regions")
 
@@ -259,7 +289,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     meets = F.when(F.col("major"), meetings(F.col("minors"))).otherwise(F.concat(meetings(F.col("majors")), among))
     cells = cells.withColumn("meet", F.explode(meets)).select(
         "pivot", "cell", "meet.*", "node", "label", "dist", "major", "part")
-    inside = cells.join(keys.select("node", "keys"), "node").groupBy("pivot", "cell", "mixed", "lo", "hi").applyInArrow(
+    # dealt by block: a partitioning on pivot and cell alone would do for the groups, and keep a region in one task
+    met = cells.join(keys, "node").repartition("pivot", "cell", "mixed", "lo", "hi")
+    inside = met.groupBy("pivot", "cell", "mixed", "lo", "hi").applyInArrow(
         group_task(join_block, percent=percent), "a long, b long")
     more = stage(inside, "links")
 
