@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tradeflow.functions import round_half_up
 from tradeflow.operators.economics import TIERS
 from tradeflow.operators.reports import daily_tier_pivot
+from tradeflow.operators.rollups import daily_symbol_pnl
 
 
 def day_over_day(silver: DataFrame, symbols: Sequence[str], start: str, end: str) -> DataFrame:
@@ -25,19 +26,15 @@ def day_over_day(silver: DataFrame, symbols: Sequence[str], start: str, end: str
     The change rounds the difference, not the difference of rounded values (D11).
     """
     w = Window.partitionBy("symbol").orderBy("trade_date")
-    daily = (
-        silver.filter(F.col("symbol").isin(list(symbols))
-                      & F.col("trade_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-        .groupBy("trade_date", "symbol")
-        .agg(F.sum("net_pnl").alias("_pnl"))
-    )
-    prev = F.lag("_pnl", 1).over(w)
+    wanted = F.col("symbol").isin(list(symbols)) & F.col("trade_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    daily = daily_symbol_pnl(silver.filter(wanted))
+    prev = F.lag("pnl", 1).over(w)
     return daily.select(
         "trade_date",
         "symbol",
-        round_half_up("_pnl", 2).alias("pnl"),
+        round_half_up("pnl", 2).alias("pnl"),
         round_half_up(prev, 2).alias("prev_day_pnl"),
-        round_half_up(F.col("_pnl") - prev, 2).alias("day_change"),
+        round_half_up(F.col("pnl") - prev, 2).alias("day_change"),
     ).orderBy("symbol", "trade_date")
 
 
@@ -49,13 +46,12 @@ def moving_daily_pnl(silver: DataFrame, symbol: str, days: int = 7, n: int | Non
     rows (partial at the start, D13); the limit applies after the window.
     """
     w = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(-(days - 1), 0)
-    daily = silver.groupBy("trade_date", "symbol").agg(F.sum("net_pnl").alias("_pnl"))
     out = (
-        daily.select(
+        daily_symbol_pnl(silver).select(
             "trade_date",
             "symbol",
-            round_half_up("_pnl", 2).alias("daily_pnl"),
-            round_half_up(F.avg("_pnl").over(w), 2).alias(f"ma{days}_pnl"),
+            round_half_up("pnl", 2).alias("daily_pnl"),
+            round_half_up(F.avg("pnl").over(w), 2).alias(f"ma{days}_pnl"),
         )
         .filter(F.col("symbol") == symbol)
         .orderBy("trade_date")
