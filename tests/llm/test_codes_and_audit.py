@@ -203,6 +203,10 @@ def test_vector_codes_query(spark):
     same_as_sql(spark, "op12_vector_codes")
 
 
+def test_license_scan_query(spark):
+    same_as_sql(spark, "op9_license_scan")
+
+
 def test_source_divergence_query(spark):
     same_as_sql(spark, "op13_source_divergence")
 

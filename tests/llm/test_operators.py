@@ -444,6 +444,22 @@ def test_license_scan(spark):
     assert scan_licenses(documents(spark, [])).count() == 0
 
 
+def test_license_labels_need_different_places(spark):
+    """A word pair that recurs holds one place of a template, however often it votes."""
+    notice = dict.fromkeys(("free software " * 14, "free software is " * 10, "license version " * 30), "")
+    notice["licensed under the gnu general public license version 3"] = "gpl,gpl-3.0"
+    notice["free software " * 14 + "pad " * 200 + "released under the mit license"] = "mit"
+    docs = spark.createDataFrame(list(enumerate(notice)), "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in scan_licenses(docs).collect()} == dict(enumerate(notice.values()))
+
+
+def test_mixing_keeps_columns_of_its_own_names(spark):
+    rows = [(i, f"some words here {i}", f"s{i % 2}", 1000 + i, str(i), None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `__row` long, `__copies` string, `__HASH` int")
+    out = mix_documents(docs).collect()
+    assert out and {tuple(r) for r in out} <= set(rows)
+
+
 def targets_by_rounds(sizes: list[int]) -> list[float]:
     """Share by weight, cap at three times the size, share the excess again."""
     weight = [(1, 2, 3)[i % 3] for i in range(len(sizes))]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tradeflow.llm import common
 from tests.llm.test_operators import WORD, WORD_BPE, expected_pieces, jaccard_truth, repeated_words, sentence
 
 
@@ -73,3 +76,33 @@ def test_near_copies_without_an_id(spark, tmp_path):
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
     assert len(kept) == 5 and {(7, texts[1] + " end"), (8, texts[2]), (8, texts[3]), (None, None)} <= set(kept)
     assert sum(i is None and t is not None for i, t in kept) == 1
+
+
+def test_near_duplicates_keep_columns_of_their_own_names(spark, tmp_path):
+    rnd = random.Random(6)
+    text = sentence(rnd, 80)
+    rows = [(1, text, 5, "a"), (2, text + " end", 6, "b"), (3, "", 7, "c"), (3, "", 7, "c"), (4, " ", 8, "d"), (None, None, 9, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__row` long, `__Hash` string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[2], rows[4], rows[5]], key=str)
+
+
+def test_rows_are_selected_also_where_bitmaps_cannot_tell(spark, monkeypatch):
+    monkeypatch.setattr(common, "bitmap_bits", lambda n, each=16: 15)
+    rows = spark.range(60_000).select("id", (F.col("id") * 2).alias("x"))
+    kept, others = rows.filter("id % 3 = 0").select("id"), rows.filter("id % 3 != 0").select("id")
+    out = common.select_rows(rows, "id", kept, others)
+    assert out.columns == ["id", "x"] and out.count() == 20_000 and out.filter("id % 3 != 0 OR x != 2 * id").count() == 0
+
+
+def test_what_stages_leave_is_removed_once_their_result_is_written(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"w{i} some words", "s") for i in range(30)], "doc_id long, text string, source string")
+    corpus_pipeline.LEFT.clear()
+    mixed = corpus_pipeline.mixing(spark, docs, str(tmp_path))
+    left = list(corpus_pipeline.LEFT)
+    assert left and all(os.path.exists(f.removeprefix("file:")) for f in left)
+    common.release(corpus_pipeline.LEFT, mixed)  # still to be computed from them
+    assert corpus_pipeline.LEFT == left and mixed.count() > 0
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    common.release(corpus_pipeline.LEFT, spark.read.parquet(f"{tmp_path}/mixed"))
+    assert not corpus_pipeline.LEFT and not any(os.path.exists(f.removeprefix("file:")) for f in left)

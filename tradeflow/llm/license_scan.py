@@ -4,9 +4,10 @@ All rolling word 2-gram hashes of every text are joined to the positions of
 the same 2-grams in short templates.  A match at word ``p`` of the text and
 word ``q`` of the template votes for the diagonal ``p - q``: a copied passage
 puts its votes on one diagonal, an edited one on a few neighbouring ones.
-Votes are summed per text, template and diagonal (in the scanning task first),
+Votes are gathered per text, template and diagonal (in the scanning task first),
 neighbouring diagonals are merged, and a span is verified by the share of the
-template's 2-grams it holds, in the span's room.
+template's positions that it holds, each counted once however often the text
+repeats it, in the span's room.
 
 Phrases are templates that must stand exactly: all their 2-grams on one
 diagonal, that is every word in its place.
@@ -116,7 +117,7 @@ def find_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> Da
     # the templates' 2-grams are a fixed short list
     votes = rolled.join(F.broadcast(known), "gram", "left").groupBy(
         "uid", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("votes"),
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sort_array(F.collect_set("place")).alias("places"),
         F.max("grams").alias("grams"), F.min("at").alias("first"), F.max("at").alias("last"))
     exact = F.col("template").isin([t for t, x in enumerate(templates) if x.exact])
     order = Window.partitionBy("uid", "template").orderBy("diagonal")
@@ -124,11 +125,12 @@ def find_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> Da
     begins = F.when(exact | gap.isNull() | (gap > NEAR), 1).otherwise(0)
     merged = votes.withColumn("begins", begins).withColumn("passage", F.sum("begins").over(order)).groupBy(
         "uid", "template", "passage").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("votes").alias("votes"),
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("places"),
         F.max("grams").alias("grams"), F.min("first").alias("first"), F.max("last").alias("last"))
-    share = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
+    share = F.col("places") / F.col("grams")
     room = F.col("last") - F.col("first") + 1
-    found = F.when(exact, F.col("votes") == F.col("grams")).otherwise(
+    found = F.when(exact, F.col("places") == F.col("grams")).otherwise(
         (share >= LEAST_SHARE) & (room <= 2 * F.col("grams")))
     return merged.select(
         "uid", "doc_id", "n_words", *[F.when(found, c).alias(n) for n, c in (

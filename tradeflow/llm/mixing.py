@@ -25,12 +25,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import stage, text_or_empty
+from tradeflow.llm.common import free_name, stage, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
 BUCKET_DIGITS = 2
 BUCKET_ROWS = 50_000
+#: sources whose names and limits are larger than this are joined, not broadcast
+BROADCAST_BYTES = 32 << 20
 
 
 def word_count(text: str = "text") -> Column:
@@ -69,6 +71,11 @@ def source_targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, share: f
     return level.select("source", "source_size", target.alias("target"))
 
 
+def mix_key(seed: str) -> Column:
+    """The hash-random key that orders a source's documents."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, most: int = MOST,
         seed: str = "mix", cut: str = "words", row: str | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken for each row of ``docs`` (doc_id, text, source), and its copies.
@@ -76,11 +83,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, m
     ``cut="words"``: the document at the cut is taken in part, so a source's
     words add up to its target rounded down.  ``cut="documents"``: it is taken
     whole if at least half of it fits (``taken`` is ``copies * size``).
-    ``row`` names a column that tells rows apart; it is returned too.
+    ``row`` names a column that tells rows apart; it orders rows of one key, and is returned too.
     """
     own = [row] if row else []
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = stage(docs.select("doc_id", "source", word_count().alias("size"), key.alias("key"), *own), "sizes")
+    sized = stage(docs.select("doc_id", "source", word_count().alias("size"), mix_key(seed).alias("key"), *own), "sizes")
     # null sources by a flag, so that joins are plain equalities
     sized = sized.withColumns({"known": F.col("source").isNotNull(), "name": F.coalesce("source", F.lit(""))})
     digits = max(BUCKET_DIGITS, len(f"{max(sized.count() // BUCKET_ROWS, 1):x}"))
@@ -95,7 +101,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, m
                              "source_size", "target")
     # bucket rows carry their source's totals, so that documents join once, on a fine key
     ahead = ahead.join(targets, ["known", "name"])
-    inside = Window.partitionBy("known", "name", "bucket").orderBy("key", "size", *own).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("known", "name", "bucket").orderBy("key", *(own or ["size"])).rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(ahead, ["known", "name", "bucket"])
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
@@ -108,13 +114,29 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.0, m
         last = F.when(rest > 0, last).otherwise(F.lit(0))
         copies = epochs + F.when(last > 0, 1).otherwise(0)
     return placed.select("doc_id", "source", "size", "source_size", "target",
-                         (epochs * F.col("size") + last).cast("long").alias("taken"), copies.cast("int").alias("copies"), "key", *own)
+                         (epochs * F.col("size") + last).cast("long").alias("taken"), copies.cast("int").alias("copies"), epochs.cast("int").alias("epochs"), "key", *own)
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it (whole documents), with all their columns."""
-    # planned row by row: rows may share an id, or have none, in several sources
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    plan = mix(rows, cut="documents", row="__row", **options).select("__row", F.col("copies").alias("__copies"))
-    taken = rows.join(plan, "__row")
-    return taken.withColumn("__one", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(*docs.columns)
+def mix_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (whole documents), with all their columns.
+
+    Planned row by row, because rows may share an id, or have none, in several
+    sources; texts stay where they are.  A source takes its epochs of all rows
+    and one more copy of the rows up to a last one in the order of keys, so one
+    line a source tells every row its copies.
+    """
+    number, times = free_name(docs, "__row"), free_name(docs, "__copies")
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    plan = mix(rows.select("doc_id", "source", "text", F.col(number).alias("__row")), cut="documents", seed=seed, row="__row", **options)
+    once_more = F.when(F.col("copies") > F.col("epochs"), F.struct("key", F.col("__row").alias("row")))
+    limits = stage(plan.groupBy("source").agg(F.max("epochs").alias("epochs"), F.max(once_more).alias("last")), "limits")
+    # a line a source: broadcast if the names are few, else an ordinary join
+    size = limits.agg(F.count(F.lit(1)), F.sum(F.octet_length("source"))).first()
+    limits = limits.select(F.struct("source", "epochs", "last").alias(times))
+    if 100 * size[0] + (size[1] or 0) <= BROADCAST_BYTES:
+        limits = F.broadcast(limits)
+    placed = F.struct(mix_key(seed).alias("key"), F.col(number).alias("row"))
+    again = F.coalesce(placed <= F.col(times)["last"], F.lit(False)) & text_or_empty().rlike("[^ \\t-\\r]")
+    taken = rows.join(limits, F.col("source").eqNullSafe(F.col(times)["source"]))
+    copies = F.array_repeat(F.lit(1), F.col(times)["epochs"] + again.cast("int"))
+    return taken.withColumn(times, copies).withColumn(times, F.explode(times)).select(*docs.columns)

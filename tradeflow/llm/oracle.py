@@ -1,11 +1,12 @@
 """DuckDB SQL of the training-data queries that SQL can express.
 
-Operators 3, 5 and 8 (tokenizer ids, embeddings graph), 7 (a fitted model) and
-9 (voting labels) are beyond SQL and are tested against brute force.
+Operators 3, 5 and 11 (tokenizer ids) and 7 (a fitted model) are beyond SQL;
+they and 8 are tested against the libraries or brute force.
 """
 
 from __future__ import annotations
 
+from tradeflow.llm.license_scan import GRAM, LEAST_SHARE, NEAR, TEMPLATES
 from tradeflow.llm.quality_rules import RULES, STOP_WORDS
 
 # A regular expression class of white space, and words by it.
@@ -107,6 +108,43 @@ def _codes_sql(rounds: int = 4) -> str:
     """
 
 
+def _license_sql() -> str:
+    rows = []
+    for t, template in enumerate(TEMPLATES):
+        words = template.text.split()
+        grams = [" ".join(words[i:i + GRAM]) for i in range(len(words) - GRAM + 1)]
+        rows += [f"({t}, '{template.label}', {template.exact}, {i}, '{gram}', {len(grams)})" for i, gram in enumerate(grams)]
+    return rf"""
+    WITH t(template, label, exact, place, gram, grams) AS (VALUES {', '.join(rows)}
+    ), d AS (
+        SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ), g AS (
+        SELECT uid, i - 1 AS pos, list_aggregate(words[i:i + {GRAM - 1}], 'string_agg', ' ') AS gram
+        FROM (SELECT uid, words, unnest(range(1, len(words) - {GRAM - 2})) AS i FROM d)
+    ), v AS (
+        SELECT uid, template, label, exact, grams, place, pos, pos - place AS diagonal FROM g JOIN t USING (gram)
+    ), n AS (
+        SELECT *, CASE WHEN exact OR coalesce(diagonal - lag(diagonal) OVER w > {NEAR}, true) THEN 1 ELSE 0 END AS begins
+        FROM (SELECT DISTINCT uid, template, exact, diagonal FROM v) WINDOW w AS (PARTITION BY uid, template ORDER BY diagonal)
+    ), p AS (
+        SELECT uid, template, diagonal, sum(begins) OVER (PARTITION BY uid, template ORDER BY diagonal) AS passage FROM n
+    ), m AS (
+        SELECT uid, template, passage, any_value(label) AS label, any_value(exact) AS exact,
+            count(DISTINCT place) / any_value(grams) AS share, min(pos) AS first, max(pos) - min(pos) + 1 AS room, any_value(grams) AS grams
+        FROM v JOIN p USING (uid, template, diagonal) GROUP BY ALL
+    ), f AS (
+        SELECT * FROM m WHERE CASE WHEN exact THEN share = 1 ELSE share >= {LEAST_SHARE} AND room <= 2 * grams END
+    )
+    SELECT any_value(doc_id) AS doc_id, CAST(len(any_value(words)) AS BIGINT) AS n_words, count(*) FILTER (WHERE exact) AS n_base,
+        CAST(min(first) FILTER (WHERE exact) AS BIGINT) AS first_word, CAST(max(first) FILTER (WHERE exact) AS BIGINT) AS last_word,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact), '') AS base_labels,
+        coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, CAST(coalesce(max(share), 0) AS DOUBLE) AS score
+    FROM d LEFT JOIN f USING (uid) GROUP BY uid
+    """
+
+
 SQL: dict[str, str] = {
     "op1_quality_rules": _quality_sql(),
     "op2_chat_format": r"""
@@ -159,6 +197,7 @@ SQL: dict[str, str] = {
     )
     SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fits USING (page_id)
     """,
+    "op9_license_scan": _license_sql(),
     "op10_mixing": rf"""
     WITH RECURSIVE d AS (
         SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORDS}')) AS BIGINT) AS size,

@@ -36,6 +36,8 @@ from tradeflow.llm import textscan
 from tradeflow.llm.common import arrow_task, stage
 from tradeflow.llm.quality_rules import STOP_WORDS
 
+#: bytes of text measured at once
+SLICE = 2 << 20
 FOLDS = 5
 STEPS = 12
 RIDGE = 1e-3
@@ -78,7 +80,7 @@ def text_features(texts: pa.Array) -> np.ndarray:
 
 def feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in textscan.slices(batch):
+        for part in textscan.slices(batch, limit=SLICE):
             yield pa.RecordBatch.from_arrays([part["doc_id"], _rows(text_features(part["text"]))], names=["doc_id", "x"])
 
 
@@ -213,7 +215,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
 def keep_batches(batches: Iterator[pa.RecordBatch], model: Model, least: float) -> Iterator[pa.RecordBatch]:
     """The rows whose text scores ``least`` or more, unchanged."""
     for batch in batches:
-        for part in textscan.slices(batch):
+        for part in textscan.slices(batch, limit=SLICE):
             yield part.filter(pa.array(model.scores(text_features(part["text"])) >= least))
 
 
