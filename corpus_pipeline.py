@@ -20,7 +20,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import free_name, noting, release, select_rows, stage, table, text_or_empty
+from tradeflow.llm.common import free_name, noting, numbered, release, select_rows, stage, table, text_or_empty
 from tradeflow.llm.jaccard_join import jaccard_components
 from tradeflow.llm.mixing import mix_documents
 from tradeflow.llm.packing import pack
@@ -58,10 +58,11 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are told apart by a running number, so that null and repeated ids hide no copies.
 
+    The number is a row's place in the files that ``docs`` is read from, so texts are not copied.
     Rows without words are no near copies of each other; equal ones of one id are one.
     """
     number = free_name(docs, "__row")
-    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    rows = numbered(docs, number)
     narrow = rows.select(F.col(number).alias("row"), "doc_id")
     groups = jaccard_components(rows.select(F.col(number).alias("doc_id"), "text")).filter("n_shingles > 0").select(
         F.col("doc_id").alias("row"), F.col("component_id").alias("group"))

@@ -106,3 +106,21 @@ def test_what_stages_leave_is_removed_once_their_result_is_written(spark, tmp_pa
     mixed.write.parquet(f"{tmp_path}/mixed")
     common.release(corpus_pipeline.LEFT, spark.read.parquet(f"{tmp_path}/mixed"))
     assert not corpus_pipeline.LEFT and not any(os.path.exists(f.removeprefix("file:")) for f in left)
+
+
+def test_near_duplicates_copy_no_texts(spark, tmp_path):
+    small_corpus(spark, tmp_path)
+    corpus_pipeline.LEFT.clear()
+    corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    staged = [spark.read.parquet(f).columns for f in corpus_pipeline.LEFT if os.path.exists(f.removeprefix("file:"))]
+    assert staged and not any("text" in columns for columns in staged)
+
+
+def test_rows_are_numbered_alike_in_every_scan(spark, tmp_path):
+    rows = spark.range(1_000, numPartitions=3).selectExpr("id", "cast(id % 7 AS string) AS text", "'a b%c' AS `__file`")
+    rows.write.partitionBy("text").parquet(f"{tmp_path}/a b%c")
+    for docs in (spark.read.parquet(f"{tmp_path}/a b%c"), rows, rows.limit(0), spark.read.parquet(f"{tmp_path}/a b%c").filter("id > 9")):
+        out = common.numbered(docs, "n")
+        want = docs.count()
+        assert out.columns == [*docs.columns, "n"] and out.select("n").distinct().count() == out.count() == want
+        assert sorted(map(tuple, out.select("n", "id").collect())) == sorted((r["n"], r["id"]) for r in out.collect())

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,17 +54,21 @@ def noting(left: list[str]):
 def release(left: list[str], docs: DataFrame) -> None:
     """Remove the staged tables in ``left``, unless ``docs`` is still to be computed from any of them.
 
-    Also lets Spark's cleaner drop the shuffle files of plans that nobody holds any more.
+    Also lets go of the shuffle files of finished jobs.
     """
-    sc = docs.sparkSession.sparkContext
     read = docs.inputFiles()
     # a staged folder's name is unique, its path can be written in several ways
     if not any(os.path.basename(folder) in f for folder in left for f in read):
         for folder in left:
             _delete(docs.sparkSession, folder)
         left.clear()
+    free_shuffles(docs.sparkSession)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that nobody holds any more."""
     gc.collect()
-    sc._jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def _delete(spark: SparkSession, folder: str) -> None:
@@ -89,6 +94,41 @@ def unstage(df: DataFrame) -> None:
         _delete(df.sparkSession, folder)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a long column ``name`` that tells its rows apart, the same in every scan.
+
+    Rows of Parquet files have the file's place among all (in the order of paths) in the upper
+    bits and their own place in the file below, so nothing is written; rows of any other plan
+    are staged first.
+    """
+    placed = _places(docs)
+    if placed is None:
+        docs = stage(docs, "rows")
+        placed = _places(docs)
+    path, row = placed
+    paths = sorted(r[0] for r in docs.select(path).distinct().collect())  # a line a file
+    file, at = free_name(docs, "__file"), free_name(docs, "__at")
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), f"`{at}` long, `{file}` string")
+    return (docs.select("*", path.alias(file), row.alias(name)).join(F.broadcast(files), file)
+            .withColumn(name, F.shiftleft(at, ROW_BITS) + F.col(name)).select(*docs.columns, name))
+
+
+#: a file has fewer rows than 2 ** ROW_BITS
+ROW_BITS = 40
+
+
+def _places(docs: DataFrame) -> tuple[Column, Column] | None:
+    """Path and row number of each row, if ``docs`` is a plain scan of Parquet files."""
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return None
+    try:
+        file = docs.metadataColumn("_metadata")
+        docs.select(file["file_path"], file["row_index"])
+    except AnalysisException:
+        return None
+    return file["file_path"], file["row_index"]
+
+
 def bitmap_bits(n: int, each: int = 32) -> int:
     """Bits (as a power of two) of a bitmap for ``n`` hashes: ``each`` a hash, 32 MB at most."""
     return min(28, max(20, (each * max(n, 1)).bit_length()))

@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import textscan
-from tradeflow.llm.common import arrow_task, bitmap_bits, group_task, hash_bitmap, in_bitmap, stage, unstage
+from tradeflow.llm.common import arrow_task, bitmap_bits, free_shuffles, group_task, hash_bitmap, in_bitmap, stage, unstage
 from tradeflow.llm.graph import components
 
 WORDS, PERCENT = 5, 80
@@ -218,6 +218,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     # 2: classes without too many shingles of their own, with their whole sets
     sample = source.select("text").mapInArrow(arrow_task(sample_batches, words=words, share=SAMPLE), "key long, node long")
     wanted = stage(_sociable(classes, sample, percent).select("node", "n", "first_doc"), "candidates")
+    # here and below: the shuffles so far are the largest, and not read again
+    free_shuffles(docs.sparkSession)
     # a bitmap of their first documents tells the scan which texts to give; false hits fall out of the join
     spread = docs.sparkSession.sparkContext.broadcast
     firsts = spread(hash_bitmap(wanted.select(F.xxhash64("first_doc").alias("hash")), bitmap_bits(wanted.count())))
@@ -225,6 +227,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         source.select("text", F.xxhash64("doc_id").alias("hash"))
         .mapInArrow(arrow_task(set_batches, words=words, wanted=firsts), "node long, keys array<long>")
         .join(wanted.select("node", "n"), "node").dropDuplicates(["node"]).select("node", "n", "keys"), "sets")
+    free_shuffles(docs.sparkSession)
     # one count of all shingles: how many a class holds alone, and those that several classes share
     held = sets.select(F.explode("keys").alias("key"), "node").groupBy("key").agg(
         F.min("node").alias("node"), F.max("node").alias("last"), F.count(F.lit(1)).alias("times"))
@@ -240,6 +243,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     keys = stage(_few_alone(known, told.filter("alone").select(F.col("id").alias("node"), F.col("times").alias("own")), percent)
                  .select("node", "n", "keys"), "kept")
     unstage(sets)
+    free_shuffles(docs.sparkSession)
     posts = keys.mapInArrow(arrow_task(anchor_batches, percent=percent, common=common), "node long, anchor long")
     shared = posts.groupBy("anchor").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("last > pivot")
     regions = stage(posts.join(shared.select("anchor", "pivot"), "anchor").select("pivot", "node").distinct(), "regions")
