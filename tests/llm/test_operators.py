@@ -3,9 +3,11 @@ texts, repeated rows, empty tables and clashing column names."""
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -16,6 +18,7 @@ from tokenizers import Tokenizer
 
 from tradeflow.llm import packing, quality_rules, textscan, transducer, url_filter
 from tradeflow.llm.chat_format import format_chats, read_chats
+from tradeflow.llm.common import noting
 from tradeflow.llm.graph import components
 from tradeflow.llm.jaccard_join import jaccard_components
 from tradeflow.llm.license_scan import scan_licenses
@@ -228,6 +231,38 @@ def test_components(spark):
     assert got == {k: v for k, v in label.items() if k in got} and set(label) - set(got) <= {a for a, b in edges if a == b}
 
 
+def test_components_of_stars_take_no_round(spark):
+    edges = spark.createDataFrame([(1, 5), (9, 1), (2, 3), (2, 3), (3, 2), (4, 4)], "a long, b long")
+    with noting(left := []):
+        assert sorted(map(tuple, components(edges).collect())) == [(1, 1), (2, 2), (3, 2), (5, 1), (9, 1)]
+    assert len(left) == 1
+    # two centres that share a leaf, and a chain, are no stars
+    for more in ([(1, 9), (2, 9)], [(1, 2), (2, 3)]):
+        got = components(spark.createDataFrame(more, "a long, b long")).collect()
+        assert {r["component"] for r in got} == {1} and len(got) == 3
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_jaccard_join_leaves_no_shuffles(spark):
+    """What the steps shuffled is let go: the result is read from staged tables alone."""
+    rnd = random.Random(5)
+    seed = sentence(rnd, 80).split()
+    texts = [" ".join(w if rnd.random() > 0.02 else "changed" for w in seed) for _ in range(40)]
+    gc.collect()
+    before = shuffle_files(spark)
+    found = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for _ in range(40):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.25)
+    assert not left
+    assert found.count() == 40
+
+
 def test_token_counts(spark):
     tokenizer = Tokenizer.from_file(BYTE_BPE)
     docs = documents(spark)

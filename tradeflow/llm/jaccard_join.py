@@ -247,12 +247,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     posts = keys.mapInArrow(arrow_task(anchor_batches, percent=percent, common=common), "node long, anchor long")
     shared = posts.groupBy("anchor").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("last > pivot")
     regions = stage(posts.join(shared.select("anchor", "pivot"), "anchor").select("pivot", "node").distinct(), "regions")
+    free_shuffles(docs.sparkSession)
 
     # 3: distances to the pivots; a crowded pivot's set is dealt to several tasks
     crowd = regions.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"))
     deals = F.ceil(F.col("members") / block).cast("int")
-    pivots = crowd.withColumn("deals", deals).join(
-        keys.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("keys").alias("pivot_keys")), "pivot")
+    # the pivots' sets are renamed after the join, so that both joins read one shuffle of the sets
+    pivots = crowd.withColumn("deals", deals).join(keys, F.col("pivot") == F.col("node")).select(
+        "pivot", "members", "deals", F.col("n").alias("pivot_n"), F.col("keys").alias("pivot_keys"))
     pivots = pivots.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
     others = (regions.filter("pivot != node").join(crowd, "pivot")
               .withColumn("deal", F.pmod(F.xxhash64("node"), deals).cast("int")).select("pivot", "node", "deal")
@@ -298,6 +300,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     inside = met.groupBy("pivot", "cell", "mixed", "lo", "hi").applyInArrow(
         group_task(join_block, percent=percent), "a long, b long")
     more = stage(inside, "links")
+    free_shuffles(docs.sparkSession)
 
     # 5: one component for all links
     whole = stage(components(links.unionByName(more)), "whole")
