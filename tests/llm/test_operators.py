@@ -3,11 +3,9 @@ texts, repeated rows, empty tables and clashing column names."""
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import random
 import re
-import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -16,7 +14,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tradeflow.llm import packing, quality_rules, textscan, transducer, url_filter
+from tradeflow.llm import graph, jaccard_join, packing, quality_rules, textscan, transducer, url_filter
 from tradeflow.llm.chat_format import format_chats, read_chats
 from tradeflow.llm.common import noting
 from tradeflow.llm.graph import components
@@ -242,25 +240,20 @@ def test_components_of_stars_take_no_round(spark):
         assert {r["component"] for r in got} == {1} and len(got) == 3
 
 
-def shuffle_files(spark) -> set[str]:
-    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_") and name.endswith(".data")}
+def test_jaccard_join_lets_go_of_shuffles(spark, monkeypatch):
+    """After each large step, what it shuffled is let go before the next one begins."""
+    calls = []
 
+    def watched(df, name, put=jaccard_join.stage):
+        calls.append(name)
+        return put(df, name)
 
-def test_jaccard_join_leaves_no_shuffles(spark):
-    """What the steps shuffled is let go: the result is read from staged tables alone."""
-    rnd = random.Random(5)
-    seed = sentence(rnd, 80).split()
-    texts = [" ".join(w if rnd.random() > 0.02 else "changed" for w in seed) for _ in range(40)]
-    gc.collect()
-    before = shuffle_files(spark)
-    found = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    for _ in range(40):
-        if not (left := shuffle_files(spark) - before):
-            break
-        time.sleep(0.25)
-    assert not left
-    assert found.count() == 40
+    monkeypatch.setattr(jaccard_join, "stage", watched)
+    for module in (jaccard_join, graph):
+        monkeypatch.setattr(module, "free_shuffles", lambda session: calls.append("free"), raising=False)
+    jaccard_components(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e F")], "doc_id long, text string"))
+    for name in ("candidates", "sets", "kept", "regions", "measured", "links"):
+        assert calls[calls.index(name) + 1] == "free", (name, calls)
 
 
 def test_token_counts(spark):
